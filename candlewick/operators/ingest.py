@@ -4,6 +4,9 @@
 column expression, so the same code serves batch and streaming frames.
 """
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from candlewick import settings
@@ -15,11 +18,12 @@ _INTEGER = rf"^\s*[+-]?{_DIGITS}\s*$"
 _REAL = rf"^\s*[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\s*$"
 _NON_FINITE = r"(?i)^\s*[+-]?(?:inf|infinity|nan)\s*$"
 
-# VARIANT keeps the JSON type of each field and tells an absent key (NULL) from a null value. The keys
-# differ only in case, so the fields are renamed by position right after parsing.
-_MESSAGE_TYPE = "array<struct<" + ",".join(f"{key}:variant" for key in settings.REQUIRED_KEYS) + ">>"
+# Fields are read as text, which is all a well-formed message needs. Only where the text will not do are
+# the JSON types and keys of that one message looked at. The keys differ only in case, so the fields are
+# renamed by position right after parsing.
 _FIELDS = ("kind", "event_ms", "symbol", "trade_id", "price", "quantity", "trade_ms", "maker")
-_RENAMED_TYPE = "array<struct<" + ",".join(f"{name}:variant" for name in _FIELDS) + ">>"
+_MESSAGE_TYPE = "array<struct<" + ",".join(f"{key}:string" for key in settings.REQUIRED_KEYS) + ">>"
+_RENAMED_TYPE = "array<struct<" + ",".join(f"{name}:string" for name in _FIELDS) + ">>"
 
 PARSE_ERROR = "JSON parse error"
 MISSING = "Missing required fields"
@@ -33,35 +37,32 @@ def wall_clock_ms() -> Column:
     return F.unix_millis(F.current_timestamp())
 
 
-def _text(field: Column) -> Column:
-    return F.try_variant_get(field, "$", "string")
-
-
 def _without_underscores(text: Column) -> Column:
     return F.replace(text, F.lit("_"), F.lit(""))
 
 
-def _typed_number(field: Column, kind: str) -> Column:
-    """A JSON number or boolean that its text form did not cover; never a string."""
+def _typed_number(key: str, kind: str) -> Column:
+    """The field as a number if its JSON type is number or boolean; NULL for a string."""
+    field = F.try_variant_get(F.try_parse_json("raw_message"), f"$.{key}", "variant")
     return F.when(F.schema_of_variant(field) != "STRING", F.try_variant_get(field, "$", kind))
 
 
-def _real(field: Column) -> Column:
-    text = _text(field)
-    number = F.when(text.rlike(_REAL), _without_underscores(text).try_cast("double"))
-    special = F.when(text.rlike(_NON_FINITE), F.lit(float("nan")))
-    return F.coalesce(number, special, _typed_number(field, "double"))
+def _real(text: Column, key: str) -> Column:
+    return (
+        F.when(text.rlike(_REAL), _without_underscores(text).try_cast("double"))
+        .when(text.rlike(_NON_FINITE), F.lit(float("nan")))
+        .when(text.isNotNull(), _typed_number(key, "double"))
+    )
 
 
-def _whole(field: Column) -> Column:
-    text = _text(field)
-    number = F.when(text.rlike(_INTEGER), _without_underscores(text).try_cast("bigint"))
-    return F.coalesce(number, _typed_number(field, "bigint"))
+def _whole(text: Column, key: str) -> Column:
+    return F.when(text.rlike(_INTEGER), _without_underscores(text).try_cast("bigint")).when(
+        text.isNotNull(), _typed_number(key, "bigint")
+    )
 
 
-def _truth(field: Column) -> Column:
+def _truth(text: Column) -> Column:
     """Null and empty text are false, 'false' is false, any other text is true."""
-    text = _text(field)
     return F.coalesce(text.try_cast("boolean"), F.length(text) > 0, F.lit(False))
 
 
@@ -69,31 +70,36 @@ def _not_finite(number: Column) -> Column:
     return F.isnan(number) | (F.abs(number) == F.lit(float("inf")))
 
 
-def _cast_reason(key: str, field: Column) -> Column:
-    return F.concat(F.lit(f"{CAST_ERROR}: {key}="), F.coalesce(_text(field), F.lit("null")))
+def _cast_reason(key: str, text: Column) -> Column:
+    return F.concat(F.lit(f"{CAST_ERROR}: {key}="), F.coalesce(text, F.lit("null")))
+
+
+def _absent_keys() -> Column:
+    """Required keys the message lacks, sorted; a key with a null value is present."""
+    required = F.array(*[F.lit(key) for key in sorted(settings.REQUIRED_KEYS)])
+    return F.array_except(required, F.json_object_keys("raw_message"))
 
 
 def _reason(message: Column) -> Column:
     """The first failing check, in the order the checks are listed."""
     field = {key: message.getField(name) for key, name in zip(settings.REQUIRED_KEYS, _FIELDS)}
-    absent = F.array_sort(
-        F.array_compact(F.array(*[F.when(field[key].isNull(), F.lit(key)) for key in field]))
-    )
-    any_absent = field["e"].isNull()
-    for key in settings.REQUIRED_KEYS[1:]:
-        any_absent = any_absent | field[key].isNull()
+    any_empty = reduce(or_, [text.isNull() for text in field.values()])
+    absent = _absent_keys()
     price, quantity = F.col("price"), F.col("quantity")
-    return F.coalesce(
-        F.when(message.isNull(), F.lit(PARSE_ERROR)),
-        F.when(any_absent, F.concat(F.lit(f"{MISSING}: ['"), F.array_join(absent, "', '"), F.lit("']"))),
-        F.when(price.isNull(), _cast_reason("p", field["p"])),
-        F.when(quantity.isNull(), _cast_reason("q", field["q"])),
-        F.when(_not_finite(price) | _not_finite(quantity), _pair(NON_FINITE, price, quantity)),
-        F.when((price <= 0) | (quantity <= 0), _pair(NON_POSITIVE, price, quantity)),
-        F.when(F.col("trade_id").isNull(), F.lit(f"{NULL_KEY}: t")),
-        F.when(F.col("symbol").isNull(), F.lit(f"{NULL_KEY}: s")),
-        F.when(F.col("trade_time_ms").isNull(), _cast_reason("T", field["T"])),
-        F.when(F.col("event_time_ms").isNull(), _cast_reason("E", field["E"])),
+    return (
+        F.when(message.isNull(), F.lit(PARSE_ERROR))
+        .when(
+            any_empty & (F.size(absent) > 0),
+            F.concat(F.lit(f"{MISSING}: ['"), F.array_join(absent, "', '"), F.lit("']")),
+        )
+        .when(price.isNull(), _cast_reason("p", field["p"]))
+        .when(quantity.isNull(), _cast_reason("q", field["q"]))
+        .when(_not_finite(price) | _not_finite(quantity), _pair(NON_FINITE, price, quantity))
+        .when((price <= 0) | (quantity <= 0), _pair(NON_POSITIVE, price, quantity))
+        .when(F.col("trade_id").isNull(), F.lit(f"{NULL_KEY}: t"))
+        .when(F.col("symbol").isNull(), F.lit(f"{NULL_KEY}: s"))
+        .when(F.col("trade_time_ms").isNull(), _cast_reason("T", field["T"]))
+        .when(F.col("event_time_ms").isNull(), _cast_reason("E", field["E"]))
     )
 
 
@@ -104,7 +110,7 @@ def _pair(label: str, price: Column, quantity: Column) -> Column:
 
 
 def _parse(value: Column) -> Column:
-    """One JSON object as a struct of variants; NULL for anything else.
+    """One JSON object as a struct of texts, in an array; NULL or another length for anything else.
 
     Parsing inside brackets makes trailing text an error, which the plain parser would ignore.
     """
@@ -127,22 +133,21 @@ def check(raw: DataFrame, ingest_ms: Column | None = None, value: str = "value")
     message = parsed.select(
         "raw_message", "ingest_time_ms", F.when(single, F.get("parsed", F.lit(0))).alias("message")
     )
+    text = F.col("message")
     typed = message.select(
-        "raw_message",
-        "ingest_time_ms",
-        "message",
-        _text(F.col("message.trade_id")).alias("trade_id"),
-        F.upper(_text(F.col("message.symbol"))).alias("symbol"),
-        _real(F.col("message.price")).alias("price"),
-        _real(F.col("message.quantity")).alias("quantity"),
-        _truth(F.col("message.maker")).alias("is_buyer_maker"),
-        _whole(F.col("message.trade_ms")).alias("trade_time_ms"),
-        _whole(F.col("message.event_ms")).alias("event_time_ms"),
+        "*",
+        text.trade_id.alias("trade_id"),
+        F.upper(text.symbol).alias("symbol"),
+        _real(text.price, "p").alias("price"),
+        _real(text.quantity, "q").alias("quantity"),
+        _truth(text.maker).alias("is_buyer_maker"),
+        _whole(text.trade_ms, "T").alias("trade_time_ms"),
+        _whole(text.event_ms, "E").alias("event_time_ms"),
     )
-    kept = [name for name in typed.columns if name != "message"]
-    checked = F.struct(*kept, _reason(F.col("message")).alias("error_reason"))
-    # The generator is a fence: a later filter on error_reason stays above it, so no branch parses twice.
-    return typed.select(F.explode(F.array(checked)).alias("checked")).select("checked.*")
+    checked = typed.select("*", _reason(text).alias("error_reason")).drop("message")
+    # The generator is a fence: a later filter on error_reason stays above it instead of repeating the
+    # parsing and all checks below.
+    return checked.select(F.explode(F.array(F.struct(*checked.columns))).alias("checked")).select("checked.*")
 
 
 def accepted(checked: DataFrame) -> DataFrame:

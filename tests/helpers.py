@@ -1,0 +1,57 @@
+"""Small literal frames and plan text for the tests."""
+
+import json
+import os
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+
+from candlewick import schemas
+from candlewick.operators.ingest import with_event_time
+
+MINUTE = 60_000
+START = 1_704_067_200_000  # 2024-01-01 00:00:00 UTC
+
+
+def trade(number, price, quantity=1.0, maker=False, minute=0.0, symbol="BTC", ingest_delay=5, **changes):
+    at = int(START + minute * MINUTE)
+    row = {
+        "trade_id": str(number),
+        "symbol": symbol,
+        "price": price,
+        "quantity": quantity,
+        "is_buyer_maker": maker,
+        "trade_time_ms": at,
+        "event_time_ms": at,
+        "ingest_time_ms": at + ingest_delay,
+        "notional_usd": None if price is None else round(price * quantity, 4),
+        "latency_ms": ingest_delay,
+        "date_partition": "2024/01/01",
+    }
+    row.update(changes)
+    return row
+
+
+def frame(spark, trades):
+    rows = [tuple(row[name] for name in schemas.TRADE.names) for row in trades]
+    return with_event_time(spark.createDataFrame(rows, schemas.TRADE))
+
+
+def put_topic_file(folder, number, trades):
+    """One topic file; `number` orders the files for the file source."""
+    os.makedirs(folder, exist_ok=True)
+    path = f"{folder}/part-{number:03d}.parquet"
+    table = pa.table(
+        {"key": [row["trade_id"] for row in trades], "value": [json.dumps(row) for row in trades]},
+        schema=pa.schema([("key", pa.string()), ("value", pa.string())]),
+    )
+    pq.write_table(table, path)
+    os.utime(path, (1_700_000_000 + number * 10, 1_700_000_000 + number * 10))
+
+
+def plan(df, mode="formatted"):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
+
+
+def same(left, right):
+    return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()

@@ -1,0 +1,110 @@
+from pyspark.sql import functions as F
+
+from candlewick.functions import window_label
+from candlewick.operators.bars import ohlcv
+from candlewick.sources import samples
+from helpers import START, frame, same, trade
+
+
+def bars(spark, trades, **options):
+    return [row.asDict() for row in ohlcv(frame(spark, trades), **options).orderBy("symbol", "window_start").collect()]
+
+
+def test_one_trade(spark):
+    (bar,) = bars(spark, [trade(1, 10.0, 2.0, minute=1)])
+    assert [bar[name] for name in ("open", "high", "low", "close", "sma_5min", "vwap")] == [10.0] * 6
+    assert (bar["total_volume"], bar["total_notional_usd"], bar["trade_count"], bar["avg_latency_ms"]) == (2.0, 20.0, 1, 5.0)
+    assert str(bar["date_bucket"]) == "2024-01-01"
+
+
+def test_open_and_close_follow_time_not_arrival(spark):
+    (bar,) = bars(spark, [trade(3, 30.0, minute=3), trade(1, 10.0, minute=1), trade(2, 20.0, minute=2)])
+    assert (bar["open"], bar["close"], bar["high"], bar["low"]) == (10.0, 30.0, 30.0, 10.0)
+
+
+def test_same_millisecond_is_ordered_by_numeric_id(spark):
+    (bar,) = bars(spark, [trade(10, 3.0), trade(9, 2.0), trade(100, 4.0)])
+    assert (bar["open"], bar["close"]) == (2.0, 4.0)
+
+
+def test_huge_and_textual_ids_keep_a_fixed_order(spark):
+    rows = [trade(2**63 - 1, 2.0), trade(1, 1.0), trade("a-b", 3.0, minute=1), trade("c-d", 4.0, minute=1)]
+    (forward,), (backward,) = bars(spark, rows), bars(spark, rows[::-1])
+    assert forward == backward
+    assert forward["open"] == 1.0 and forward["close"] in (3.0, 4.0)
+
+
+def test_window_edge_belongs_to_the_next_bar(spark):
+    result = bars(spark, [trade(1, 1.0, minute=4.99), trade(2, 2.0, minute=5)])
+    assert [bar["trade_count"] for bar in result] == [1, 1]
+    assert result[1]["window_start"] == result[0]["window_end"]
+
+
+def test_null_price_counts_as_a_trade_and_in_the_volume(spark):
+    (bar,) = bars(spark, [trade(1, 10.0, 1.0), trade(2, None, 3.0, minute=1)])
+    assert (bar["trade_count"], bar["vwap"], bar["sma_5min"]) == (2, 2.5, 10.0)
+    assert bar["close"] is None
+
+
+def test_null_event_time_is_dropped(spark):
+    assert len(bars(spark, [trade(1, 1.0), trade(2, 2.0, trade_time_ms=None)])) == 1
+
+
+def test_zero_volume_gives_no_vwap(spark):
+    (bar,) = bars(spark, [trade(1, 1.0, 0.0)])
+    assert bar["vwap"] is None
+
+
+def test_rounding_is_half_up(spark):
+    (bar,) = bars(spark, [trade(1, 1.0), trade(2, 1.01)])
+    assert bar["sma_5min"] == 1.01
+
+
+def test_partitioning_does_not_change_bars(spark, medium):
+    """Prices and counts are identical; means and sums of doubles agree but for their last digit."""
+    trades = samples.trades(samples.events(spark, medium))
+    key = ["symbol", "window_start"]
+    exact = [*key, "open", "high", "low", "close", "trade_count", "avg_latency_ms", "total_volume"]
+    one = ohlcv(trades.coalesce(1), "1 day")
+    many = ohlcv(trades.repartition(7, F.rand(3)), "1 day")
+    assert same(one.select(exact), many.select(exact))
+    pairs = one.alias("a").join(many.alias("b"), key)
+    assert pairs.count() == 150
+    for name in ("sma_1day", "vwap", "total_notional_usd"):
+        assert pairs.filter(F.abs(F.col(f"a.{name}") - F.col(f"b.{name}")) > 0.0101).isEmpty()
+
+
+def test_trades_are_conserved(spark, medium):
+    trades = samples.trades(samples.events(spark, medium))
+    total = ohlcv(trades).agg(F.sum("trade_count")).first()[0]
+    assert total == trades.count() == 9907
+
+
+def test_sliding_bars_cover_each_trade_five_times(spark, small):
+    trades = samples.trades(samples.events(spark, small))
+    assert ohlcv(trades, slide="1 minute").agg(F.sum("trade_count")).first()[0] == 5 * trades.count()
+
+
+def test_bars_do_not_depend_on_the_session_zone(spark, small):
+    trades = [trade(n, 1.0 + n, minute=37 * n) for n in range(100)]
+    utc = ohlcv(frame(spark, trades)).selectExpr("symbol", "unix_millis(window_start) s", "date_bucket", "close").collect()
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        tokyo = ohlcv(frame(spark, trades)).selectExpr("symbol", "unix_millis(window_start) s", "date_bucket", "close").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert sorted(utc) == sorted(tokyo)
+
+
+def test_own_order_column(spark):
+    rows = frame(spark, [trade(1, 1.0, minute=2), trade(2, 2.0, minute=1)])
+    bar = ohlcv(rows, order=F.col("trade_id").cast("bigint")).first()
+    assert (bar.open, bar.close) == (1.0, 2.0)
+
+
+def test_window_labels():
+    assert [window_label(text) for text in ("5 minutes", "15 minutes", "1 day", "6 hours")] == ["5min", "15min", "1day", "6h"]
+
+
+def test_start_is_the_expected_instant():
+    assert START % 300_000 == 0
