@@ -10,7 +10,7 @@ import re
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from candlewick import schemas, settings
 from candlewick.operators.tables import newest_versions, retain
@@ -41,31 +41,30 @@ class KeyedTable:
     def upsert(self, batch: DataFrame, batch_id: int) -> dict[str, int]:
         """Write one batch of rows, unique by key; returns its row counts.
 
-        Counts are taken while writing, so the batch is computed once and nothing is cached. Rows are
-        sorted newest first within a file. A batch without rows leaves nothing behind.
+        The batch is computed once: the counts come from the stored rows. A batch without rows leaves
+        nothing behind.
         """
+        spark = batch.sparkSession
+        folder = f"{self.path}/delta/{_VERSION}={batch_id}"
+        self._write(batch, folder)
         counts = [F.count(F.lit(1)).alias("rows")]
-        if "risk_level" in batch.columns:
+        if "risk_level" in self.schema.names:
             counts.append(F.count_if(F.col("risk_level").isin(*settings.HIGH_RISK)).alias("high_risk"))
-        seen = Observation(f"upsert_{batch_id}")
-        folder = f"{self.path}/delta/{_VERSION}={batch_id}"
-        self._write(batch.observe(seen, *counts), folder)
-        result = {name: int(value or 0) for name, value in seen.get.items()}
-        if not result.get("rows"):
-            _delete(batch.sparkSession, folder)
-        else:
+        result = spark.read.schema(self.schema).parquet(folder).agg(*counts).first().asDict()
+        if result["rows"]:
             logger.info("%s batch %s: %s", self.path, batch_id, result)
+        else:
+            _delete(spark, folder)
         return result
 
     def _write(self, rows: DataFrame, folder: str) -> None:
-        present = rows.select(*self.schema.names).filter(
-            " AND ".join(f"{name} IS NOT NULL" for name in self.key)
-        )
+        """Rows with a full key, newest first within a file; the bucket leads, as the folders need it."""
+        stored = rows.select(*self.schema.names).dropna(subset=self.key)
+        order = [name for name in self.key if name not in (self.bucket, self.time_column)]
         if self.bucket:
-            present = present.hint("rebalance", self.bucket)
-        lead = [name for name in self.key if name != self.time_column]
-        ordered = present.sortWithinPartitions(*lead, F.desc(self.time_column))
-        writer = ordered.write.mode("overwrite")
+            stored = stored.hint("rebalance", self.bucket)
+            order = [self.bucket, *order]
+        writer = stored.sortWithinPartitions(*order, F.desc(self.time_column)).write.mode("overwrite")
         if self.bucket:
             writer = writer.partitionBy(self.bucket)
         writer.parquet(folder)

@@ -17,4 +17,4 @@ def read_bronze(
         trades = trades.filter(F.col("date_partition").isin(*days))
     if symbols is not None:
         trades = trades.filter(F.col("symbol").isin(*symbols))
-    return trades
+    return trades.select(*schemas.TRADE.names)

@@ -1,0 +1,65 @@
+import datetime
+import random
+
+import pytest
+
+from candlewick.operators.indicators import rsi
+
+ORIGIN = datetime.datetime(2024, 1, 1)
+
+
+def brute_force(closes, period=14):
+    result = []
+    for i in range(len(closes)):
+        if i < period:
+            result.append(None)
+            continue
+        moves = [closes[k] - closes[k - 1] for k in range(i - period + 1, i + 1)]
+        gain = sum(move for move in moves if move > 0) / period
+        loss = sum(-move for move in moves if move < 0) / period
+        result.append(100.0 if loss == 0 else 100 - 100 / (1 + gain / loss))
+    return result
+
+
+def series(spark, closes_by_symbol, hours):
+    rows = [
+        (symbol, ORIGIN + datetime.timedelta(hours=hours[i]), close)
+        for symbol, closes in closes_by_symbol.items()
+        for i, close in enumerate(closes)
+    ]
+    random.Random(5).shuffle(rows)
+    return spark.createDataFrame(rows, "symbol string, window_start timestamp, close double")
+
+
+@pytest.mark.parametrize("block_bars", [14, 50, 100_000])
+def test_equals_brute_force_with_sparse_and_dense_stretches(spark, block_bars):
+    """Bars are days or months apart, so 14 bars may span many time ranges and several blocks."""
+    chance = random.Random(11)
+    hours, at = [], 0
+    for i in range(200):
+        at += chance.choice([1, 1, 5, 24 * 40]) if i % 60 < 30 else 1
+        hours.append(at)
+    closes = {name: [round(chance.uniform(1, 100), 2) for _ in hours] for name in ("A", "B")}
+    got = rsi(series(spark, closes, hours), block_bars=block_bars).orderBy("symbol", "window_start").collect()
+    assert len(got) == 400
+    for name in closes:
+        found = [row.rsi_14 for row in got if row.symbol == name]
+        for mine, expected in zip(found, brute_force(closes[name]), strict=True):
+            assert (mine is None) == (expected is None)
+            assert mine is None or abs(mine - expected) < 1e-3
+
+
+def test_only_gains_give_100_and_flat_too(spark):
+    hours = list(range(20))
+    got = rsi(series(spark, {"UP": [float(i) for i in hours], "FLAT": [1.0] * 20}, hours)).collect()
+    assert {row.rsi_14 for row in got} == {None, 100.0}
+
+
+def test_other_period_and_short_history(spark):
+    got = rsi(series(spark, {"A": [1.0, 2.0, 1.0, 3.0]}, [0, 1, 2, 3]), period=3).orderBy("window_start").collect()
+    assert [row.rsi_3 for row in got] == [None, None, None, 75.0]
+
+
+def test_block_must_hold_a_period(spark):
+    with pytest.raises(ValueError):
+        rsi(series(spark, {"A": [1.0]}, [0]), block_bars=5)
