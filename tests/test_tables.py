@@ -169,8 +169,8 @@ def test_bronze_round_trip_and_pruning(spark, tmp_path, medium):
     write_bronze(trades, path)
     assert same(read_bronze(spark, path), trades)
     some = read_bronze(spark, path, days=["2024/01/05", "2024/01/06"], symbols=["CLICK"])
-    text = plan(some)
-    assert "PartitionFilters: [date_partition" in text and "symbol" in text.split("PartitionFilters")[1][:160]
+    pruned = plan(some).split("PartitionFilters: ")[1].split("\n")[0]
+    assert "2024/01/05" in pruned and "CLICK" in pruned
     assert 0 < some.count() == trades.filter(
         "symbol = 'CLICK' AND date_partition IN ('2024/01/05', '2024/01/06')"
     ).count()
