@@ -3,7 +3,8 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from candlewick import settings
-from candlewick.functions import ratio, trade_order, utc_date, window_label
+from candlewick.functions import ratio, utc_date, window_label
+from candlewick.operators.summaries import mean_latency, mean_price, summarise
 
 
 def ohlcv(
@@ -12,33 +13,12 @@ def ohlcv(
     slide: str | None = None,
     order: Column | None = None,
 ) -> DataFrame:
-    """Bars per symbol and window, from trades with `trade_timestamp`.
+    """Bars per symbol and window. With `slide`, a trade counts in every window covering it."""
+    return bars_of(summarise(trades, window, slide, order), window)
 
-    Open and close follow trade time, then trade id (see `trade_order`), so neither arrival order nor
-    partitioning changes them. A feed whose ids already rise with time may pass that id as `order`.
-    Every aggregate combines on the map side: one row per (symbol, window) and task is shuffled,
-    however many trades a symbol has. With `slide`, a trade counts in every window covering it.
-    """
-    position = trade_order() if order is None else order
-    span = F.window("trade_timestamp", window, slide) if slide else F.window("trade_timestamp", window)
-    mean = f"sma_{window_label(window)}"
-    bars = (
-        trades.withColumn("position", position)
-        .groupBy("symbol", span.alias("span"))
-        .agg(
-            F.min_by("price", "position").alias("open"),
-            F.max("price").alias("high"),
-            F.min("price").alias("low"),
-            F.max_by("price", "position").alias("close"),
-            F.avg("price").alias("mean"),
-            F.sum(F.col("price") * F.col("quantity")).alias("turnover"),
-            F.sum("quantity").alias("volume"),
-            F.sum("notional_usd").alias("notional"),
-            F.count(F.lit(1)).alias("trade_count"),
-            F.avg("latency_ms").alias("latency"),
-        )
-    )
-    return bars.select(
+
+def bars_of(summaries: DataFrame, window: str = settings.SILVER_WINDOW) -> DataFrame:
+    return summaries.select(
         "symbol",
         utc_date(F.col("span.start")).alias("date_bucket"),
         F.col("span.start").alias("window_start"),
@@ -47,10 +27,10 @@ def ohlcv(
         "high",
         "low",
         "close",
-        F.round("mean", 2).alias(mean),
+        F.round(mean_price(), 2).alias(f"sma_{window_label(window)}"),
         F.round(ratio(F.col("turnover"), F.col("volume")), 2).alias("vwap"),
         F.round("volume", 6).alias("total_volume"),
         F.round("notional", 2).alias("total_notional_usd"),
         "trade_count",
-        F.round("latency", 1).alias("avg_latency_ms"),
+        F.round(mean_latency(), 1).alias("avg_latency_ms"),
     )

@@ -1,9 +1,14 @@
 """Operational measures over checked messages, topic rows, trades and dead letters."""
 
-from pyspark.sql import DataFrame, functions as F
+from datetime import datetime
 
-from candlewick import settings
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from candlewick import schemas, settings
 from candlewick.functions import event_time, ratio, trade_order
+from candlewick.operators.tables import as_instant
+
+_FIRST_METRIC = "component string, messages_per_sec double, error_rate double, avg_latency_ms double, extra_json string"
 
 
 def message_counts(topic_rows: DataFrame) -> DataFrame:
@@ -46,6 +51,12 @@ def high_risk_count(signals: DataFrame) -> DataFrame:
     )
 
 
+def first_metric(spark: SparkSession, as_of: datetime | str) -> DataFrame:
+    """The one row a new health table starts with."""
+    row = spark.createDataFrame([("system", 0.0, 0.0, 0.0, '{"status": "initialized"}')], _FIRST_METRIC)
+    return row.withColumn("metric_time", as_instant(as_of)).select(*schemas.HEALTH.names)
+
+
 def with_ingest_time(checked: DataFrame, lateness: str | None = None) -> DataFrame:
     timed = checked.withColumn("ingest_time", event_time(F.col("ingest_time_ms")))
     return timed.withWatermark("ingest_time", lateness) if lateness else timed

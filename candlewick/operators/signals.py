@@ -3,33 +3,23 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from candlewick import settings
-from candlewick.functions import ratio, trade_order, utc_date, window_label
+from candlewick.functions import ratio, utc_date, window_label
+from candlewick.operators.summaries import mean_price, summarise
 
 
-def side_volumes(
-    trades: DataFrame, window: str = settings.GOLD_WINDOW, order: Column | None = None
-) -> DataFrame:
+def side_volumes(summaries: DataFrame, window: str = settings.GOLD_WINDOW) -> DataFrame:
     """Close, mean price and volumes by side. A trade of unknown side counts in neither side."""
     label = window_label(window)
-    maker = F.col("is_buyer_maker")
-    position = trade_order() if order is None else order
-    grouped = (
-        trades.withColumn("position", position)
-        .groupBy("symbol", F.window("trade_timestamp", window).alias("span"))
-        .agg(
-            F.max_by("price", "position").alias("close"),
-            F.avg("price").alias(f"sma_{label}"),
-            F.sum("quantity").alias(f"volume_{label}"),
-            F.sum(F.when(~maker, F.col("quantity")).otherwise(0.0)).alias("buy_volume"),
-            F.sum(F.when(maker, F.col("quantity")).otherwise(0.0)).alias("sell_volume"),
-            F.count(F.lit(1)).alias("trade_count"),
-        )
-    )
-    return grouped.select(
+    return summaries.select(
         "symbol",
         utc_date(F.col("span.start")).alias("date_bucket"),
         F.col("span.start").alias("window_start"),
-        *[name for name in grouped.columns if name not in ("symbol", "span")],
+        "close",
+        mean_price().alias(f"sma_{label}"),
+        F.col("volume").alias(f"volume_{label}"),
+        "buy_volume",
+        "sell_volume",
+        "trade_count",
     )
 
 
@@ -78,7 +68,11 @@ def grade(base: DataFrame, mean: str) -> DataFrame:
 def trading_signals(
     trades: DataFrame, window: str = settings.GOLD_WINDOW, order: Column | None = None
 ) -> DataFrame:
-    return grade(side_volumes(trades, window, order), f"sma_{window_label(window)}")
+    return signals_of(summarise(trades, window, order=order), window)
+
+
+def signals_of(summaries: DataFrame, window: str = settings.GOLD_WINDOW) -> DataFrame:
+    return grade(side_volumes(summaries, window), f"sma_{window_label(window)}")
 
 
 def high_risk(signals: DataFrame) -> DataFrame:

@@ -255,6 +255,8 @@ messages AS (
         "bronze_roundtrip": stored,
         "bars_from_bronze": five,
         "bars_after_upserts": five,
+        "backfill_bars_5min": five,
+        "backfill_signals_15min": signals,
         "ohlcv_5min": five,
         "ohlcv_6h": f"{plain} {_bars(6 * _HOUR, 'sma_6h')}",
         "ohlcv_1day": f"{plain} {_bars(_DAY, 'sma_1day')}",

@@ -11,6 +11,7 @@ from candlewick.operators.indicators import rsi
 from candlewick.operators.ingest import (
     accepted, rejected, topic_rows, with_event_time, without_repeats,
 )
+from candlewick.plans.backfill import backfill
 from candlewick.session import scratch_folder
 from candlewick.settings import LATENESS, RETENTION_DAYS, TRADES_TOPIC
 from candlewick.sinks.bronze import write_bronze
@@ -158,6 +159,20 @@ def bars_after_upserts(spark, sf_dir):
     return table.current(spark)
 
 
+@query
+def backfill_bars_5min(spark, sf_dir):
+    paths = JobPaths(scratch_folder(spark, "backfill"))
+    backfill(_trades(spark, sf_dir), paths, batch_id=0)
+    return bar_table(paths.bars).current(spark)
+
+
+@query
+def backfill_signals_15min(spark, sf_dir):
+    paths = JobPaths(scratch_folder(spark, "backfill"))
+    backfill(_trades(spark, sf_dir), paths, batch_id=0)
+    return _steady(signal_table(paths.signals).current(spark), "sma_15min", "volume_15min")
+
+
 # -- bars --------------------------------------------------------------------------------------------
 
 
