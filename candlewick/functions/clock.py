@@ -8,7 +8,8 @@ _FIRST_MS = -62135596800000
 _LAST_MS = 253402300799999
 _SECONDS_PER_DAY = 86400
 
-_UNIT_LABELS = {"second": "s", "minute": "min", "hour": "h", "day": "day"}
+# Unit of a window text: label in column names, length in seconds.
+_UNITS = {"second": ("s", 1), "minute": ("min", 60), "hour": ("h", 3600), "day": ("day", _SECONDS_PER_DAY)}
 
 
 def event_time(epoch_ms: Column) -> Column:
@@ -28,4 +29,9 @@ def day_path(epoch_ms: Column) -> Column:
 def window_label(window: str) -> str:
     """'5 minutes' -> '5min', for column names."""
     count, unit = window.split()
-    return count + _UNIT_LABELS[unit.rstrip("s")]
+    return count + _UNITS[unit.rstrip("s")][0]
+
+
+def window_seconds(window: str) -> int:
+    count, unit = window.split()
+    return int(count) * _UNITS[unit.rstrip("s")][1]

@@ -4,3 +4,12 @@ from pyspark.sql import Column, functions as F
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Division where x/0 is NULL, under ANSI mode too."""
     return F.try_divide(numerator, denominator)
+
+
+def round_sum(value: Column, digits: int, terms: Column, keep: int = 9) -> Column:
+    """Round half up a value that comes from adding up `terms` doubles.
+
+    Two terms add up alike in any order. The last bits of a longer sum depend on how its rows were
+    partitioned, so they are cut off at `keep` digits first: a tie stays a tie on every run.
+    """
+    return F.round(F.when(terms > 2, F.round(value, keep)).otherwise(value), digits)

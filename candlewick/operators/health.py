@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from candlewick import schemas, settings
-from candlewick.functions import event_time, ratio, trade_order
+from candlewick.functions import event_time, ratio, trade_order, window_seconds
 from candlewick.operators.tables import as_instant
 
 _FIRST_METRIC = "component string, messages_per_sec double, error_rate double, avg_latency_ms double, extra_json string"
@@ -62,12 +62,10 @@ def with_ingest_time(checked: DataFrame, lateness: str | None = None) -> DataFra
     return timed.withWatermark("ingest_time", lateness) if lateness else timed
 
 
-def component_health(
-    timed: DataFrame, component: str = "producer", every: str = "1 minute", seconds: int = 60
-) -> DataFrame:
+def component_health(timed: DataFrame, component: str = "producer", every: str = "1 minute") -> DataFrame:
     """Rate, error share and mean latency of checked messages per interval of `ingest_time`.
 
-    `seconds` is the length of `every`. A metric is timed at the end of its interval.
+    A metric is timed at the end of its interval.
     """
     failed = F.col("error_reason").isNotNull()
     latency = F.when(~failed, F.col("ingest_time_ms") - F.col("trade_time_ms"))
@@ -80,7 +78,7 @@ def component_health(
     return grouped.select(
         F.lit(component).alias("component"),
         F.col("span.end").alias("metric_time"),
-        F.round(F.col("received") / F.lit(float(seconds)), 4).alias("messages_per_sec"),
+        F.round(F.col("received") / F.lit(float(window_seconds(every))), 4).alias("messages_per_sec"),
         F.round(ratio(F.col("dead_letters"), F.col("received")), 4).alias("error_rate"),
         F.round("latency", 1).alias("avg_latency_ms"),
         F.to_json(F.struct(accepted.alias("accepted"), "dead_letters")).alias("extra_json"),

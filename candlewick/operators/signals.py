@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from candlewick import settings
-from candlewick.functions import ratio, utc_date, window_label
+from candlewick.functions import ratio, round_sum, utc_date, window_label
 from candlewick.operators.summaries import mean_price, summarise
 
 
@@ -48,14 +48,14 @@ def _alert_message(level: Column, deviation: Column) -> Column:
 
 def grade(base: DataFrame, mean: str) -> DataFrame:
     """Add volume_spike, price_deviation_pct, buy_pressure, risk_level and alert_message."""
-    buy, sell = F.col("buy_volume"), F.col("sell_volume")
+    buy, sell, trades = F.col("buy_volume"), F.col("sell_volume"), F.col("trade_count")
     spike = F.coalesce(sell > buy * settings.SPIKE_RATIO, F.lit(False))
     deviation = ratio(F.abs(F.col("close") - F.col(mean)), F.col(mean)) * 100
     measured = base.select(
         "*",
         spike.alias("volume_spike"),
-        F.round(deviation, 4).alias("price_deviation_pct"),
-        F.round(ratio(buy, buy + sell), 4).alias("buy_pressure"),
+        round_sum(deviation, 4, trades).alias("price_deviation_pct"),
+        round_sum(ratio(buy, buy + sell), 4, trades).alias("buy_pressure"),
     )
     level = _risk_level(F.col("volume_spike"), F.col("price_deviation_pct"))
     return measured.select(

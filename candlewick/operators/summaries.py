@@ -7,11 +7,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from candlewick.functions import ratio, trade_order
 
-# Summaries of adjoining windows combine column by column.
-_ADDED = (
-    "price_sum", "price_count", "turnover", "volume", "notional", "latency_sum", "latency_count",
-    "buy_volume", "sell_volume", "trade_count",
-)
+_EDGES = ("open", "open_at", "close", "close_at", "high", "low")
+
+# Measures that need a column a narrow trade frame may lack.
+_NEEDS = {
+    "notional": "notional_usd",
+    "latency_sum": "latency_ms",
+    "latency_count": "latency_ms",
+    "buy_volume": "is_buyer_maker",
+    "sell_volume": "is_buyer_maker",
+}
 
 
 def summarise(trades: DataFrame, window: str, slide: str | None = None, order: Column | None = None) -> DataFrame:
@@ -20,46 +25,46 @@ def summarise(trades: DataFrame, window: str, slide: str | None = None, order: C
     First and last price follow trade time, then trade id (see `trade_order`), so neither arrival order
     nor partitioning changes them. A feed whose ids already rise with time may pass that id as `order`.
     Every aggregate combines on the map side: one row per (symbol, span) and task is shuffled, however
-    many trades a symbol has.
+    many trades a symbol has. Measures whose column the trades lack are left out.
     """
     position = trade_order() if order is None else order
     span = F.window("trade_timestamp", window, slide) if slide else F.window("trade_timestamp", window)
     price, quantity, maker = F.col("price"), F.col("quantity"), F.col("is_buyer_maker")
     latency = F.col("latency_ms").cast("double")
-    return (
-        trades.withColumn("position", position)
-        .groupBy("symbol", span.alias("span"))
-        .agg(
-            F.min_by(price, "position").alias("open"),
-            F.min("position").alias("open_at"),
-            F.max_by(price, "position").alias("close"),
-            F.max("position").alias("close_at"),
-            F.max(price).alias("high"),
-            F.min(price).alias("low"),
-            F.sum(price).alias("price_sum"),
-            F.count(price).alias("price_count"),
-            F.sum(price * quantity).alias("turnover"),
-            F.sum(quantity).alias("volume"),
-            F.sum("notional_usd").alias("notional"),
-            F.sum(latency).alias("latency_sum"),
-            F.count(latency).alias("latency_count"),
-            F.sum(F.when(~maker, quantity).otherwise(0.0)).alias("buy_volume"),
-            F.sum(F.when(maker, quantity).otherwise(0.0)).alias("sell_volume"),
-            F.count(F.lit(1)).alias("trade_count"),
-        )
-    )
+    measures = {
+        "open": F.min_by(price, "position"),
+        "open_at": F.min("position"),
+        "close": F.max_by(price, "position"),
+        "close_at": F.max("position"),
+        "high": F.max(price),
+        "low": F.min(price),
+        "price_sum": F.sum(price),
+        "price_count": F.count(price),
+        "turnover": F.sum(price * quantity),
+        "volume": F.sum(quantity),
+        "notional": F.sum("notional_usd"),
+        "latency_sum": F.sum(latency),
+        "latency_count": F.count(latency),
+        "buy_volume": F.sum(F.when(~maker, quantity).otherwise(0.0)),
+        "sell_volume": F.sum(F.when(maker, quantity).otherwise(0.0)),
+        "trade_count": F.count(F.lit(1)),
+    }
+    known = [name for name in measures if _NEEDS.get(name, "symbol") in trades.columns]
+    grouped = trades.withColumn("position", position).groupBy("symbol", span.alias("span"))
+    return grouped.agg(*[measures[name].alias(name) for name in known])
 
 
-def merge(summaries: DataFrame, window: str) -> DataFrame:
-    """Summaries of longer tumbling windows from those of shorter ones that divide them."""
-    return summaries.groupBy("symbol", F.window("span.start", window).alias("whole")).agg(
+def merge(summaries: DataFrame, window: str, slide: str | None = None) -> DataFrame:
+    """Summaries of longer windows from those of tumbling ones that divide them (and `slide`)."""
+    whole = F.window("span.start", window, slide) if slide else F.window("span.start", window)
+    return summaries.groupBy("symbol", whole.alias("whole")).agg(
         F.min_by("open", "open_at").alias("open"),
         F.min("open_at").alias("open_at"),
         F.max_by("close", "close_at").alias("close"),
         F.max("close_at").alias("close_at"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
-        *[F.sum(name).alias(name) for name in _ADDED],
+        *[F.sum(name).alias(name) for name in summaries.columns if name not in ("symbol", "span", *_EDGES)],
     ).withColumnRenamed("whole", "span")
 
 

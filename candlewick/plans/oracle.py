@@ -14,6 +14,12 @@ def _half_up(value: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST(({value}) AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
+def _sum_half_up(value: str, digits: int, keep: int = 9, terms: str = "count(*)") -> str:
+    """The same for a value from adding `terms` doubles: with more than two, cut to `keep` digits first."""
+    kept = f"CASE WHEN {terms} > 2 THEN {_half_up(value, keep)} ELSE {value} END"
+    return _half_up(kept, digits)
+
+
 def _time(epoch_ms: str) -> str:
     return f"make_timestamp(({epoch_ms}) * 1000)"
 
@@ -121,10 +127,10 @@ SELECT symbol, CAST({_time("start_ms")} AS DATE) AS date_bucket,
        {_time("start_ms")} AS window_start, {_time(f"start_ms + {width_ms}")} AS window_end,
        arg_min(price, (trade_time_ms, trade_no)) AS open, max(price) AS high, min(price) AS low,
        arg_max(price, (trade_time_ms, trade_no)) AS close,
-       {_half_up("avg(price)", 2)} AS {mean},
-       {_half_up("sum(price * quantity) / nullif(sum(quantity), 0)", 2)} AS vwap,
-       {_half_up("sum(quantity)", 6)} AS total_volume,
-       {_half_up("sum(notional_usd)", 2)} AS total_notional_usd,
+       {_sum_half_up("avg(price)", 2)} AS {mean},
+       {_sum_half_up("sum(price * quantity) / nullif(sum(quantity), 0)", 2)} AS vwap,
+       {_sum_half_up("sum(quantity)", 6)} AS total_volume,
+       {_sum_half_up("sum(notional_usd)", 2, keep=4)} AS total_notional_usd,
        count(*) AS trade_count,
        {_half_up("avg(latency_ms)", 1)} AS avg_latency_ms
 FROM (SELECT *, {start} AS start_ms FROM trades) GROUP BY symbol, start_ms"""
@@ -148,8 +154,8 @@ sides AS (
 ),
 measured AS (
   SELECT *, sell_volume > buy_volume * 1.5 AS volume_spike,
-         {_half_up("abs(close - mean) / nullif(mean, 0) * 100", 4)} AS price_deviation_pct,
-         {_half_up("buy_volume / nullif(buy_volume + sell_volume, 0)", 4)} AS buy_pressure
+         {_sum_half_up("abs(close - mean) / nullif(mean, 0) * 100", 4, terms="trade_count")} AS price_deviation_pct,
+         {_sum_half_up("buy_volume / nullif(buy_volume + sell_volume, 0)", 4, terms="trade_count")} AS buy_pressure
   FROM sides
 ),
 graded AS (

@@ -12,7 +12,7 @@ from candlewick.operators.ingest import (
     accepted, rejected, topic_rows, with_event_time, without_repeats,
 )
 from candlewick.plans.backfill import backfill
-from candlewick.session import scratch_folder
+from candlewick.session import scratch_folder, stream_session
 from candlewick.settings import LATENESS, RETENTION_DAYS, TRADES_TOPIC
 from candlewick.sinks.bronze import write_bronze
 from candlewick.sinks.keyed import alert_table, bar_table, health_table, signal_table
@@ -318,7 +318,7 @@ def last_trade(spark, sf_dir):
 def _streamed(spark: SparkSession, sf_dir: str, start) -> JobPaths:
     """Run one live job over the whole table until its end."""
     paths = JobPaths(scratch_folder(spark, "live"))
-    trades = samples.trades(samples.events(spark, sf_dir, stream=True), lateness=LATENESS)
+    trades = samples.trades(samples.events(stream_session(spark), sf_dir, stream=True), lateness=LATENESS)
     start(trades, paths, trigger=_ONCE).awaitTermination()
     return paths
 
@@ -348,6 +348,7 @@ def stream_alert_history(spark, sf_dir):
 @query
 def stream_component_health(spark, sf_dir):
     paths = JobPaths(scratch_folder(spark, "live"))
-    checked = samples.checked_messages(samples.events(spark, sf_dir, stream=True), faulty=True)
+    source = samples.events(stream_session(spark), sf_dir, stream=True)
+    checked = samples.checked_messages(source, faulty=True)
     start_health(checked, paths, trigger=_ONCE).awaitTermination()
     return health_table(paths.health).current(spark)

@@ -26,6 +26,16 @@ TRADE = _struct(
     ("date_partition", _text),
 )
 
+
+
+def _part_of(schema: T.StructType, *names: str) -> T.StructType:
+    return T.StructType([schema[name] for name in names])
+
+
+# What the windowed jobs read of a trade; a narrow schema spares the JSON parser the other fields.
+SILVER_INPUT = _part_of(TRADE, "trade_id", "symbol", "price", "quantity", "trade_time_ms", "notional_usd", "latency_ms")
+GOLD_INPUT = _part_of(TRADE, "trade_id", "symbol", "price", "quantity", "is_buyer_maker", "trade_time_ms")
+
 DEAD_LETTER = _struct(("raw_message", _text), ("error_reason", _text), ("received_at", _long))
 
 BAR = _struct(

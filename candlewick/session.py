@@ -39,6 +39,20 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session of the same application for a stateful job.
+
+    The first checkpoint fixes how many partitions a job's state has, so it is chosen per job: by default
+    one per core of the cluster.
+    """
+    session = spark.newSession()
+    for name, value in {**SESSION_CONF, **STREAM_CONF}.items():
+        session.conf.set(name, value)
+    partitions = state_partitions or spark.sparkContext.defaultParallelism
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return session
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's `spark.checkpoint.dir`.
 

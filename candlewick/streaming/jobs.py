@@ -2,10 +2,10 @@
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from candlewick import settings
+from candlewick import schemas, settings
 from candlewick.operators.bars import ohlcv
 from candlewick.operators.health import component_health, with_ingest_time
 from candlewick.operators.ingest import with_event_time
@@ -36,9 +36,11 @@ class JobPaths:
         return f"{self.checkpoints}/{job}"
 
 
-def live_trades(spark: SparkSession, lateness: str = settings.LATENESS, **source) -> DataFrame:
+def live_trades(
+    spark: SparkSession, schema: T.StructType = schemas.TRADE, lateness: str = settings.LATENESS, **source
+) -> DataFrame:
     """Decoded trades of a topic, with event time and watermark; `source` goes to `read_topic`."""
-    return with_event_time(decode_trades(read_topic(spark, **source)), lateness)
+    return with_event_time(decode_trades(read_topic(spark, **source), schema), lateness)
 
 
 def start_bronze(trades: DataFrame, paths: JobPaths, trigger: dict | None = None) -> StreamingQuery:
@@ -72,9 +74,7 @@ def start_upsert(
     )
 
 
-def start_silver(
-    trades: DataFrame, paths: JobPaths, trigger: dict | None = None
-) -> StreamingQuery:
+def start_silver(trades: DataFrame, paths: JobPaths, trigger: dict | None = None) -> StreamingQuery:
     """Five-minute bars, each rewritten until the watermark closes it."""
     return start_upsert(ohlcv(trades), bar_table(paths.bars), paths.checkpoint("silver"), trigger)
 
@@ -107,13 +107,16 @@ def start_health(checked: DataFrame, paths: JobPaths, trigger: dict | None = Non
 
 
 def start_all(
-    trades: DataFrame, paths: JobPaths, trigger: dict | None = None, alerts: bool = False
+    spark: SparkSession, paths: JobPaths, trigger: dict | None = None, alerts: bool = False, **source
 ) -> list[StreamingQuery]:
-    """Bronze, silver and gold from one definition of trades; each query reads the source itself."""
+    """Bronze, silver and gold of a topic; `source` goes to `read_topic`.
+
+    Each query reads the topic itself, decoding only the fields it needs, and fails or lags alone.
+    """
     return [
-        start_bronze(trades, paths, trigger),
-        start_silver(trades, paths, trigger),
-        start_gold(trades, paths, trigger, alerts),
+        start_bronze(live_trades(spark, **source), paths, trigger),
+        start_silver(live_trades(spark, schemas.SILVER_INPUT, **source), paths, trigger),
+        start_gold(live_trades(spark, schemas.GOLD_INPUT, **source), paths, trigger, alerts),
     ]
 
 

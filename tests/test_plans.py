@@ -19,7 +19,7 @@ def trades(spark, small):
     return samples.trades(samples.events(spark, small))
 
 
-@pytest.mark.parametrize("build", [ohlcv, trading_signals, lambda t: ohlcv(t, slide="1 minute")])
+@pytest.mark.parametrize("build", [ohlcv, trading_signals, lambda t: ohlcv(t, slide="2 minutes")])
 def test_windows_combine_before_one_shuffle(trades, build):
     text = plan(build(trades), "simple")
     assert text.count("Exchange") == 1
@@ -28,6 +28,17 @@ def test_windows_combine_before_one_shuffle(trades, build):
     assert "HashAggregate" in before and "HashAggregate" in after
 
 
+def test_sliding_copies_summaries_not_trades(trades):
+    text = plan(ohlcv(trades, slide="1 minute"), "simple")
+    assert text.count("Exchange") == 2 and "SortAggregate" not in text
+    assert "Expand" not in text.split("Exchange")[-1]
+
+
+def test_unused_measures_are_not_computed(trades):
+    assert "close_at" not in plan(ohlcv(trades), "simple")
+    assert "min_by" not in plan(trading_signals(trades), "simple")
+
+
 def test_filter_and_columns_reach_the_scan(trades):
     text = plan(ohlcv(trades))
     assert "GreaterThan(value,0.0)" in text

@@ -6,11 +6,11 @@ from candlewick.operators.health import high_risk_count
 from candlewick.sources import samples
 from helpers import frame, trade
 
-BASE = "symbol string, close double, sma_15min double, buy_volume double, sell_volume double"
+BASE = "symbol string, close double, sma_15min double, buy_volume double, sell_volume double, trade_count long"
 
 
 def graded(spark, close, mean, buy, sell):
-    base = spark.createDataFrame([("A", close, mean, buy, sell)], BASE)
+    base = spark.createDataFrame([("A", close, mean, buy, sell, 4)], BASE)
     return signals.grade(base, "sma_15min").first()
 
 

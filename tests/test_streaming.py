@@ -19,7 +19,7 @@ from candlewick.streaming.jobs import JobPaths, live_trades, start_all, start_br
 from helpers import frame, put_topic_file, same, trade
 
 ONCE = {"availableNow": True}
-SUMS = ("sma_15min", "volume_15min", "sma_5min", "vwap", "total_notional_usd")
+SUMS = ("sma_15min", "volume_15min", "buy_volume", "sell_volume")
 
 
 def steady(rows):
@@ -54,7 +54,7 @@ def test_stream_equals_batch_over_many_batches(spark, tmp_path):
     folder, trades = str(tmp_path / "topic"), feed()
     put_feed(folder, trades, 5)
     paths = JobPaths(str(tmp_path / "live"))
-    queries = start_all(source(spark, folder), paths, trigger=ONCE, alerts=True)
+    queries = start_all(spark, paths, trigger=ONCE, alerts=True, kind="files", path=folder, max_per_trigger=1)
     for query in queries:
         run(query)
     batch = frame(spark, trades)
@@ -69,6 +69,17 @@ def test_stream_equals_batch_over_many_batches(spark, tmp_path):
     assert final.exceptAll(seen).isEmpty()
 
 
+def test_windowed_jobs_decode_only_what_they_use(spark, tmp_path):
+    folder = str(tmp_path / "topic")
+    put_feed(folder, feed(20), 1)
+    paths = JobPaths(str(tmp_path / "live"))
+    for query in start_all(spark, paths, trigger=ONCE, kind="files", path=folder):
+        run(query)
+        text = query._jsq.explainInternal(False)
+        if "min_by" in text or "max_by" in text:
+            assert "ingest_time_ms" not in text and "from_json" in text
+
+
 def test_restart_goes_on_where_it_stopped(spark, tmp_path):
     folder, trades = str(tmp_path / "topic"), feed()
     put_feed(folder, trades[:250], 2)
