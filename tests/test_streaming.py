@@ -16,7 +16,7 @@ from candlewick.sources import samples
 from candlewick.sources.bronze import read_bronze
 from candlewick.sources.topic import decode_trades, read_raw_messages, read_topic
 from candlewick.streaming.jobs import JobPaths, live_trades, start_all, start_bronze, start_gold, start_silver
-from helpers import frame, put_topic_file, same, trade
+from helpers import frame, plan, put_topic_file, same, trade
 
 ONCE = {"availableNow": True}
 SUMS = ("sma_15min", "volume_15min", "buy_volume", "sell_volume")
@@ -72,12 +72,10 @@ def test_stream_equals_batch_over_many_batches(spark, tmp_path):
 def test_windowed_jobs_decode_only_what_they_use(spark, tmp_path):
     folder = str(tmp_path / "topic")
     put_feed(folder, feed(20), 1)
-    paths = JobPaths(str(tmp_path / "live"))
-    for query in start_all(spark, paths, trigger=ONCE, kind="files", path=folder):
-        run(query)
-        text = query._jsq.explainInternal(False)
-        if "min_by" in text or "max_by" in text:
-            assert "ingest_time_ms" not in text and "from_json" in text
+    for schema, unused in ((schemas.SILVER_INPUT, "is_buyer_maker"), (schemas.GOLD_INPUT, "notional_usd")):
+        trades = live_trades(spark, schema, kind="files", path=folder)
+        assert trades.columns == [*schema.names, "trade_timestamp"]
+        assert unused not in plan(trades, "simple")
 
 
 def test_restart_goes_on_where_it_stopped(spark, tmp_path):
