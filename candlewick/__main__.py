@@ -46,7 +46,7 @@ def _arguments(given: list[str] | None) -> argparse.Namespace:
     live.add_argument("--alerts", action="store_true", help="also keep the alert history")
     past = job("backfill", topic=False)
     past.add_argument("--days", nargs="*", help="ingest days as yyyy/MM/dd; all when left out")
-    past.add_argument("--batch-id", type=int, default=0, help="rank among the live batches: the higher id wins a key")
+    past.add_argument("--name", default="backfill", help="the same name again replaces what it wrote before")
     job("compact", topic=False)
     return parser.parse_args(given)
 
@@ -80,13 +80,13 @@ def main(given: list[str] | None = None) -> None:
         queries = start_all(spark, paths, trigger, options.alerts, **source)
     elif options.job == "backfill":
         trades = with_event_time(read_bronze(spark, paths.bronze, options.days))
-        print(backfill(trades, paths, options.batch_id))
+        print(backfill(trades, paths, options.name))
     else:
         now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
         tables = {"bars": bar_table, "signals": signal_table, "alerts": alert_table, "health": health_table}
         for name, table in tables.items():
             last = table(getattr(paths, name)).compact(spark, settings.RETENTION_DAYS[name], now)
-            print(f"{name}: compacted to batch {last}")
+            print(f"{name}: base version {last}")
     if options.once:
         for query in queries:
             query.awaitTermination()

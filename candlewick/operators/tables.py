@@ -12,7 +12,7 @@ def as_instant(moment: datetime | str | Column) -> Column:
     return moment if isinstance(moment, Column) else F.lit(str(moment)).cast("timestamp")
 
 
-def newest_versions(versions: DataFrame, key: Sequence[str], version: str = "batch_id") -> DataFrame:
+def newest_versions(versions: DataFrame, key: Sequence[str], version: str = "written_at") -> DataFrame:
     """The row of the highest version per key: last write wins.
 
     Spark limits each task to one row per key before the shuffle, and filters on key columns pass

@@ -24,18 +24,15 @@ def stored_summaries(trades: DataFrame, window: str = settings.SILVER_WINDOW) ->
     return spark.read.schema(rows.schema).parquet(folder)
 
 
-def backfill(trades: DataFrame, paths: JobPaths, batch_id: int) -> dict[str, dict[str, int]]:
+def backfill(trades: DataFrame, paths: JobPaths, name: str = "backfill") -> dict[str, dict[str, int]]:
     """Upsert the bars, signals and alerts of `trades`; returns the counts per table.
 
-    `batch_id` ranks this write among those of the live jobs: the higher id wins a key. The trades must
-    cover whole windows.
+    The trades must cover whole windows. The same `name` again replaces what it wrote before.
     """
     summaries = stored_summaries(trades)
     signals = signals_of(merge(summaries, settings.GOLD_WINDOW))
-    table = signal_table(paths.signals)
-    counts = {
-        "bars": bar_table(paths.bars).upsert(bars_of(summaries), batch_id),
-        "signals": table.upsert(signals, batch_id),
+    return {
+        "bars": bar_table(paths.bars).upsert(bars_of(summaries), 0, name),
+        "signals": signal_table(paths.signals).upsert(signals, 0, name),
+        "alerts": alert_table(paths.alerts).upsert(alert_history(signals), 0, name),
     }
-    counts["alerts"] = alert_table(paths.alerts).upsert(alert_history(signals), batch_id)
-    return counts

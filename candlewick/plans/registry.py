@@ -162,14 +162,14 @@ def bars_after_upserts(spark, sf_dir):
 @query
 def backfill_bars_5min(spark, sf_dir):
     paths = JobPaths(scratch_folder(spark, "backfill"))
-    backfill(_trades(spark, sf_dir), paths, batch_id=0)
+    backfill(_trades(spark, sf_dir), paths)
     return bar_table(paths.bars).current(spark)
 
 
 @query
 def backfill_signals_15min(spark, sf_dir):
     paths = JobPaths(scratch_folder(spark, "backfill"))
-    backfill(_trades(spark, sf_dir), paths, batch_id=0)
+    backfill(_trades(spark, sf_dir), paths)
     return _steady(signal_table(paths.signals).current(spark), "sma_15min", "volume_15min")
 
 

@@ -1,8 +1,13 @@
 """Tables with a primary key on plain Parquet: the newest write of a key wins.
 
-Each batch adds one folder of row versions and readers take the newest version per key. A batch that is
-run again replaces its own folder. A folder counts once Spark has put its success marker there, so a
-half-written one is never read. `compact` folds the versions into one folder of current rows.
+Each batch of a writer adds one folder of row versions, stamped with the time of writing; readers take the
+newest version per key. A batch that is run again replaces its own folder. A folder counts once Spark has
+put its success marker there, so a half-written one is never read. `compact` folds the versions into one
+folder of current rows.
+
+    <path>/delta/writer=<w>/batch_id=<n>/   versions of one batch
+    <path>/base/version=<k>/                current rows at a compaction
+    <path>/folded/version=<k>/              the batch folders that base replaces
 """
 
 import logging
@@ -17,7 +22,7 @@ from candlewick.operators.tables import newest_versions, retain
 
 logger = logging.getLogger(__name__)
 
-_VERSION = "batch_id"
+_STAMP = "written_at"
 
 
 class KeyedTable:
@@ -35,31 +40,32 @@ class KeyedTable:
         self.key = list(key)
         self.time_column = time_column
         self.bucket = bucket
+        self._stored = T.StructType([*schema.fields, T.StructField(_STAMP, T.TimestampType())])
 
     # -- writing ---------------------------------------------------------------------------------
 
-    def upsert(self, batch: DataFrame, batch_id: int) -> dict[str, int]:
+    def upsert(self, batch: DataFrame, batch_id: int, writer: str = "main") -> dict[str, int]:
         """Write one batch of rows, unique by key; returns its row counts.
 
-        The batch is computed once: the counts come from the stored rows. A batch without rows leaves
-        nothing behind.
+        `writer` and `batch_id` name the batch: the same pair again replaces it. The batch is computed
+        once, as the counts come from the stored rows. A batch without rows leaves nothing behind.
         """
         spark = batch.sparkSession
-        folder = f"{self.path}/delta/{_VERSION}={batch_id}"
-        self._write(batch, folder)
+        folder = f"{self.path}/delta/writer={writer}/batch_id={batch_id}"
+        self._write(batch.withColumn(_STAMP, F.current_timestamp()), folder)
         counts = [F.count(F.lit(1)).alias("rows")]
         if "risk_level" in self.schema.names:
             counts.append(F.count_if(F.col("risk_level").isin(*settings.HIGH_RISK)).alias("high_risk"))
         result = spark.read.schema(self.schema).parquet(folder).agg(*counts).first().asDict()
         if result["rows"]:
-            logger.info("%s batch %s: %s", self.path, batch_id, result)
+            logger.info("%s writer %s batch %s: %s", self.path, writer, batch_id, result)
         else:
             _delete(spark, folder)
         return result
 
     def _write(self, rows: DataFrame, folder: str) -> None:
         """Rows with a full key, newest first within a file; the bucket leads, as the folders need it."""
-        stored = rows.select(*self.schema.names).dropna(subset=self.key)
+        stored = rows.select(*self._stored.names).dropna(subset=self.key)
         order = [name for name in self.key if name not in (self.bucket, self.time_column)]
         if self.bucket:
             stored = stored.hint("rebalance", self.bucket)
@@ -72,76 +78,103 @@ class KeyedTable:
     # -- reading ---------------------------------------------------------------------------------
 
     def versions(self, spark: SparkSession) -> DataFrame:
-        """All row versions since the newest compaction, with their batch id."""
-        base = _committed(spark, f"{self.path}/base/{_VERSION}=*")
-        newest_base = max(base, default=None)
-        parts = [] if newest_base is None else [base[newest_base]]
-        for batch_id, folder in _committed(spark, f"{self.path}/delta/{_VERSION}=*").items():
-            if newest_base is None or batch_id > newest_base:
-                parts.append(folder)
-        schema = T.StructType([*self.schema.fields, T.StructField(_VERSION, T.LongType())])
-        if not parts:
-            return spark.createDataFrame([], schema)
-        frames = [
-            spark.read.schema(schema).option("basePath", f"{self.path}/{kind}").parquet(*chosen)
-            for kind in ("base", "delta")
-            if (chosen := [part for part in parts if f"/{kind}/" in part[len(self.path):]])
+        """All row versions since the newest compaction, with the time each was written."""
+        base = self._newest_base(spark)
+        folders = self._open_batches(spark, base)
+        if base is not None:
+            folders.append(self._base(base))
+        if not folders:
+            return spark.createDataFrame([], self._stored)
+        if not self.bucket:
+            return spark.read.schema(self._stored).parquet(*folders)
+        # The folders lie at two depths; each depth is one scan with the bucket as its partition column.
+        scans = [
+            spark.read.schema(self._stored).option("basePath", root).parquet(*chosen).select(*self._stored.names)
+            for root in (f"{self.path}/delta", f"{self.path}/base")
+            if (chosen := [folder for folder in folders if folder.startswith(f"{root}/")])
         ]
-        found = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
-        return found.select(*schema.names)
+        return scans[0] if len(scans) == 1 else scans[0].unionByName(scans[1])
 
     def current(self, spark: SparkSession) -> DataFrame:
         """The newest version of every key."""
-        return newest_versions(self.versions(spark), self.key, _VERSION).drop(_VERSION)
+        newest = newest_versions(self.versions(spark), self.key, _STAMP)
+        return newest.select(*self.schema.names)
 
     # -- upkeep ----------------------------------------------------------------------------------
 
     def compact(
         self, spark: SparkSession, keep_days: int | None = None, as_of: datetime | str | None = None
     ) -> int | None:
-        """Write the current rows as the new base; returns the last batch in it.
+        """Write the current rows as the next base version and return its number.
 
-        The writer may go on: batches after that one stay separate, and a repeat of an earlier batch
-        changes nothing. With `keep_days`, older rows (by event time, seen from `as_of`) are left out.
+        Writers may go on: batches they add meanwhile stay open, and a repeat of a folded batch changes
+        nothing. With `keep_days`, older rows (by event time, seen from `as_of`) are left out. Without
+        batches to fold, nothing is written.
         """
-        deltas = _committed(spark, f"{self.path}/delta/{_VERSION}=*")
-        bases = _committed(spark, f"{self.path}/base/{_VERSION}=*")
-        last = max([*deltas, *bases], default=None)
-        if last is None or last in bases:
-            return last
-        rows = newest_versions(self.versions(spark).filter(F.col(_VERSION) <= last), self.key, _VERSION)
+        base = self._newest_base(spark)
+        folded = self._open_batches(spark, base)
+        if not folded:
+            return base
+        number = 0 if base is None else base + 1
+        done = [self._relative(folder) for folder in folded]
+        earlier = [] if base is None else self._folded(spark, base)
+        rows = newest_versions(self.versions(spark), self.key, _STAMP)
         if keep_days is not None:
             rows = retain(rows, self.time_column, keep_days, as_of)
-        self._write(rows, f"{self.path}/base/{_VERSION}={last}")
-        return last
+        names = spark.createDataFrame([(name,) for name in {*done, *earlier}], "value string")
+        names.coalesce(1).write.mode("overwrite").text(f"{self.path}/folded/version={number}")
+        self._write(rows, self._base(number))
+        return number
 
     def drop_superseded(self, spark: SparkSession) -> int:
         """Delete the folders the newest base replaces; call it when no reader still uses them."""
-        bases = _committed(spark, f"{self.path}/base/{_VERSION}=*")
-        newest = max(bases, default=None)
+        newest = self._newest_base(spark)
         if newest is None:
             return 0
-        deltas = _committed(spark, f"{self.path}/delta/{_VERSION}=*")
-        old = [folder for batch_id, folder in bases.items() if batch_id < newest]
-        old += [folder for batch_id, folder in deltas.items() if batch_id <= newest]
+        gone = set(self._folded(spark, newest))
+        old = [folder for folder in self._batches(spark) if self._relative(folder) in gone]
+        old += [self._base(number) for number in self._bases(spark) if number < newest]
         for folder in old:
             _delete(spark, folder)
         return len(old)
 
+    # -- folders ---------------------------------------------------------------------------------
+
+    def _base(self, number: int) -> str:
+        return f"{self.path}/base/version={number}"
+
+    def _relative(self, folder: str) -> str:
+        return "/".join(folder.split("/")[-2:])
+
+    def _batches(self, spark: SparkSession) -> list[str]:
+        found = _finished(spark, f"{self.path}/delta/writer=*/batch_id=*")
+        return [f"{self.path}/delta/{self._relative(folder)}" for folder in found]
+
+    def _bases(self, spark: SparkSession) -> list[int]:
+        found = _finished(spark, f"{self.path}/base/version=*")
+        return [int(re.search(r"version=(\d+)$", folder).group(1)) for folder in found]
+
+    def _newest_base(self, spark: SparkSession) -> int | None:
+        return max(self._bases(spark), default=None)
+
+    def _folded(self, spark: SparkSession, number: int) -> list[str]:
+        """Batch folders in a base: one short name per batch since the table began."""
+        return [row.value for row in spark.read.text(f"{self.path}/folded/version={number}").collect()]
+
+    def _open_batches(self, spark: SparkSession, base: int | None) -> list[str]:
+        folded = set() if base is None else set(self._folded(spark, base))
+        return [folder for folder in self._batches(spark) if self._relative(folder) not in folded]
+
 
 def _hadoop(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _committed(spark: SparkSession, pattern: str) -> dict[int, str]:
-    """Finished batch folders by batch id."""
+def _finished(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders Spark has finished writing."""
     place, files = _hadoop(spark, f"{pattern}/_SUCCESS")
-    found = {}
-    for status in files.globStatus(place) or []:
-        folder = status.getPath().getParent()
-        found[int(re.search(rf"{_VERSION}=(\d+)$", folder.getName()).group(1))] = folder.toString()
-    return found
+    return [status.getPath().getParent().toString() for status in files.globStatus(place) or []]
 
 
 def _delete(spark: SparkSession, folder: str) -> None:

@@ -9,7 +9,7 @@ from candlewick import schemas, settings
 from candlewick.operators.bars import ohlcv
 from candlewick.operators.health import component_health, with_ingest_time
 from candlewick.operators.ingest import with_event_time
-from candlewick.operators.signals import alert_history, high_risk, trading_signals
+from candlewick.operators.signals import alert_history, trading_signals
 from candlewick.sinks.bronze import write_bronze
 from candlewick.sinks.keyed import KeyedTable, alert_table, bar_table, health_table, signal_table
 from candlewick.sources.topic import decode_trades, read_topic
@@ -51,17 +51,22 @@ def start_bronze(trades: DataFrame, paths: JobPaths, trigger: dict | None = None
 def start_upsert(
     rows: DataFrame, table: KeyedTable, checkpoint: str, trigger: dict | None = None, also=None
 ) -> StreamingQuery:
-    """Follow changed rows into a keyed table. `also(batch, batch_id)` runs after each write."""
+    """Follow changed rows into a keyed table. `also(batch, batch_id, writer)` runs after each write.
+
+    The query's id names the writer: it belongs to the checkpoint, so a restarted job replaces the batch it
+    repeats, while a job begun anew, with batch ids from 0 again, overwrites nothing.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        writer = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         if also is None:
-            table.upsert(batch, batch_id)
+            table.upsert(batch, batch_id, writer)
             return
         # Two outputs from one stateful batch: keep it, or the state would be read twice.
         kept = batch.persist()
         try:
-            table.upsert(kept, batch_id)
-            also(kept, batch_id)
+            table.upsert(kept, batch_id, writer)
+            also(kept, batch_id, writer)
         finally:
             kept.unpersist()
 
@@ -87,8 +92,8 @@ def start_gold(
     if alerts:
         history = alert_table(paths.alerts)
 
-        def also(batch: DataFrame, batch_id: int) -> None:
-            history.upsert(alert_history(high_risk(batch)), batch_id)
+        def also(batch: DataFrame, batch_id: int, writer: str) -> None:
+            history.upsert(alert_history(batch), batch_id, writer)
 
     signals = trading_signals(trades)
     return start_upsert(

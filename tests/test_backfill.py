@@ -32,14 +32,14 @@ def test_merge_keeps_null_edges_and_ties(spark):
 def test_backfill_fills_all_tables_from_one_scan(spark, tmp_path, small):
     trades = samples.trades(samples.events(spark, small))
     paths = JobPaths(str(tmp_path))
-    counts = backfill(trades, paths, batch_id=0)
+    counts = backfill(trades, paths)
     assert counts["signals"]["high_risk"] == counts["alerts"]["rows"]
     signals = trading_signals(trades)
     steady = lambda rows: rows.withColumns({n: F.round(n, 9) for n in ("sma_15min", "volume_15min")})
     assert same(bar_table(paths.bars).current(spark), ohlcv(trades))
     assert same(steady(signal_table(paths.signals).current(spark)), steady(signals))
     assert same(alert_table(paths.alerts).current(spark), alert_history(signals))
-    again = backfill(trades, paths, batch_id=0)
+    again = backfill(trades, paths)
     assert again == counts and bar_table(paths.bars).versions(spark).count() == counts["bars"]["rows"]
 
 

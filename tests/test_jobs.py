@@ -33,5 +33,5 @@ def test_feed_to_tables_and_back(spark, tmp_path, small, capsys):
     assert same(signal_table(rebuilt.signals).current(spark).select(key), signal_table(paths.signals).current(spark).select(key))
 
     jobs.main(["compact", "--root", again])
-    assert "bars: compacted to batch 0" in capsys.readouterr().out
+    assert "bars: base version 0" in capsys.readouterr().out
     assert bar_table(rebuilt.bars).current(spark).isEmpty(), "the bars of January 2024 are past their retention"

@@ -45,6 +45,16 @@ def test_newest_write_wins(spark, tmp_path):
     assert closes(table, spark) == {"S0": 7.0, "S1": 2.0}
 
 
+def test_writers_do_not_replace_each_other(spark, tmp_path):
+    """A second writer, or a job begun anew, starts at batch 0 again and must win by time, not by number."""
+    table = signal_table(str(tmp_path / "t"))
+    table.upsert(signal_rows(spark, 1.0, 2.0), 0, "old")
+    table.upsert(signal_rows(spark, 3.0), 5, "old")
+    table.upsert(signal_rows(spark, 4.0), 0, "new")
+    assert closes(table, spark) == {"S0": 4.0, "S1": 2.0}
+    assert table.versions(spark).count() == 4
+
+
 def test_one_key_in_many_batches(spark, tmp_path):
     table = signal_table(str(tmp_path / "t"))
     for batch_id in (9, 10, 11):
@@ -56,7 +66,7 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
     table = signal_table(str(tmp_path / "t"))
     table.upsert(signal_rows(spark, 1.0), 0)
     table.upsert(signal_rows(spark, 2.0), 1)
-    table.upsert(signal_rows(spark, 1.0), 0)
+    table.upsert(signal_rows(spark, 2.0), 1)
     assert closes(table, spark) == {"S0": 2.0}
     assert table.versions(spark).count() == 2
 
@@ -64,7 +74,7 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
 def test_empty_batch_leaves_nothing(spark, tmp_path):
     table = signal_table(str(tmp_path / "t"))
     assert table.upsert(signal_rows(spark, 1.0).filter("false"), 0)["rows"] == 0
-    assert not os.path.exists(tmp_path / "t/delta/batch_id=0")
+    assert not os.path.exists(tmp_path / "t/delta/writer=main/batch_id=0")
     assert table.upsert(signal_rows(spark, 1.0).filter(F.col("close") > 3), 1)["rows"] == 0
     assert table.current(spark).isEmpty()
 
@@ -73,7 +83,7 @@ def test_half_written_batch_is_not_read(spark, tmp_path):
     table = signal_table(str(tmp_path / "t"))
     table.upsert(signal_rows(spark, 1.0), 0)
     table.upsert(signal_rows(spark, 2.0), 1)
-    os.remove(tmp_path / "t/delta/batch_id=1/_SUCCESS")
+    os.remove(tmp_path / "t/delta/writer=main/batch_id=1/_SUCCESS")
     assert closes(table, spark) == {"S0": 1.0}
 
 
@@ -89,19 +99,30 @@ def test_compaction_keeps_rows_and_later_batches(spark, tmp_path):
     table.upsert(signal_rows(spark, 1.0, 2.0, 3.0), 0)
     table.upsert(signal_rows(spark, 4.0), 1)
     before = table.current(spark).collect()
-    assert table.compact(spark) == 1
+    assert table.compact(spark) == 0
     assert sorted(table.current(spark).collect()) == sorted(before)
-    assert table.compact(spark) == 1
-    table.upsert(signal_rows(spark, 1.0, 2.0, 3.0), 0)
+    assert table.versions(spark).count() == 3
+    assert table.compact(spark) == 0, "nothing new to fold"
+    table.upsert(signal_rows(spark, 4.0), 1)
     assert closes(table, spark) == {"S0": 4.0, "S1": 2.0, "S2": 3.0}
     table.upsert(signal_rows(spark, 9.0, 9.0), 2)
     assert closes(table, spark) == {"S0": 9.0, "S1": 9.0, "S2": 3.0}
     assert table.drop_superseded(spark) == 2
     assert closes(table, spark) == {"S0": 9.0, "S1": 9.0, "S2": 3.0}
-    assert table.compact(spark) == 2 and table.drop_superseded(spark) == 2
+    assert table.compact(spark) == 1 and table.drop_superseded(spark) == 2
     assert closes(table, spark) == {"S0": 9.0, "S1": 9.0, "S2": 3.0}
 
 
+def test_unfinished_compaction_is_not_read(spark, tmp_path):
+    table = signal_table(str(tmp_path / "t"))
+    table.upsert(signal_rows(spark, 1.0, 2.0), 0)
+    table.compact(spark)
+    os.remove(tmp_path / "t/base/version=0/_SUCCESS")
+    assert table.drop_superseded(spark) == 0
+    assert closes(table, spark) == {"S0": 1.0, "S1": 2.0}
+    assert table.compact(spark) == 0 and closes(table, spark) == {"S0": 1.0, "S1": 2.0}
+
+
 def test_compaction_applies_retention(spark, tmp_path):
     table = signal_table(str(tmp_path / "t"))
     table.upsert(signal_rows(spark, 1.0), 0)
@@ -134,7 +155,7 @@ def test_files_are_sorted_newest_first(spark, tmp_path):
     table = signal_table(str(tmp_path / "t"))
     rows = trading_signals(samples.trades(samples.events(spark, "/root/testdata/sf0.001")))
     table.upsert(rows, 0)
-    for folder, _, files in os.walk(tmp_path / "t/delta/batch_id=0"):
+    for folder, _, files in os.walk(tmp_path / "t/delta/writer=main/batch_id=0"):
         for name in files:
             if name.endswith(".parquet"):
                 stored = spark.read.parquet(os.path.join(folder, name)).select("symbol", "window_start").collect()
