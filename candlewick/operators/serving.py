@@ -1,4 +1,4 @@
-"""Dashboard reads over the bar, signal and health tables. `as_of` stands for now."""
+"""Dashboard reads over the bar, signal and health tables, as of now or of a given moment."""
 
 from datetime import datetime
 
@@ -12,19 +12,22 @@ from candlewick.operators.tables import as_instant
 _BAR_COLUMNS = ("window_start", "open", "high", "low", "close", "sma_5min", "vwap", "total_volume")
 
 
-def _on_day(table: DataFrame, symbol: str, as_of: datetime | str | Column) -> DataFrame:
+Moment = datetime | str | Column | None
+
+
+def _on_day(table: DataFrame, symbol: str, as_of: Moment) -> DataFrame:
     return table.filter((F.col("symbol") == symbol) & (F.col("date_bucket") == utc_date(as_instant(as_of))))
 
 
 def recent_bars(
-    bars: DataFrame, symbol: str, as_of: datetime | str | Column, limit: int = settings.BARS_PER_DAY
+    bars: DataFrame, symbol: str, as_of: Moment = None, limit: int = settings.BARS_PER_DAY
 ) -> DataFrame:
     """Bars of the current UTC day, newest first."""
     return _on_day(bars, symbol, as_of).select(*_BAR_COLUMNS).orderBy(F.desc("window_start")).limit(limit)
 
 
 def last_day_bars(
-    bars: DataFrame, symbol: str, as_of: datetime | str | Column, limit: int = settings.BARS_PER_DAY
+    bars: DataFrame, symbol: str, as_of: Moment = None, limit: int = settings.BARS_PER_DAY
 ) -> DataFrame:
     """Bars that started in the 24 hours up to `as_of`, newest first; reads two day buckets at most."""
     now = as_instant(as_of)
@@ -38,7 +41,7 @@ def last_day_bars(
     return chosen.select(*_BAR_COLUMNS).orderBy(F.desc("window_start")).limit(limit)
 
 
-def todays_alerts(signals: DataFrame, symbol: str, as_of: datetime | str | Column) -> DataFrame:
+def todays_alerts(signals: DataFrame, symbol: str, as_of: Moment = None) -> DataFrame:
     """High-risk signals of the current UTC day, newest first."""
     return (
         high_risk(_on_day(signals, symbol, as_of))
@@ -48,7 +51,7 @@ def todays_alerts(signals: DataFrame, symbol: str, as_of: datetime | str | Colum
 
 
 def recent_health(
-    health: DataFrame, as_of: datetime | str | Column, component: str = "producer", hours: int = 1
+    health: DataFrame, as_of: Moment = None, component: str = "producer", hours: int = 1
 ) -> DataFrame:
     """Metrics of a component younger than `hours`, newest first; one exactly that old is out."""
     since = as_instant(as_of) - F.make_dt_interval(hours=F.lit(hours))

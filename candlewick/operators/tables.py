@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from candlewick.functions import utc_date
 
 
-def as_instant(moment: datetime | str | Column) -> Column:
+def as_instant(moment: datetime | str | Column | None = None) -> Column:
+    """`moment` as a timestamp; the current time when left out."""
+    if moment is None:
+        return F.current_timestamp()
     return moment if isinstance(moment, Column) else F.lit(str(moment)).cast("timestamp")
 
 
@@ -33,7 +36,7 @@ def latest_signals(signals: DataFrame) -> DataFrame:
     return newest.select("symbol", "newest.*")
 
 
-def retain(table: DataFrame, time_column: str, days: int, as_of: datetime | str | Column) -> DataFrame:
+def retain(table: DataFrame, time_column: str, days: int, as_of: datetime | str | Column | None = None) -> DataFrame:
     """Rows not older than `days` at `as_of`; a table split by `date_bucket` also skips its old folders."""
     oldest = as_instant(as_of) - F.make_dt_interval(F.lit(days))
     kept = table.filter(F.col(time_column) >= oldest)

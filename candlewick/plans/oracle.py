@@ -1,7 +1,7 @@
 """The registered queries in SQL, written from the tables up and independent of the Spark code."""
 
 from candlewick.plans.registry import (
-    BARS_NOW, HEALTH_NOW, SERVING_NOW, SERVING_SYMBOL, SIGNALS_NOW,
+    BACKTEST_DAYS, BACKTEST_SYMBOLS, BARS_NOW, HEALTH_NOW, SERVING_NOW, SERVING_SYMBOL, SIGNALS_NOW,
 )
 
 _MINUTE = 60_000
@@ -239,6 +239,10 @@ messages AS (
   SELECT 'trades' AS topic, trade_id AS key, {trade_json} AS value FROM trades
   UNION ALL SELECT 'trades_dlq', 'dlq', {dead_json} FROM dead
 )"""
+    chosen = (
+        f"price > 0 AND quantity > 0 AND symbol IN {BACKTEST_SYMBOLS} "
+        f"AND {_day_path('ingest_time_ms')} IN {BACKTEST_DAYS}"
+    )
     now = f"TIMESTAMP '{SERVING_NOW}'"
     on_day = f"symbol = '{SERVING_SYMBOL}' AND date_bucket = CAST({now} AS DATE)"
     buckets = [1, 5, 10, 25, 50, 100, 250, 500]
@@ -260,6 +264,9 @@ messages AS (
         "topic_roundtrip": f"WITH {_FAULTY_TRADES} SELECT {_TRADE_COLUMNS}, trade_timestamp FROM trades",
         "bronze_roundtrip": stored,
         "bars_from_bronze": five,
+        "backtest_bars": (
+            f"WITH {_TICKS},{_trades_of('ticks', chosen)} {_FIVE}"
+        ),
         "bars_after_upserts": five,
         "backfill_bars_5min": five,
         "backfill_signals_15min": signals,

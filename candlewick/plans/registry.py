@@ -30,6 +30,8 @@ SERVING_NOW = "2024-01-15 18:30:00"
 BARS_NOW = "2024-02-10 12:00:00"
 SIGNALS_NOW = "2024-04-10 12:00:00"
 HEALTH_NOW = "2024-01-15 18:30:00"
+BACKTEST_DAYS = ("2024/01/09", "2024/01/10")
+BACKTEST_SYMBOLS = ("CLICK", "VIEW")
 _ONCE = {"availableNow": True}
 
 _REGISTRY: dict[str, Query] = {}
@@ -147,6 +149,14 @@ def bars_from_bronze(spark, sf_dir):
     return ohlcv(with_event_time(read_bronze(spark, folder)))
 
 
+@query
+def backtest_bars(spark, sf_dir):
+    """Bars of two ingest days and two symbols; the other folders are not read."""
+    folder = scratch_folder(spark, "bronze")
+    write_bronze(_trades(spark, sf_dir).drop("trade_timestamp"), folder)
+    return ohlcv(with_event_time(read_bronze(spark, folder, BACKTEST_DAYS, BACKTEST_SYMBOLS)))
+
+
 @query
 def bars_after_upserts(spark, sf_dir):
     """Three batches, each recomputing the bars of the trades known so far; then a compaction."""

@@ -80,9 +80,10 @@ class KeyedTable:
     def versions(self, spark: SparkSession) -> DataFrame:
         """All row versions since the newest compaction, with the time each was written."""
         base = self._newest_base(spark)
-        folders = self._open_batches(spark, base)
-        if base is not None:
-            folders.append(self._base(base))
+        return self._read(spark, base, self._open_batches(spark, base))
+
+    def _read(self, spark: SparkSession, base: int | None, batches: list[str]) -> DataFrame:
+        folders = batches if base is None else [*batches, self._base(base)]
         if not folders:
             return spark.createDataFrame([], self._stored)
         if not self.bucket:
@@ -107,21 +108,20 @@ class KeyedTable:
     ) -> int | None:
         """Write the current rows as the next base version and return its number.
 
-        Writers may go on: batches they add meanwhile stay open, and a repeat of a folded batch changes
-        nothing. With `keep_days`, older rows (by event time, seen from `as_of`) are left out. Without
-        batches to fold, nothing is written.
+        Writers may go on: batches they add meanwhile stay open. Should a batch be run again just now, its
+        missing files fail the compaction, which then changes nothing. With `keep_days`, older rows (by
+        event time, seen from `as_of`) are left out. Without batches to fold, nothing is written.
         """
         base = self._newest_base(spark)
-        folded = self._open_batches(spark, base)
-        if not folded:
+        batches = self._batches(spark)
+        open_batches = self._open_batches(spark, base, batches)
+        if not open_batches:
             return base
         number = 0 if base is None else base + 1
-        done = [self._relative(folder) for folder in folded]
-        earlier = [] if base is None else self._folded(spark, base)
-        rows = newest_versions(self.versions(spark), self.key, _STAMP)
+        rows = newest_versions(self._read(spark, base, open_batches), self.key, _STAMP)
         if keep_days is not None:
             rows = retain(rows, self.time_column, keep_days, as_of)
-        names = spark.createDataFrame([(name,) for name in {*done, *earlier}], "value string")
+        names = spark.createDataFrame([(self._relative(folder),) for folder in batches], "value string")
         names.coalesce(1).write.mode("overwrite").text(f"{self.path}/folded/version={number}")
         self._write(rows, self._base(number))
         return number
@@ -131,7 +131,7 @@ class KeyedTable:
         newest = self._newest_base(spark)
         if newest is None:
             return 0
-        gone = set(self._folded(spark, newest))
+        gone = self._folded(spark, newest)
         old = [folder for folder in self._batches(spark) if self._relative(folder) in gone]
         old += [self._base(number) for number in self._bases(spark) if number < newest]
         for folder in old:
@@ -157,13 +157,14 @@ class KeyedTable:
     def _newest_base(self, spark: SparkSession) -> int | None:
         return max(self._bases(spark), default=None)
 
-    def _folded(self, spark: SparkSession, number: int) -> list[str]:
-        """Batch folders in a base: one short name per batch since the table began."""
-        return [row.value for row in spark.read.text(f"{self.path}/folded/version={number}").collect()]
+    def _folded(self, spark: SparkSession, number: int) -> set[str]:
+        """Batch folders in a base: one short name for each that was there when it was written."""
+        return {row.value for row in spark.read.text(f"{self.path}/folded/version={number}").collect()}
 
-    def _open_batches(self, spark: SparkSession, base: int | None) -> list[str]:
-        folded = set() if base is None else set(self._folded(spark, base))
-        return [folder for folder in self._batches(spark) if self._relative(folder) not in folded]
+    def _open_batches(self, spark: SparkSession, base: int | None, batches: list[str] | None = None) -> list[str]:
+        folded = set() if base is None else self._folded(spark, base)
+        found = self._batches(spark) if batches is None else batches
+        return [folder for folder in found if self._relative(folder) not in folded]
 
 
 def _hadoop(spark: SparkSession, path: str):

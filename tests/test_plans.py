@@ -11,7 +11,7 @@ from candlewick.operators.signals import trading_signals
 from candlewick.sources import samples
 from helpers import plan
 
-WRITING = ("stream", "roundtrip", "from_bronze", "after_upserts", "rsi")
+WRITING = ("stream", "roundtrip", "from_bronze", "after_upserts", "rsi", "backtest", "backfill")
 
 
 @pytest.fixture

@@ -31,6 +31,17 @@ def test_last_day_spans_two_days(spark, bars):
     assert all(NOW - datetime.timedelta(hours=24) < start <= NOW for start in starts)
 
 
+def test_without_a_moment_now_counts(spark):
+    now = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
+    rows = [("producer", now - datetime.timedelta(minutes=minutes), 1.0, 0.0, 1.0, "{}") for minutes in (5, 70)]
+    assert serving.recent_health(spark.createDataFrame(rows, schemas.HEALTH)).count() == 1
+
+
+def test_first_metric(spark):
+    row = health.first_metric(spark, NOW).first()
+    assert (row.component, row.metric_time, row.extra_json) == ("system", NOW, '{"status": "initialized"}')
+
+
 def test_limit(spark, bars):
     assert len(serving.recent_bars(bars, "CLICK", NOW, limit=3).collect()) == 3
 
