@@ -1,11 +1,13 @@
 """Trades stored as Parquet by ingest day and symbol."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from candlewick import settings
+from candlewick.sinks.layout import gather
 
 FOLDERS = ("date_partition", "symbol")
+_TASKS_PER_FOLDER = 64
 
 
 def write_bronze(
@@ -17,18 +19,16 @@ def write_bronze(
 ) -> StreamingQuery | None:
     """Append trades; a stream needs `checkpoint` and returns its query.
 
-    A batch is rebalanced by folder: small folders share tasks and a folder holding much of the data is
-    split over many, so neither tiny files nor one huge task come out. A micro-batch cannot be
-    re-planned; there `tasks_per_folder` gathers each folder's rows into at most that many tasks.
-    Left out, every task writes the folders it meets, without a shuffle.
+    A batch is gathered by folder, so neither tiny files nor one huge task come out. A stream writes the
+    folders each task meets, without a shuffle; with `tasks_per_folder`, it gathers each folder's rows into
+    at most that many tasks and files per batch.
     """
     if not trades.isStreaming:
-        rows = trades.hint("rebalance", *FOLDERS)
+        rows = gather(trades, FOLDERS, ["trade_id"], tasks_per_folder or _TASKS_PER_FOLDER)
         rows.write.mode("append").partitionBy(*FOLDERS).parquet(path)
         return None
     if tasks_per_folder:
-        share = F.pmod(F.xxhash64("trade_id"), F.lit(tasks_per_folder))
-        trades = trades.repartition(*FOLDERS, share)
+        trades = gather(trades, FOLDERS, ["trade_id"], tasks_per_folder)
     return (
         trades.writeStream.format("parquet")
         .option("path", path)

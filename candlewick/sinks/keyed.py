@@ -19,10 +19,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from candlewick import schemas, settings
 from candlewick.operators.tables import newest_versions, retain
+from candlewick.sinks.layout import gather
 
 logger = logging.getLogger(__name__)
 
 _STAMP = "written_at"
+_TASKS_PER_BUCKET = 4
 
 
 class KeyedTable:
@@ -68,7 +70,7 @@ class KeyedTable:
         stored = rows.select(*self._stored.names).dropna(subset=self.key)
         order = [name for name in self.key if name not in (self.bucket, self.time_column)]
         if self.bucket:
-            stored = stored.hint("rebalance", self.bucket)
+            stored = gather(stored, [self.bucket], self.key, _TASKS_PER_BUCKET)
             order = [self.bucket, *order]
         writer = stored.sortWithinPartitions(*order, F.desc(self.time_column)).write.mode("overwrite")
         if self.bucket:

@@ -9,6 +9,7 @@ from candlewick import schemas, settings
 from candlewick.operators.bars import ohlcv
 from candlewick.operators.ingest import accepted, check, with_event_time, without_repeats
 from candlewick.operators.signals import alert_history, trading_signals
+from candlewick.session import stream_session
 from candlewick.sinks.bronze import write_bronze
 from candlewick.sinks.keyed import alert_table, bar_table, signal_table
 from candlewick.sinks.topic import topic_folder, write_checked, write_dead_letters
@@ -226,6 +227,17 @@ def test_gathered_bronze_writes_few_files(spark, tmp_path):
     assert read_bronze(spark, out).count() == 400
 
 
+def test_micro_batches_write_few_files_per_bucket(spark, tmp_path):
+    folder, trades = str(tmp_path / "topic"), feed()
+    put_feed(folder, trades, 4)
+    paths = JobPaths(str(tmp_path / "live"))
+    session = stream_session(spark, state_partitions=32)
+    run(start_silver(source(session, folder, 4), paths, trigger=ONCE))
+    for place, _, files in os.walk(paths.bars + "/delta"):
+        assert len([name for name in files if name.endswith(".parquet")]) <= 4
+    assert same(bar_table(paths.bars).current(spark), ohlcv(frame(spark, trades)))
+
+
 def test_append_mode_emits_each_bar_once(spark, tmp_path):
     folder, trades = str(tmp_path / "topic"), feed()
     put_feed(folder, trades, 4)
