@@ -62,8 +62,8 @@ def _whole(text: Column, key: str) -> Column:
 
 
 def _truth(text: Column) -> Column:
-    """Null and empty text are false, 'false' is false, any other text is true."""
-    return F.coalesce(text.try_cast("boolean"), F.length(text) > 0, F.lit(False))
+    """False for null, zero, 'false' and anything empty; true for the rest."""
+    return F.coalesce(text.try_cast("boolean"), text.try_cast("double") != 0, ~text.isin("", "[]", "{}"), F.lit(False))
 
 
 def _not_finite(number: Column) -> Column:
@@ -129,7 +129,7 @@ def check(raw: DataFrame, ingest_ms: Column | None = None, value: str = "value")
         (wall_clock_ms() if ingest_ms is None else ingest_ms).alias("ingest_time_ms"),
         _parse(F.col(value).cast("string")).alias("parsed"),
     )
-    single = (F.size("parsed") == 1) & F.endswith(F.rtrim("raw_message"), F.lit("}"))
+    single = (F.size("parsed") == 1) & F.endswith(F.rtrim("raw_message", F.lit(" \t\r\n")), F.lit("}"))
     message = parsed.select(
         "raw_message", "ingest_time_ms", F.when(single, F.get("parsed", F.lit(0))).alias("message")
     )

@@ -325,6 +325,9 @@ messages AS (
         ),
         "stream_bronze": stored,
         "stream_bars_5min": five,
+        "stream_bars_sliding": f"{plain} {_bars(5 * _MINUTE, 'sma_5min', _SLIDES)}",
+        "stream_bars_deduplicated": five,
+        "stream_topic_messages": f"{topics} SELECT * FROM messages",
         "stream_signals_15min": signals,
         "stream_alert_history": alerts,
         "stream_component_health": f"{faulty} {_HEALTH}",

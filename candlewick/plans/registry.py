@@ -20,7 +20,9 @@ from candlewick.sinks.topic import topic_folder, write_checked
 from candlewick.sources import samples
 from candlewick.sources.bronze import read_bronze
 from candlewick.sources.topic import decode_trades
-from candlewick.streaming.jobs import JobPaths, start_bronze, start_gold, start_health, start_silver
+from candlewick.streaming.jobs import (
+    JobPaths, start_bronze, start_gold, start_health, start_silver, start_upsert,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -343,6 +345,25 @@ def stream_bars_5min(spark, sf_dir):
     return bar_table(_streamed(spark, sf_dir, start_silver).bars).current(spark)
 
 
+@query
+def stream_bars_sliding(spark, sf_dir):
+    def start(trades, paths, trigger):
+        bars = ohlcv(trades, slide="1 minute")
+        return start_upsert(bars, bar_table(paths.bars), paths.checkpoint("sliding"), trigger)
+
+    return bar_table(_streamed(spark, sf_dir, start).bars).current(spark)
+
+
+@query
+def stream_bars_deduplicated(spark, sf_dir):
+    """Every trade is delivered twice and counted once."""
+    paths = JobPaths(scratch_folder(spark, "live"))
+    source = samples.events(stream_session(spark), sf_dir, stream=True)
+    trades = without_repeats(samples.trades(source.unionByName(source), lateness=LATENESS))
+    start_silver(trades, paths, trigger=_ONCE).awaitTermination()
+    return bar_table(paths.bars).current(spark)
+
+
 @query
 def stream_signals_15min(spark, sf_dir):
     signals = signal_table(_streamed(spark, sf_dir, start_gold).signals).current(spark)
@@ -355,6 +376,16 @@ def stream_alert_history(spark, sf_dir):
     return alert_table(paths.alerts).current(spark)
 
 
+@query
+def stream_topic_messages(spark, sf_dir):
+    """Both topics of the faulty feed, written by one stream."""
+    folder = scratch_folder(spark, "topics")
+    checked = samples.checked_messages(samples.events(spark, sf_dir, stream=True), faulty=True)
+    job = write_checked(checked, kind="files", path=f"{folder}/topics", checkpoint=f"{folder}/checkpoint", trigger=_ONCE)
+    job.awaitTermination()
+    return spark.read.schema("key string, value string, topic string").parquet(f"{folder}/topics")
+
+
 @query
 def stream_component_health(spark, sf_dir):
     paths = JobPaths(scratch_folder(spark, "live"))

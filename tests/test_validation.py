@@ -120,7 +120,7 @@ def test_accepted_time_spellings(spark, value, number):
 
 @pytest.mark.parametrize(
     "value, flag",
-    [(True, True), (False, False), (None, False), ("false", False), ("true", True), ("", False), (0, False), (1, True), ("maybe", True)],
+    [(True, True), (False, False), (None, False), ("false", False), ("true", True), ("", False), (0, False), (1, True), ("maybe", True), (0.0, False), (2, True), ([], False), ({}, False), ([0], True)],
 )
 def test_maker_flag(spark, value, flag):
     row = check(spark, [message(m=value)]).first()
