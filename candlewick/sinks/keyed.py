@@ -69,13 +69,11 @@ class KeyedTable:
         """Rows with a full key, newest first within a file; the bucket leads, as the folders need it."""
         stored = rows.select(*self._stored.names).dropna(subset=self.key)
         order = [name for name in self.key if name not in (self.bucket, self.time_column)]
-        if self.bucket:
-            stored = gather(stored, [self.bucket], self.key, _TASKS_PER_BUCKET)
-            order = [self.bucket, *order]
+        buckets = [self.bucket] if self.bucket else []
+        order = buckets + order
+        stored = gather(stored, buckets, self.key, _TASKS_PER_BUCKET)
         writer = stored.sortWithinPartitions(*order, F.desc(self.time_column)).write.mode("overwrite")
-        if self.bucket:
-            writer = writer.partitionBy(self.bucket)
-        writer.parquet(folder)
+        writer.partitionBy(*buckets).parquet(folder)
 
     # -- reading ---------------------------------------------------------------------------------
 

@@ -7,16 +7,17 @@ from pyspark.sql import functions as F
 
 from candlewick import schemas, settings
 from candlewick.operators.bars import ohlcv
+from candlewick.operators.health import component_health, with_ingest_time
 from candlewick.operators.ingest import accepted, check, with_event_time, without_repeats
 from candlewick.operators.signals import alert_history, trading_signals
 from candlewick.session import stream_session
 from candlewick.sinks.bronze import write_bronze
-from candlewick.sinks.keyed import alert_table, bar_table, signal_table
+from candlewick.sinks.keyed import alert_table, bar_table, health_table, signal_table
 from candlewick.sinks.topic import topic_folder, write_checked, write_dead_letters
 from candlewick.sources import samples
 from candlewick.sources.bronze import read_bronze
 from candlewick.sources.topic import decode_trades, read_raw_messages, read_topic
-from candlewick.streaming.jobs import JobPaths, live_trades, start_all, start_bronze, start_gold, start_silver
+from candlewick.streaming.jobs import JobPaths, live_trades, start_all, start_bronze, start_gold, start_health, start_silver
 from helpers import frame, plan, put_topic_file, same, trade
 
 ONCE = {"availableNow": True}
@@ -238,6 +239,17 @@ def test_micro_batches_write_few_files_per_bucket(spark, tmp_path):
     assert same(bar_table(paths.bars).current(spark), ohlcv(frame(spark, trades)))
 
 
+def test_health_stream_writes_few_files(spark, tmp_path, small):
+    session = stream_session(spark, state_partitions=32)
+    paths = JobPaths(str(tmp_path / "live"))
+    checked = samples.checked_messages(samples.events(session, small, stream=True), faulty=True)
+    run(start_health(checked, paths, trigger=ONCE))
+    for place, _, files in os.walk(paths.health + "/delta"):
+        assert len([name for name in files if name.endswith(".parquet")]) <= 4
+    batch = component_health(with_ingest_time(samples.checked_messages(samples.events(spark, small), faulty=True)))
+    assert same(health_table(paths.health).current(spark), batch)
+
+
 def test_append_mode_emits_each_bar_once(spark, tmp_path):
     folder, trades = str(tmp_path / "topic"), feed()
     put_feed(folder, trades, 4)
