@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from candlewick import schemas, settings
 from candlewick.functions import event_time, ratio, trade_order, window_seconds
+from candlewick.operators.ingest import latency_ms
 from candlewick.operators.tables import as_instant
 
 _FIRST_METRIC = "component string, messages_per_sec double, error_rate double, avg_latency_ms double, extra_json string"
@@ -68,7 +69,7 @@ def component_health(timed: DataFrame, component: str = "producer", every: str =
     A metric is timed at the end of its interval.
     """
     failed = F.col("error_reason").isNotNull()
-    latency = F.when(~failed, F.col("ingest_time_ms") - F.col("trade_time_ms"))
+    latency = F.when(~failed, latency_ms())
     grouped = timed.groupBy(F.window("ingest_time", every).alias("span")).agg(
         F.count(F.lit(1)).alias("received"),
         F.count_if(failed).alias("dead_letters"),

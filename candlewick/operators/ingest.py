@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from candlewick import settings
 from candlewick.functions import day_path, event_time
 
-# Number spellings the feed may use: sign, digits with single underscores, fraction, exponent, spaces.
-_DIGITS = r"\d+(?:_\d+)*"
+# Number spellings the feed may use: sign, digits with single underscores, fraction, exponent, spaces. The
+# digits match possessively, so a text of any length is read once and never backtracked.
+_DIGITS = r"\d++(?:_\d++)*+"
 _INTEGER = rf"^\s*[+-]?{_DIGITS}\s*$"
-_REAL = rf"^\s*[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\s*$"
+_REAL = rf"^\s*[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\s*$"
 _NON_FINITE = r"(?i)^\s*[+-]?(?:inf|infinity|nan)\s*$"
 
 # Fields are read as text, which is all a well-formed message needs. Only where the text will not do are
@@ -195,11 +196,16 @@ def trade_columns() -> list[Column]:
         F.col("event_time_ms"),
         F.col("ingest_time_ms"),
         F.round(F.col("price") * F.col("quantity"), 4).alias("notional_usd"),
-        (F.col("ingest_time_ms") - F.col("trade_time_ms")).alias("latency_ms"),
+        latency_ms().alias("latency_ms"),
         day_path(F.col("ingest_time_ms")).alias("date_partition"),
     ]
 
 
+def latency_ms() -> Column:
+    """Milliseconds from trade to ingest; NULL where a far-off trade time would overflow."""
+    return F.try_subtract("ingest_time_ms", "trade_time_ms")
+
+
 def with_event_time(trades: DataFrame, lateness: str | None = None) -> DataFrame:
     """Add `trade_timestamp`; with `lateness`, also the watermark on it."""
     timed = trades.withColumn("trade_timestamp", event_time(F.col("trade_time_ms")))

@@ -6,6 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from candlewick.operators import ingest
+from candlewick.operators.bars import ohlcv
+from candlewick.operators.health import component_health, last_trade, latency_histogram, with_ingest_time
+from candlewick.operators.signals import trading_signals
 from candlewick.sources import samples
 from candlewick.sources.topic import decode_trades, read_raw_messages
 
@@ -79,6 +82,12 @@ def test_non_finite_values_are_rejected(spark, value):
     assert reason(spark, message(p=value)).startswith("Non-finite values: ")
 
 
+def test_very_long_numbers_are_read_once(spark):
+    long_values = ["1" * 300_000 + "x", "1_" * 150_000, "1_" * 150_000 + "1", "." * 300_000, "0" * 300_000 + "1", " " * 300_000 + "2"]
+    reasons = [row.error_reason and row.error_reason[:15] for row in check(spark, [message(p=v) for v in long_values]).collect()]
+    assert reasons == ["Type cast error", "Type cast error", "Non-finite valu", "Type cast error", None, None]
+
+
 def test_bare_nan_literal_is_rejected(spark):
     assert reason(spark, message(p="@").replace('"@"', "NaN")).startswith(("Non-finite", "Type cast"))
 
@@ -151,6 +160,17 @@ def test_out_of_range_time_has_no_event_time(spark):
     assert trades.first().trade_timestamp is None
 
 
+@pytest.mark.parametrize("changes", [{"T": -(2**63)}, {"T": 2**63 - 1, "E": -(2**63)}, {"p": "1e308", "q": "1e308"}, {"t": -5}])
+def test_extreme_values_do_not_stop_the_job(spark, changes):
+    checked = check(spark, [message(**changes), message()])
+    trades = ingest.with_event_time(ingest.accepted(checked))
+    assert trades.count() == 2
+    assert ohlcv(trades).agg(F.sum("trade_count")).first()[0] >= 1
+    assert trading_signals(trades).count() >= 1
+    assert component_health(with_ingest_time(checked)).count() == 1
+    assert last_trade(trades).count() == 1 and latency_histogram(trades).count() == 9
+
+
 def test_routing_loses_and_doubles_nothing(spark, medium):
     raw = samples.raw_messages(samples.events(spark, medium), faulty=True)
     good, bad = ingest.route(raw, F.col("ingest_time_ms"))
