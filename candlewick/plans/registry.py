@@ -12,7 +12,7 @@ from candlewick.operators.ingest import (
     accepted, rejected, topic_rows, with_event_time, without_repeats,
 )
 from candlewick.plans.backfill import backfill
-from candlewick.session import scratch_folder, stream_session
+from candlewick.session import scratch_folder, stored, stream_session
 from candlewick.settings import LATENESS, RETENTION_DAYS, TRADES_TOPIC
 from candlewick.sinks.bronze import write_bronze
 from candlewick.sinks.keyed import alert_table, bar_table, health_table, signal_table
@@ -74,14 +74,6 @@ def _checked(spark: SparkSession, sf_dir: str, faulty: bool = True) -> DataFrame
     return samples.checked_messages(samples.events(spark, sf_dir), faulty)
 
 
-def _written(rows: DataFrame, purpose: str) -> DataFrame:
-    """Store rows once and read them back, so that later steps do not compute them again."""
-    spark = rows.sparkSession
-    folder = scratch_folder(spark, purpose)
-    rows.write.mode("overwrite").parquet(folder)
-    return spark.read.schema(rows.schema).parquet(folder)
-
-
 def _steady(rows: DataFrame, *columns: str) -> DataFrame:
     """Round raw means and sums to nine digits: their last bits depend on the order of addition."""
     return rows.withColumns({name: F.round(name, 9) for name in columns})
@@ -215,12 +207,12 @@ def ohlcv_1day_hot_symbols(spark, sf_dir):
 
 @query
 def rsi_14(spark, sf_dir):
-    return rsi(_written(ohlcv(_trades(spark, sf_dir), "6 hours"), "bars"))
+    return rsi(stored(ohlcv(_trades(spark, sf_dir), "6 hours"), "bars"))
 
 
 @query
 def rsi_14_hourly(spark, sf_dir):
-    return rsi(_written(ohlcv(_trades(spark, sf_dir), "1 hour"), "bars"))
+    return rsi(stored(ohlcv(_trades(spark, sf_dir), "1 hour"), "bars"))
 
 
 # -- signals -----------------------------------------------------------------------------------------

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Results depend on the UTC zone; the rest only affects speed.
 SESSION_CONF = {
@@ -56,9 +56,21 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's `spark.checkpoint.dir`.
 
-    Only where that is unset (local runs and tests) does it fall back to a local folder.
+    A local folder serves only where that is unset and all tasks run in this process; any other master needs
+    the setting, as its executors could not see the folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all machines share (master is {master})")
     return tempfile.mkdtemp(prefix=f"{purpose}-")
+
+
+def stored(rows: DataFrame, purpose: str) -> DataFrame:
+    """Write rows to a shared scratch folder and read them back: later steps do not compute them again."""
+    spark = rows.sparkSession
+    folder = scratch_folder(spark, purpose)
+    rows.write.mode("overwrite").parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
