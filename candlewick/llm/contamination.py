@@ -1,32 +1,29 @@
 """Benchmark decontamination: documents are scanned for the word windows of test items.
 
-The windows of all items form a hash set. Where it is small it is broadcast whole; beyond `most_windows` it is
-broadcast in blocks of that size, each against all documents, so a task never holds more. Equal hashes are
-verified word by word. Only documents with a hit pass a shuffle.
+A document does not look up every window. A window of 13 words holds exactly one of the runs of 8 words that begin
+at every 6th word of a text, so these runs are hashed and looked up; the hash set has the 6 runs of every window
+that may be the one. Where the set is small it is broadcast whole; beyond `most_windows` it is broadcast in blocks of
+that size, each against all documents, so a task never holds more. Where hashes agree the whole window is compared
+word by word. Only documents with a hit pass a shuffle.
 """
 
 import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from candlewick.llm.text import ascii_lower, between, covered, fenced, with_windows
+from candlewick.llm.text import ascii_lower, between, covered, fenced
 from candlewick.session import stored
 
 WINDOW = 13
 # What lies between words; lower-casing A-Z does not move it.
 APART = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-MOST_WINDOWS = 200_000
+MOST_WINDOWS = 40_000
 # A document is contaminated if at least this share of its words is hit.
 SHARE = 20
 
 
 def item_words(text: Column) -> Column:
-    """The words as they are written; they are compared in lower case."""
-    return between(text, APART)
-
-
-def lowered(words: Column) -> Column:
-    return F.transform(words, ascii_lower)
+    return between(ascii_lower(text), APART)
 
 
 def benchmark_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -34,7 +31,7 @@ def benchmark_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
 
     Items without an id or without words have none. Items that repeat are counted once.
     """
-    worded = items.select(F.col("item_id").cast("string").alias("item"), lowered(item_words(F.col("text"))).alias("words"))
+    worded = items.select(F.col("item_id").cast("string").alias("item"), item_words(F.col("text")).alias("words"))
     worded = worded.where(F.col("item").isNotNull() & (F.size("words") > 0)).distinct()
     count = F.size("words")
     starts = F.sequence(F.lit(1), F.greatest(count - size + 1, F.lit(1)))
@@ -42,9 +39,20 @@ def benchmark_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
     return windows.groupBy("window").agg(F.array_sort(F.collect_set("item")).alias("items")).withColumn("len", F.size("window"))
 
 
-def _hashed(rows: DataFrame, words: str, sizes: list[int]) -> DataFrame:
-    own = fenced(rows, "hashes", F.transform(words, lambda word: F.xxhash64(ascii_lower(word))))
-    return with_windows(own, "hashes", sizes, "run")
+def run_and_step(size: int) -> tuple[int, int]:
+    """Length of the runs looked up for windows of `size` words, and the distance between their starts."""
+    run = min(size, size // 2 + 2)
+    return run, size - run + 1
+
+
+def _runs(words: str, size: int, start: int, step: int) -> Column:
+    """struct(at, hash) of the runs for windows of `size` words, from place `start` on."""
+    run, _ = run_and_step(size)
+    last = F.size(words) - run + 1
+    return F.when(last >= start, F.transform(
+        F.sequence(F.lit(start), last, F.lit(step)),
+        lambda at: F.struct(at.alias("at"), F.xxhash64(F.slice(words, at, run)).alias("hash")),
+    ))
 
 
 def hits(documents: DataFrame, items: DataFrame, size: int = WINDOW, most_windows: int = MOST_WINDOWS) -> DataFrame:
@@ -59,24 +67,27 @@ def hits(documents: DataFrame, items: DataFrame, size: int = WINDOW, most_window
         kinds = [(size, 0)]
     lengths, total = sorted(kind[0] for kind in kinds), sum(kind[1] for kind in kinds)
     blocks = max(1, math.ceil(total / most_windows))
-    either = F.array(*[F.struct(F.lit(n).alias("len"), F.col(f"run{n}").alias("run")) for n in lengths])
-    single = _hashed(windows, "window", lengths)
-    single = single.withColumn("hash", F.coalesce(*[F.when(F.col("len") == n, F.get(f"run{n}", F.lit(0))) for n in lengths]))
-    single = single.select("hash", "len", "window", "items")
+    # Every run of a window, and of a document those that begin at each step.
+    of_window = F.coalesce(*[F.when(F.col("len") == n, _runs("window", n, 1, 1)) for n in lengths])
+    single = windows.withColumn("r", F.explode(of_window)).select(
+        F.col("r.hash").alias("hash"), F.col("r.at").alias("ahead"), "len", "window", "items"
+    )
     words = documents.select("doc_id", F.sha2(F.col("text"), 256).alias("digest"), item_words(F.col("text")).alias("found"))
-    runs = _hashed(fenced(words, "words", F.col("found")), "words", lengths)
-    if len(lengths) == 1:
-        runs = runs.select("doc_id", "digest", "words", F.lit(lengths[0]).alias("len"), F.col(f"run{lengths[0]}").alias("run"))
-    else:
-        runs = runs.select("doc_id", "digest", "words", F.explode(either).alias("r")).select("doc_id", "digest", "words", "r.*")
-    places = runs.select("doc_id", "digest", "words", "len", F.posexplode("run").alias("at", "hash"))
+    own = fenced(words, "words", F.col("found"))
+    of_text = F.array(*[
+        F.struct(F.lit(n).alias("len"), _runs("words", n, 1, run_and_step(n)[1]).alias("runs")) for n in lengths
+    ])
+    own = own.select("doc_id", "digest", "words", F.explode(of_text).alias("r"))
+    places = own.select("doc_id", "digest", "words", F.col("r.len").alias("len"), F.explode("r.runs").alias("p"))
+    places = places.select("doc_id", "digest", "words", "len", "p.at", "p.hash")
     found = None
     for block in range(blocks):
         chosen = single if blocks == 1 else single.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == block)
-        joined = places.join(F.broadcast(chosen), ["hash", "len"])
+        joined = places.join(F.broadcast(chosen), ["hash", "len"]).withColumn("pos", F.col("at") - F.col("ahead") + 1)
+        inside = joined.where((F.col("pos") >= 1) & (F.col("pos") + F.col("len") - 1 <= F.size("words")))
         # Behind the fence, so that the words are compared where the hashes agree and do not become a join key.
-        verified = fenced(joined, "own", lowered(F.slice("words", F.col("at") + 1, F.col("len")))).where("own = window")
-        part = verified.select("doc_id", "digest", F.struct((F.col("at") + 1).alias("pos"), "len").alias("span"), "items")
+        verified = fenced(inside, "own", F.slice("words", F.col("pos"), F.col("len"))).where("own = window")
+        part = verified.select("doc_id", "digest", F.struct("pos", "len").alias("span"), "items")
         found = part if found is None else found.unionByName(part)
     return found.groupBy("doc_id", "digest").agg(
         F.sort_array(F.collect_set("span")).alias("spans"),
@@ -96,7 +107,8 @@ def _with_hits(documents: DataFrame, items: DataFrame, size: int, most_windows:
 
 
 def _count(text: Column) -> Column:
-    return F.size(item_words(text))
+    """How many words; lower-casing does not change it."""
+    return F.size(between(text, APART))
 
 
 def contamination(
