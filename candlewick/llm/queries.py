@@ -2,9 +2,10 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from candlewick.llm import chat, contamination, lines, quality, secrets
+from candlewick.llm import chat, contamination, lines, near, packing, quality, secrets, token_files
 from candlewick.llm.text import read_table
 from candlewick.session import scratch_folder
 
@@ -25,11 +26,30 @@ def op2_quality(spark, sf_dir):
     return quality.quality(documents, read_table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op3_near_duplicates(spark, sf_dir):
+    return near.near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"), size=4)
+
+
+def op4_token_files(spark, sf_dir):
+    path = scratch_folder(spark, "token-files")
+    documents = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    token_files.write(documents, path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read(spark, path).select(
+        "doc_id", "start", "n_tokens", token_files.crc32_of("ids").alias("ids_crc32")
+    )
+
+
 def op5_secrets(spark, sf_dir):
     documents = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return secrets.secrets(documents, scratch_folder(spark, "ledger"))
 
 
+def op6_packing(spark, sf_dir):
+    documents = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    parts = packing.pieces(documents, public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
+    return packing.packed(parts.drop("ids"))
+
+
 def op8_chat(spark, sf_dir):
     turns = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     own = [(-7, turn, role, TRICKY) for turn, role in enumerate(("user", "assistant"))]
@@ -41,5 +61,7 @@ def op10_lines(spark, sf_dir):
 
 
 def registered() -> dict[str, Query]:
-    found = (op1_decontaminate, op2_quality, op5_secrets, op8_chat, op10_lines)
+    found = (
+        op1_decontaminate, op2_quality, op3_near_duplicates, op4_token_files, op5_secrets, op6_packing, op8_chat, op10_lines,
+    )
     return {query.__name__: query for query in found}
