@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from candlewick.llm import chat, contamination, lines, near, packing, quality, secrets, token_files
+from candlewick.llm import chat, contamination, lines, near, packing, pages, quality, secrets, severity, token_files
 from candlewick.llm.text import read_table
 from candlewick.session import scratch_folder
 
@@ -50,18 +50,28 @@ def op6_packing(spark, sf_dir):
     return packing.packed(parts.drop("ids"))
 
 
+def op7_pages(spark, sf_dir):
+    return pages.extracted(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op8_chat(spark, sf_dir):
     turns = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     own = [(-7, turn, role, TRICKY) for turn, role in enumerate(("user", "assistant"))]
     return chat.digests(chat.formatted(turns.unionByName(spark.createDataFrame(own, turns.schema))))
 
 
+def op9_toxicity(spark, sf_dir):
+    documents = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return severity.severity(documents, read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op10_lines(spark, sf_dir):
     return lines.line_digests(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def registered() -> dict[str, Query]:
     found = (
-        op1_decontaminate, op2_quality, op3_near_duplicates, op4_token_files, op5_secrets, op6_packing, op8_chat, op10_lines,
+        op1_decontaminate, op2_quality, op3_near_duplicates, op4_token_files, op5_secrets, op6_packing,
+        op7_pages, op8_chat, op9_toxicity, op10_lines,
     )
     return {query.__name__: query for query in found}
