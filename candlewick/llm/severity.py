@@ -28,7 +28,7 @@ LEAST_TOXIC, LEAST_SHARE, LEAST_RATIO = 4, 0.003, 15.0
 SHRINK = 1e-6
 STEPS, RATE = 2_000, 0.1
 # Weight of a toxic document in the fit: they are few.
-TOXIC_WEIGHT = 12.0
+TOXIC_WEIGHT = 8.0
 _WORD = re.compile(r"[^\W\d_]+")
 _MODEL = "feature string, weight double"
 _THRESHOLDS = ("<threshold 0>", "<threshold 1>")
