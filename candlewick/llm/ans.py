@@ -11,8 +11,8 @@ import zlib
 
 import numpy as np
 
-LANES = 256
-SEGMENT = 256
+LANES = 1024
+SEGMENT = 128
 _LOW = np.uint64(1 << 31)
 _WORD = np.uint64(32)
 _HEAD = struct.Struct("<4sHHBxxxIQQII")

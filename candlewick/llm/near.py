@@ -66,9 +66,12 @@ def shingle_set(words: list[bytes], size: int) -> np.ndarray:
 def samples(shingles: np.ndarray) -> np.ndarray:
     """The least of the shingles under each of the hash functions."""
     least = np.full(_SAMPLES, 2**64 - 1, np.uint64)
-    for start in range(0, len(shingles), 1024):
-        block = shingles[start : start + 1024, None] * _FACTORS[None, :]
-        np.minimum(least, block.min(axis=0), out=least)
+    room = np.empty((_SAMPLES, 512), np.uint64)
+    for start in range(0, len(shingles), 512):
+        block = shingles[start : start + 512]
+        here = room[:, : len(block)]
+        np.multiply(_FACTORS[:, None], block[None, :], out=here)
+        np.minimum(least, here.min(axis=1), out=least)
     return least
 
 

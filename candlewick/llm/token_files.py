@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from candlewick.llm.ans import NO_ID, Table, decode_block, encode_block
-from candlewick.llm.tokens import encoder
+from candlewick.llm.tokens import TEXTS_AT_ONCE, encoder
 from candlewick.session import stored
 
 BLOCK_TOKENS = 1 << 18
@@ -37,8 +37,8 @@ def tokenized(documents: DataFrame, tokenizer: str, end: int = END) -> DataFrame
         part, first = TaskContext.get().partitionId(), 0
         own = encoder(tokenizer, False)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                rows = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                rows = batch.slice(at, TEXTS_AT_ONCE)
                 ids = [np.append(found, found.dtype.type(end)) for found in own.encode(rows["text"].to_pylist())]
                 counts = np.array([len(found) for found in ids], np.int64)
                 starts = first + np.cumsum(counts) - counts
