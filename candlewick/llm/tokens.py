@@ -7,15 +7,15 @@ space it is any blank or newline.
 """
 
 import os
-from collections import Counter
+from array import array
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 
 # Pieces a worker keeps (about 200 bytes each), and texts it encodes together.
-KEPT_PIECES = 300_000
-TEXTS_AT_ONCE = 1_500
+KEPT_PIECES = 400_000
+TEXTS_AT_ONCE = 256
 _PAIRS = ("  ", "\n\n", " \n", "\n ")
 _ASCII_BLANKS = tuple(map(chr, (0, 9, 11, 12, 13, 28, 29, 30, 31)))
 _BLANKS = _ASCII_BLANKS + tuple(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
@@ -40,6 +40,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.code = "H" if self.dtype is np.uint16 else "I"
         self.pieces = _word_pieces if drops_blanks else _byte_level_pieces
         self.kept: dict[str, bytes] = {"": b""}
 
@@ -52,15 +53,14 @@ class Encoder:
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         pieces = [self.pieces(text) for text in texts]
-        table = Counter(chain.from_iterable(pieces))
+        table = dict.fromkeys(chain.from_iterable(pieces))
         missing = [piece for piece in table if piece not in self.kept]
         encoded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        new = {piece: np.array(item.ids, self.dtype).tobytes() for piece, item in zip(missing, encoded, strict=True)}
+        new = {piece: array(self.code, item.ids).tobytes() for piece, item in zip(missing, encoded, strict=True)}
         for piece, ids in new.items():
             if len(self.kept) >= KEPT_PIECES:
                 break
-            # What comes once is not worth a place.
-            if table[piece] > 1 and len(piece) <= 64:
+            if len(piece) <= 64:
                 self.kept[piece] = ids
         ids_of = {piece: new[piece] if piece in new else self.kept[piece] for piece in table}.__getitem__
         return [np.frombuffer(b"".join(map(ids_of, parts)), self.dtype) for parts in pieces]
