@@ -12,8 +12,8 @@ from datetime import datetime, timezone
 
 from candlewick import settings
 from candlewick.operators.ingest import check, with_event_time
-from candlewick.plans.backfill import backfill
-from candlewick.session import build_session
+from candlewick.plans.backfill import around, backfill
+from candlewick.session import build_session, stream_session
 from candlewick.sinks.keyed import alert_table, bar_table, health_table, signal_table
 from candlewick.sinks.topic import write_checked
 from candlewick.sources.bronze import read_bronze
@@ -33,6 +33,7 @@ def _arguments(given: list[str] | None) -> argparse.Namespace:
         if topic:
             options.add_argument("--kind", choices=("kafka", "files"), default="kafka")
             options.add_argument("--servers")
+            options.add_argument("--state-partitions", type=int, help="fixed by the first checkpoint; default: one per core")
         return options
 
     route = job("route", topic=True)
@@ -43,10 +44,11 @@ def _arguments(given: list[str] | None) -> argparse.Namespace:
     live.add_argument("--path", help="folder of the trade topic, for files")
     live.add_argument("--max-per-trigger", type=int, help="offsets or files per batch")
     live.add_argument("--starting-offsets", default="latest")
+    live.add_argument("--skip-lost-offsets", action="store_true", help="go on where the broker has lost messages")
     live.add_argument("--alerts", action="store_true", help="also keep the alert history")
     past = job("backfill", topic=False)
-    past.add_argument("--days", nargs="*", help="ingest days as yyyy/MM/dd; all when left out")
-    past.add_argument("--name", default="backfill", help="the same name again replaces what it wrote before")
+    past.add_argument("--days", nargs="*", help="trade days as yyyy/MM/dd; all when left out")
+    past.add_argument("--name", help="the same name again replaces what it wrote before; by default made of the days")
     job("compact", topic=False)
     return parser.parse_args(given)
 
@@ -55,6 +57,8 @@ def main(given: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
     options = _arguments(given)
     spark = build_session(f"candlewick-{options.job}")
+    if options.job in ("route", "live"):
+        spark = stream_session(spark, options.state_partitions)
     paths = JobPaths(options.root, options.checkpoints)
     trigger = {"availableNow": True} if options.once else None
     queries = []
@@ -75,12 +79,15 @@ def main(given: list[str] | None = None) -> None:
         source = {"kind": options.kind, "max_per_trigger": options.max_per_trigger}
         if options.kind == "kafka":
             source |= {"servers": options.servers, "topic": options.topic, "starting_offsets": options.starting_offsets}
+            source |= {"fail_on_data_loss": not options.skip_lost_offsets}
         else:
             source |= {"path": options.path}
         queries = start_all(spark, paths, trigger, options.alerts, **source)
     elif options.job == "backfill":
-        trades = with_event_time(read_bronze(spark, paths.bronze, options.days))
-        print(backfill(trades, paths, options.name))
+        stored = read_bronze(spark, paths.bronze, options.days and around(options.days))
+        # Each choice of days is a batch of its own.
+        name = options.name or "-".join(["backfill", *[day.replace("/", "") for day in options.days or ()]])
+        print(backfill(with_event_time(stored), paths, name, options.days))
     else:
         now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
         tables = {"bars": bar_table, "signals": signal_table, "alerts": alert_table, "health": health_table}

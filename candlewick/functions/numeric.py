@@ -6,10 +6,11 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator, denominator)
 
 
-def round_sum(value: Column, digits: int, terms: Column, keep: int = 9) -> Column:
-    """Round half up a value that comes from adding up `terms` doubles.
+def round_sum(value: Column, digits: int) -> Column:
+    """Round half up a value that comes from adding up doubles.
 
-    Two terms add up alike in any order. The last bits of a longer sum depend on how its rows were
-    partitioned, so they are cut off at `keep` digits first: a tie stays a tie on every run.
+    The last bits of a sum depend on how its rows were partitioned, so it is cut to 14 significant digits first:
+    a tie stays a tie on every run, and for every number of rows.
     """
-    return F.round(F.when(terms > 2, F.round(value, keep)).otherwise(value), digits)
+    cut = F.format_string("%.13e", value).cast("double")
+    return F.round(F.when(value.isNotNull() & ~F.isnan(value), cut).otherwise(value), digits)

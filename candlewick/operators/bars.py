@@ -24,7 +24,6 @@ def ohlcv(
 
 
 def bars_of(summaries: DataFrame, window: str = settings.SILVER_WINDOW) -> DataFrame:
-    trades = F.col("trade_count")
     return summaries.select(
         "symbol",
         utc_date(F.col("span.start")).alias("date_bucket"),
@@ -34,10 +33,10 @@ def bars_of(summaries: DataFrame, window: str = settings.SILVER_WINDOW) -> DataF
         "high",
         "low",
         "close",
-        round_sum(mean_price(), 2, F.col("price_count")).alias(f"sma_{window_label(window)}"),
-        round_sum(ratio(F.col("turnover"), F.col("volume")), 2, trades).alias("vwap"),
-        round_sum(F.col("volume"), 6, trades).alias("total_volume"),
-        round_sum(F.col("notional"), 2, trades, keep=4).alias("total_notional_usd"),
+        round_sum(mean_price(), 2).alias(f"sma_{window_label(window)}"),
+        round_sum(ratio(F.col("turnover"), F.col("volume")), 2).alias("vwap"),
+        round_sum(F.col("volume"), 6).alias("total_volume"),
+        round_sum(F.col("notional"), 2).alias("total_notional_usd"),
         "trade_count",
         F.round(mean_latency(), 1).alias("avg_latency_ms"),
     )

@@ -4,7 +4,6 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from candlewick import settings
 from candlewick.functions import utc_date
 from candlewick.operators.signals import high_risk
 from candlewick.operators.tables import as_instant
@@ -19,16 +18,13 @@ def _on_day(table: DataFrame, symbol: str, as_of: Moment) -> DataFrame:
     return table.filter((F.col("symbol") == symbol) & (F.col("date_bucket") == utc_date(as_instant(as_of))))
 
 
-def recent_bars(
-    bars: DataFrame, symbol: str, as_of: Moment = None, limit: int = settings.BARS_PER_DAY
-) -> DataFrame:
-    """Bars of the current UTC day, newest first."""
-    return _on_day(bars, symbol, as_of).select(*_BAR_COLUMNS).orderBy(F.desc("window_start")).limit(limit)
+def recent_bars(bars: DataFrame, symbol: str, as_of: Moment = None, limit: int | None = None) -> DataFrame:
+    """Bars of the current UTC day, newest first; with `limit`, only the newest so many."""
+    rows = _on_day(bars, symbol, as_of).select(*_BAR_COLUMNS).orderBy(F.desc("window_start"))
+    return rows if limit is None else rows.limit(limit)
 
 
-def last_day_bars(
-    bars: DataFrame, symbol: str, as_of: Moment = None, limit: int = settings.BARS_PER_DAY
-) -> DataFrame:
+def last_day_bars(bars: DataFrame, symbol: str, as_of: Moment = None) -> DataFrame:
     """Bars that started in the 24 hours up to `as_of`, newest first; reads two day buckets at most."""
     now = as_instant(as_of)
     since = now - F.expr("interval 24 hours")
@@ -38,7 +34,7 @@ def last_day_bars(
         & (F.col("window_start") > since)
         & (F.col("window_start") <= now)
     )
-    return chosen.select(*_BAR_COLUMNS).orderBy(F.desc("window_start")).limit(limit)
+    return chosen.select(*_BAR_COLUMNS).orderBy(F.desc("window_start"))
 
 
 def todays_alerts(signals: DataFrame, symbol: str, as_of: Moment = None) -> DataFrame:

@@ -48,14 +48,14 @@ def _alert_message(level: Column, deviation: Column) -> Column:
 
 def grade(base: DataFrame, mean: str) -> DataFrame:
     """Add volume_spike, price_deviation_pct, buy_pressure, risk_level and alert_message."""
-    buy, sell, trades = F.col("buy_volume"), F.col("sell_volume"), F.col("trade_count")
+    buy, sell = F.col("buy_volume"), F.col("sell_volume")
     spike = F.coalesce(sell > buy * settings.SPIKE_RATIO, F.lit(False))
     deviation = ratio(F.abs(F.col("close") - F.col(mean)), F.col(mean)) * 100
     measured = base.select(
         "*",
         spike.alias("volume_spike"),
-        round_sum(deviation, 4, trades).alias("price_deviation_pct"),
-        round_sum(ratio(buy, buy + sell), 4, trades).alias("buy_pressure"),
+        round_sum(deviation, 4).alias("price_deviation_pct"),
+        round_sum(ratio(buy, buy + sell), 4).alias("buy_pressure"),
     )
     level = _risk_level(F.col("volume_spike"), F.col("price_deviation_pct"))
     return measured.select(

@@ -1,6 +1,9 @@
 """Bars, signals and alerts of stored trades from one scan of them."""
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+from datetime import datetime, timedelta
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from candlewick import settings
 from candlewick.operators.bars import bars_of
@@ -24,12 +27,23 @@ def stored_summaries(trades: DataFrame, window: str = settings.SILVER_WINDOW) ->
     return spark.read.schema(rows.schema).parquet(folder)
 
 
-def backfill(trades: DataFrame, paths: JobPaths, name: str = "backfill") -> dict[str, dict[str, int]]:
+def around(days: Sequence[str]) -> list[str]:
+    """The days ('yyyy/MM/dd') with the one before and the one after each: where their trades may have been stored."""
+    found = [datetime.strptime(day, "%Y/%m/%d") + timedelta(days=ahead) for day in days for ahead in (-1, 0, 1)]
+    return sorted({day.strftime("%Y/%m/%d") for day in found})
+
+
+def backfill(
+    trades: DataFrame, paths: JobPaths, name: str = "backfill", days: Sequence[str] | None = None
+) -> dict[str, dict[str, int]]:
     """Upsert the bars, signals and alerts of `trades`; returns the counts per table.
 
-    The trades must cover whole windows. The same `name` again replaces what it wrote before.
+    With `days` ('yyyy/MM/dd', by trade time), only windows of these days are written; the trades must hold the days
+    whole, so read `around` them. The same `name` again replaces what it wrote before.
     """
     summaries = stored_summaries(trades)
+    if days is not None:
+        summaries = summaries.filter(F.date_format("span.start", "yyyy/MM/dd").isin(*days))
     signals = signals_of(merge(summaries, settings.GOLD_WINDOW))
     return {
         "bars": bar_table(paths.bars).upsert(bars_of(summaries), 0, name),

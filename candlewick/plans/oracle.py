@@ -14,10 +14,9 @@ def _half_up(value: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST(({value}) AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
-def _sum_half_up(value: str, digits: int, keep: int = 9, terms: str = "count(*)") -> str:
-    """The same for a value from adding `terms` doubles: with more than two, cut to `keep` digits first."""
-    kept = f"CASE WHEN {terms} > 2 THEN {_half_up(value, keep)} ELSE {value} END"
-    return _half_up(kept, digits)
+def _sum_half_up(value: str, digits: int) -> str:
+    """The same for a value from adding doubles, as far as its first 14 digits: beyond, the order of addition shows."""
+    return _half_up(f"CAST(printf('%.13e', {value}) AS DOUBLE)", digits)
 
 
 def _time(epoch_ms: str) -> str:
@@ -130,7 +129,7 @@ SELECT symbol, CAST({_time("start_ms")} AS DATE) AS date_bucket,
        {_sum_half_up("avg(price)", 2)} AS {mean},
        {_sum_half_up("sum(price * quantity) / nullif(sum(quantity), 0)", 2)} AS vwap,
        {_sum_half_up("sum(quantity)", 6)} AS total_volume,
-       {_sum_half_up("sum(notional_usd)", 2, keep=4)} AS total_notional_usd,
+       {_sum_half_up("sum(notional_usd)", 2)} AS total_notional_usd,
        count(*) AS trade_count,
        {_half_up("avg(latency_ms)", 1)} AS avg_latency_ms
 FROM (SELECT *, {start} AS start_ms FROM trades) GROUP BY symbol, start_ms"""
@@ -154,8 +153,8 @@ sides AS (
 ),
 measured AS (
   SELECT *, sell_volume > buy_volume * 1.5 AS volume_spike,
-         {_sum_half_up("abs(close - mean) / nullif(mean, 0) * 100", 4, terms="trade_count")} AS price_deviation_pct,
-         {_sum_half_up("buy_volume / nullif(buy_volume + sell_volume, 0)", 4, terms="trade_count")} AS buy_pressure
+         {_sum_half_up("abs(close - mean) / nullif(mean, 0) * 100", 4)} AS price_deviation_pct,
+         {_sum_half_up("buy_volume / nullif(buy_volume + sell_volume, 0)", 4)} AS buy_pressure
   FROM sides
 ),
 graded AS (
@@ -241,7 +240,7 @@ messages AS (
 )"""
     chosen = (
         f"price > 0 AND quantity > 0 AND symbol IN {BACKTEST_SYMBOLS} "
-        f"AND {_day_path('ingest_time_ms')} IN {BACKTEST_DAYS}"
+        f"AND {_day_path('trade_time_ms')} IN {BACKTEST_DAYS}"
     )
     now = f"TIMESTAMP '{SERVING_NOW}'"
     on_day = f"symbol = '{SERVING_SYMBOL}' AND date_bucket = CAST({now} AS DATE)"
@@ -268,6 +267,7 @@ messages AS (
             f"WITH {_TICKS},{_trades_of('ticks', chosen)} {_FIVE}"
         ),
         "bars_after_upserts": five,
+        "bars_after_rewrite": five,
         "backfill_bars_5min": five,
         "backfill_signals_15min": signals,
         "ohlcv_5min": five,
@@ -300,8 +300,12 @@ messages AS (
         ),
         "last_day_bars": (
             f"{plain}, bars AS ({_FIVE}) SELECT {_BAR_COLUMNS} FROM bars WHERE symbol = '{SERVING_SYMBOL}' "
-            f"AND window_start > {now} - INTERVAL 24 HOURS AND window_start <= {now} "
-            "ORDER BY window_start DESC LIMIT 288"
+            f"AND window_start > {now} - INTERVAL 24 HOURS AND window_start <= {now}"
+        ),
+        "last_day_bars_sliding": (
+            f"{plain}, bars AS ({_bars(5 * _MINUTE, 'sma_5min', _SLIDES)}) SELECT {_BAR_COLUMNS} FROM bars "
+            f"WHERE symbol = '{SERVING_SYMBOL}' "
+            f"AND window_start > {now} - INTERVAL 24 HOURS AND window_start <= {now}"
         ),
         "todays_alerts": (
             f"{quarter} SELECT window_start, risk_level, alert_message, price_deviation_pct, buy_pressure "

@@ -11,9 +11,9 @@ from candlewick.operators.indicators import rsi
 from candlewick.operators.ingest import (
     accepted, rejected, topic_rows, with_event_time, without_repeats,
 )
-from candlewick.plans.backfill import backfill
+from candlewick.plans.backfill import around, backfill
 from candlewick.session import scratch_folder, stored, stream_session
-from candlewick.settings import LATENESS, RETENTION_DAYS, TRADES_TOPIC
+from candlewick.settings import BARS_PER_DAY, LATENESS, RETENTION_DAYS, TRADES_TOPIC
 from candlewick.sinks.bronze import write_bronze
 from candlewick.sinks.keyed import alert_table, bar_table, health_table, signal_table
 from candlewick.sinks.topic import topic_folder, write_checked
@@ -145,10 +145,24 @@ def bars_from_bronze(spark, sf_dir):
 
 @query
 def backtest_bars(spark, sf_dir):
-    """Bars of two ingest days and two symbols; the other folders are not read."""
+    """Bars of two days and two symbols: whole ones, so the folders of the days around are read too, but no others."""
     folder = scratch_folder(spark, "bronze")
     write_bronze(_trades(spark, sf_dir).drop("trade_timestamp"), folder)
-    return ohlcv(with_event_time(read_bronze(spark, folder, BACKTEST_DAYS, BACKTEST_SYMBOLS)))
+    trades = with_event_time(read_bronze(spark, folder, around(BACKTEST_DAYS), BACKTEST_SYMBOLS))
+    return ohlcv(trades).filter(F.date_format("window_start", "yyyy/MM/dd").isin(*BACKTEST_DAYS))
+
+
+@query
+def bars_after_rewrite(spark, sf_dir):
+    """A batch that was folded into the base is written again under its name: the new rows show."""
+    trades = _trades(spark, sf_dir)
+    table = bar_table(scratch_folder(spark, "bars"))
+    table.upsert(ohlcv(trades.filter(F.col("trade_timestamp") < F.lit("2024-01-10 01:02:00").cast("timestamp"))), 0)
+    table.compact(spark)
+    table.upsert(ohlcv(trades), 0)
+    table.compact(spark)
+    table.drop_superseded(spark)
+    return table.current(spark)
 
 
 @query
@@ -264,7 +278,7 @@ def latest_signals(spark, sf_dir):
 
 @query
 def recent_bars(spark, sf_dir):
-    return serving.recent_bars(ohlcv(_trades(spark, sf_dir)), SERVING_SYMBOL, SERVING_NOW)
+    return serving.recent_bars(ohlcv(_trades(spark, sf_dir)), SERVING_SYMBOL, SERVING_NOW, BARS_PER_DAY)
 
 
 @query
@@ -272,6 +286,11 @@ def last_day_bars(spark, sf_dir):
     return serving.last_day_bars(ohlcv(_trades(spark, sf_dir)), SERVING_SYMBOL, SERVING_NOW)
 
 
+@query
+def last_day_bars_sliding(spark, sf_dir):
+    return serving.last_day_bars(ohlcv(_trades(spark, sf_dir), slide="1 minute"), SERVING_SYMBOL, SERVING_NOW)
+
+
 @query
 def todays_alerts(spark, sf_dir):
     return serving.todays_alerts(risk.trading_signals(_trades(spark, sf_dir)), SERVING_SYMBOL, SERVING_NOW)

@@ -10,7 +10,7 @@ DEVIATION_HIGH_PCT = 2.0
 DEVIATION_MEDIUM_PCT = 1.0
 HIGH_RISK = ("HIGH", "CRITICAL")
 CRITICAL_HEADLINE = "⚠️ CRITICAL RISK"
-HIGH_HEADLINE = "\U0001f534 HIGH risk - Monitor closely. Deviation: "
+HIGH_HEADLINE = "🔴 HIGH risk - Monitor closely. Deviation: "
 DUMP_NOTE = "Volume dump detected"
 LATENCY_BUCKETS_MS = (1, 5, 10, 25, 50, 100, 250, 500)
 RSI_PERIOD = 14

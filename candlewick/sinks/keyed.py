@@ -7,7 +7,9 @@ folder of current rows.
 
     <path>/delta/writer=<w>/batch_id=<n>/   versions of one batch
     <path>/base/version=<k>/                current rows at a compaction
-    <path>/folded/version=<k>/              the batch folders that base replaces
+    <path>/folded/version=<k>/              the batch folders that base replaces, with the time each was finished
+
+A batch folder that is written again after it was folded has another time: it counts as new.
 """
 
 import logging
@@ -24,7 +26,7 @@ from candlewick.sinks.layout import gather
 logger = logging.getLogger(__name__)
 
 _STAMP = "written_at"
-_TASKS_PER_BUCKET = 4
+_LEAST_TASKS = 4
 
 
 class KeyedTable:
@@ -71,7 +73,9 @@ class KeyedTable:
         order = [name for name in self.key if name not in (self.bucket, self.time_column)]
         buckets = [self.bucket] if self.bucket else []
         order = buckets + order
-        stored = gather(stored, buckets, self.key, _TASKS_PER_BUCKET)
+        # A micro-batch often falls into one bucket: a share of the shuffle partitions writes it.
+        spread = max(_LEAST_TASKS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
+        stored = gather(stored, buckets, self.key, spread)
         writer = stored.sortWithinPartitions(*order, F.desc(self.time_column)).write.mode("overwrite")
         writer.partitionBy(*buckets).parquet(folder)
 
@@ -121,7 +125,8 @@ class KeyedTable:
         rows = newest_versions(self._read(spark, base, open_batches), self.key, _STAMP)
         if keep_days is not None:
             rows = retain(rows, self.time_column, keep_days, as_of)
-        names = spark.createDataFrame([(self._relative(folder),) for folder in batches], "value string")
+        listed = [(f"{stamp} {self._relative(folder)}",) for folder, stamp in batches.items()]
+        names = spark.createDataFrame(listed, "value string")
         names.coalesce(1).write.mode("overwrite").text(f"{self.path}/folded/version={number}")
         self._write(rows, self._base(number))
         return number
@@ -132,7 +137,7 @@ class KeyedTable:
         if newest is None:
             return 0
         gone = self._folded(spark, newest)
-        old = [folder for folder in self._batches(spark) if self._relative(folder) in gone]
+        old = [folder for folder, stamp in self._batches(spark).items() if gone.get(self._relative(folder)) == stamp]
         old += [self._base(number) for number in self._bases(spark) if number < newest]
         for folder in old:
             _delete(spark, folder)
@@ -146,9 +151,10 @@ class KeyedTable:
     def _relative(self, folder: str) -> str:
         return "/".join(folder.split("/")[-2:])
 
-    def _batches(self, spark: SparkSession) -> list[str]:
+    def _batches(self, spark: SparkSession) -> dict[str, int]:
+        """Finished batch folders, and when each was finished."""
         found = _finished(spark, f"{self.path}/delta/writer=*/batch_id=*")
-        return [f"{self.path}/delta/{self._relative(folder)}" for folder in found]
+        return {f"{self.path}/delta/{self._relative(folder)}": stamp for folder, stamp in found.items()}
 
     def _bases(self, spark: SparkSession) -> list[int]:
         found = _finished(spark, f"{self.path}/base/version=*")
@@ -157,14 +163,15 @@ class KeyedTable:
     def _newest_base(self, spark: SparkSession) -> int | None:
         return max(self._bases(spark), default=None)
 
-    def _folded(self, spark: SparkSession, number: int) -> set[str]:
-        """Batch folders in a base: one short name for each that was there when it was written."""
-        return {row.value for row in spark.read.text(f"{self.path}/folded/version={number}").collect()}
+    def _folded(self, spark: SparkSession, number: int) -> dict[str, int]:
+        """Batch folders in a base: one short name and time for each that was there when it was written."""
+        rows = spark.read.text(f"{self.path}/folded/version={number}").collect()
+        return {name: int(stamp) for stamp, name in (row.value.split(" ", 1) for row in rows)}
 
-    def _open_batches(self, spark: SparkSession, base: int | None, batches: list[str] | None = None) -> list[str]:
-        folded = set() if base is None else self._folded(spark, base)
+    def _open_batches(self, spark: SparkSession, base: int | None, batches: dict[str, int] | None = None) -> list[str]:
+        folded = {} if base is None else self._folded(spark, base)
         found = self._batches(spark) if batches is None else batches
-        return [folder for folder in found if self._relative(folder) not in folded]
+        return [folder for folder, stamp in found.items() if folded.get(self._relative(folder)) != stamp]
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -172,10 +179,12 @@ def _hadoop(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _finished(spark: SparkSession, pattern: str) -> list[str]:
-    """Folders Spark has finished writing."""
+def _finished(spark: SparkSession, pattern: str) -> dict[str, int]:
+    """Folders Spark has finished writing, and when, in milliseconds."""
     place, files = _hadoop(spark, f"{pattern}/_SUCCESS")
-    return [status.getPath().getParent().toString() for status in files.globStatus(place) or []]
+    return {
+        status.getPath().getParent().toString(): status.getModificationTime() for status in files.globStatus(place) or []
+    }
 
 
 def _delete(spark: SparkSession, folder: str) -> None:

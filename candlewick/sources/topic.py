@@ -14,12 +14,13 @@ def read_topic(
     path: str | None = None,
     starting_offsets: str = "latest",
     max_per_trigger: int | None = None,
-    fail_on_data_loss: bool = False,
+    fail_on_data_loss: bool = True,
 ) -> DataFrame:
     """Stream of (key, value) text.
 
     kind "kafka" subscribes to `topic` on `servers` (needs the Kafka connector on the cluster); kind "files"
-    follows the Parquet files of `path`. `max_per_trigger` limits offsets or files per batch.
+    follows the Parquet files of `path`. `max_per_trigger` limits offsets or files per batch. Offsets
+    that the broker has lost fail the query, unless `fail_on_data_loss` is false: then they are skipped.
     """
     if kind == "kafka":
         stream = (

@@ -3,7 +3,9 @@ from pyspark.sql import functions as F
 from candlewick.operators.bars import bars_of, ohlcv
 from candlewick.operators.signals import alert_history, signals_of, trading_signals
 from candlewick.operators.summaries import merge, summarise
+from candlewick.__main__ import main
 from candlewick.plans.backfill import backfill
+from candlewick.sinks.bronze import write_bronze
 from candlewick.sinks.keyed import alert_table, bar_table, signal_table
 from candlewick.sources import samples
 from candlewick.streaming.jobs import JobPaths
@@ -43,6 +45,20 @@ def test_backfill_fills_all_tables_from_one_scan(spark, tmp_path, small):
     assert again == counts and bar_table(paths.bars).versions(spark).count() == counts["bars"]["rows"]
 
 
+def test_a_day_has_whole_bars_only(spark, tmp_path):
+    """Trades of one bar that were stored on two days, and a bar of the next day that is only half there."""
+    late = [trade(n, float(n), minute=1438.0, ingest_delay=delay, date_partition=day)
+            for n, delay, day in ((1, 5, "2024/01/01"), (2, 600_000, "2024/01/02"))]
+    half = trade(3, 3.0, minute=1441.0, date_partition="2024/01/02")
+    paths = JobPaths(str(tmp_path))
+    write_bronze(frame(spark, [*late, half]).drop("trade_timestamp"), paths.bronze)
+    main(["backfill", "--root", str(tmp_path), "--days", "2024/01/01"])
+    (bar,) = bar_table(paths.bars).current(spark).collect()
+    assert (bar.open, bar.close, bar.trade_count) == (1.0, 2.0, 2)
+    main(["backfill", "--root", str(tmp_path), "--days", "2024/01/02"])
+    assert {row.close for row in bar_table(paths.bars).current(spark).collect()} == {2.0, 3.0}
+
+
 def test_sliding_merge_equals_direct(spark, small):
     trades = samples.trades(samples.events(spark, small))
     direct = bars_of(summarise(trades, "5 minutes", "1 minute"))

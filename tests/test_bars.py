@@ -70,10 +70,17 @@ def test_partitioning_does_not_change_bars(spark, medium, window):
         assert same(one, ohlcv(trades.repartition(7, F.rand(seed)), window))
 
 
-def test_two_trades_round_their_double_sum(spark):
-    """0.15 + 0.18 is a double below 0.33, the same in any order, so its half is no tie."""
+def test_ties_count_as_ties_for_two_trades_too(spark):
+    """0.15 + 0.18 is a double just below 0.33; to 14 digits it is 0.33, whose half rounds up."""
     (bar,) = bars(spark, [trade(1, 0.15), trade(2, 0.18)])
-    assert bar["sma_5min"] == 0.16
+    assert bar["sma_5min"] == 0.17
+
+
+@pytest.mark.parametrize("times", [1, 2, 7])
+def test_repeating_every_trade_changes_no_mean(spark, times):
+    prices = [1.0, 1.0099999998] * times
+    (bar,) = bars(spark, [trade(n, p) for n, p in enumerate(prices)])
+    assert (bar["sma_5min"], bar["vwap"]) == (1.0, 1.0)
 
 
 def test_longer_sums_keep_their_ties(spark):

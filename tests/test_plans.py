@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as contract
+from candlewick.plans.registry import registered
 from candlewick.operators import ingest
 from candlewick.operators.bars import ohlcv
 from candlewick.operators.health import latency_histogram
@@ -63,8 +63,8 @@ def test_momentum_never_sorts_a_whole_symbol(spark, trades):
     assert rows and all(", part#" in line or ", block#" in line or "sum(size" in line for line in rows)
 
 
-@pytest.mark.parametrize("name", [name for name in contract.queries() if not any(part in name for part in WRITING)])
+@pytest.mark.parametrize("name", [name for name in registered() if not any(part in name for part in WRITING)])
 def test_no_python_and_no_cross_join(spark, small, name):
-    text = plan(contract.queries()[name](spark, small), "simple")
+    text = plan(registered()[name](spark, small), "simple")
     for word in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "MapPartitions"):
         assert word not in text

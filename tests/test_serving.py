@@ -31,6 +31,12 @@ def test_last_day_spans_two_days(spark, bars):
     assert all(NOW - datetime.timedelta(hours=24) < start <= NOW for start in starts)
 
 
+def test_a_day_of_sliding_bars_comes_whole(spark):
+    trades = samples.trades(samples.events(spark, "/root/testdata/sf0.1"))
+    rows = serving.last_day_bars(ohlcv(trades, slide="1 minute"), "CLICK", NOW)
+    assert rows.count() > 288
+
+
 def test_without_a_moment_now_counts(spark):
     now = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
     rows = [("producer", now - datetime.timedelta(minutes=minutes), 1.0, 0.0, 1.0, "{}") for minutes in (5, 70)]

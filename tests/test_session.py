@@ -1,0 +1,23 @@
+from types import SimpleNamespace
+
+import pytest
+
+from candlewick.session import scratch_folder
+
+
+def session(master, **conf):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default=None: conf.get(name.replace(".", "_"), default)),
+        sparkContext=SimpleNamespace(master=master),
+    )
+
+
+def test_scratch_goes_to_the_shared_folder():
+    assert scratch_folder(session("yarn", spark_checkpoint_dir="s3a://b/c/"), "x").startswith("s3a://b/c/x-")
+
+
+def test_a_local_folder_serves_local_masters_only():
+    assert scratch_folder(session("local[4]"), "x")
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://h:7077"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_folder(session(master), "x")

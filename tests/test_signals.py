@@ -50,7 +50,7 @@ def test_messages(spark):
         "⚠️ CRITICAL RISK | Price dev: 3.0% | Volume dump detected"
     )
     assert graded(spark, 103.0, 100.0, 9.0, 1.0).alert_message == (
-        "\U0001f534 HIGH risk - Monitor closely. Deviation: 3.0%"
+        "🔴 HIGH risk - Monitor closely. Deviation: 3.0%"
     )
     assert graded(spark, 101.5, 100.0, 9.0, 1.0).alert_message is None
     assert graded(spark, 100.0005, 100.0, 1.0, 9.0).alert_message.endswith("Deviation: 5.0E-4%")
@@ -84,3 +84,11 @@ def test_alerts_are_the_high_risk_signals(spark, small):
     assert alerts.count() == signals.high_risk(rows).count()
     assert alerts.filter(F.col("notified")).isEmpty()
     assert alerts.filter(F.unix_seconds("alert_time") - F.unix_seconds("window_start") != 900).isEmpty()
+
+
+@pytest.mark.parametrize("times", [1, 2, 5])
+def test_repeating_every_trade_changes_no_level(spark, times):
+    """A deviation just above 2.0 rounds to it, however many trades the mean is made of."""
+    prices = [97.9999500001, 102.0000499999] * times
+    (row,) = signals.trading_signals(frame(spark, [trade(n, p) for n, p in enumerate(prices)])).collect()
+    assert (row["price_deviation_pct"], row["risk_level"]) == (2.0, "MEDIUM")
