@@ -9,8 +9,11 @@
 4. What is left is confirmed on the full shingle sets, and confirmed links are joined into components.
 
 A bucket is not expanded into pairs. In a round every bucket compares its members with one leader, and what has
-become one component needs no more comparing; only members outside their bucket's largest component are compared
-with all the rest at the end, so no link between components is lost.
+become one component needs no more comparing. After the first round the shingles that no other member has are
+counted: a document can share only the rest, which bounds the sizes of its partners, or leaves it none. The next leaders
+are the members with the fewest such shingles, as an original has beside its edited copies. At the end the members
+outside their bucket's largest component are compared with all of a size within their bounds, so no link between
+components is lost.
 """
 
 import numpy as np
@@ -28,6 +31,10 @@ SKETCH_BITS = 512
 ESTIMATE = 0.62
 # Leader rounds go on while the pairs left are more than so many for each member of a bucket.
 PAIRS_EACH, MOST_ROUNDS = 4, 6
+# They also end with a round that leaves more than this share of the pairs.
+WORTH = 0.9
+# Size classes for each factor of e.
+SIZE_STEPS = 40
 # Ids of at most this many documents are broadcast.
 BROADCAST_IDS = 1_000_000
 _SAMPLES = BANDS * ROWS
@@ -192,12 +199,7 @@ class Linker:
             (100 * F.least("n", "m") >= self.similarity * F.greatest("n", "m")) & (_odd_ones("s", "t") <= most_odd())
         )
         near = stored(near.select("a", "b", "n", "m"), "candidates")
-        ids = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        if self.sets is not None:
-            ids = ids.join(self.sets.select("id"), "id", "left_anti")
-        wanted = stored(own.select("id", "high", "low").join(ids, "id"), "wanted")
-        new = stored(shingle_sets(self.documents, wanted, self.size), "sets")
-        self.sets = new if self.sets is None else self.sets.unionByName(new)
+        self._read(near.select(F.explode(F.array("a", "b")).alias("id")).distinct())
         left = self.sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
         right = self.sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
         shared = F.size(F.array_intersect("x", "y"))
@@ -206,6 +208,37 @@ class Linker:
         return stored(met.select("a", "b"), "links")
 
 
+    def _read(self, ids: DataFrame) -> None:
+        """Read the sets of these classes, as far as they are not there yet."""
+        if self.sets is not None:
+            ids = ids.join(self.sets.select("id"), "id", "left_anti")
+        wanted = stored(self.nodes.select("id", "high", "low").join(ids, "id"), "wanted")
+        new = stored(shingle_sets(self.documents, wanted, self.size), "sets")
+        self.sets = new if self.sets is None else self.sets.unionByName(new)
+
+    def bounds(self, ids: DataFrame) -> DataFrame:
+        """`id, n, met, low, high` of those classes that can link with another of them.
+
+        `met` of the n shingles are found in another of the classes; a partner has `low` to `high` shingles: two
+        sets as similar as wanted share similarity / (100 + similarity) of their sizes' sum, so at most
+        met * (100 + similarity) / similarity is left for both sizes.
+        """
+        self._read(ids)
+        each = self.sets.join(ids, "id", "left_semi").select("id", F.explode("shingles").alias("shingle"))
+        once = each.groupBy("shingle").agg(F.min("id").alias("id"), F.max("id").alias("other")).where("id = other")
+        alone = once.groupBy("id").agg(F.count(F.lit(1)).alias("alone"))
+        counted = self.nodes.select("id", F.col("n_shingles").alias("n")).join(ids, "id").join(alone, "id", "left")
+        counted = counted.select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("met"))
+        least, n = self.similarity, F.col("n")
+        most = F.least(100 * n / least, F.col("met") * (100 + least) / least - n)
+        bounds = counted.select("*", F.ceil(n * least / 100).alias("low"), F.floor(most + 1e-6).alias("high"))
+        return stored(bounds.where("low <= high"), "bounds")
+
+
+def _size_class(size: Column) -> Column:
+    return F.floor(F.log(size.cast("double")) * SIZE_STEPS)
+
+
 def _pairs(rows: DataFrame, one: str, other: str) -> DataFrame:
     return rows.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct()
 
@@ -242,7 +275,7 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE, similarity: int =
 
 def _linked(members: DataFrame, linker: Linker) -> DataFrame:
     """`node, root` of all links between members of one bucket."""
-    roots, number, total = None, 0, members.count()
+    roots, number, total, before, bounds = None, 0, members.count(), None, None
     while True:
         if roots is None:
             placed = members.withColumn("root", F.col("id"))
@@ -260,14 +293,30 @@ def _linked(members: DataFrame, linker: Linker) -> DataFrame:
         if not left:
             break
         placed = stored(placed.join(largest, "bucket").select("bucket", "id", "root", "top"), "placed")
-        last = left <= PAIRS_EACH * total or number >= MOST_ROUNDS
+        last = left <= PAIRS_EACH * total or number >= MOST_ROUNDS or (number > 1 and left > WORTH * before)
+        before = left
+        if bounds is None and (number or last):
+            bounds = linker.bounds(placed.select("id").distinct())
+            members = stored(members.join(bounds.select("id"), "id", "left_semi"), "members")
+            placed = stored(placed.join(bounds.select("id"), "id", "left_semi"), "placed")
         if last:
-            # Every member outside the largest component with every member of another.
-            outside = placed.where("root <> top").select("bucket", F.col("id").alias("other"), F.col("root").alias("apart"))
-            met = outside.join(placed, "bucket").where("root <> apart AND (root = top OR other < id)")
+            # Every member outside the largest component with every member of another that its bounds allow.
+            sized = placed.join(bounds, "id")
+            classes = F.sequence(_size_class(F.col("low")), _size_class(F.col("high")))
+            outside = sized.where("root <> top").select(
+                "bucket", F.col("id").alias("other"), F.col("root").alias("apart"), F.col("low").alias("least"),
+                F.col("high").alias("most"), F.col("n").alias("own"), F.explode(classes).alias("class"),
+            )
+            sized = sized.withColumn("class", _size_class(F.col("n")))
+            met = outside.join(sized, ["bucket", "class"]).where(
+                "root <> apart AND (root = top OR other < id) AND n BETWEEN least AND most AND own BETWEEN low AND high"
+            )
             pairs = _pairs(met, "id", "other")
         else:
             order = F.xxhash64(F.lit(number), F.col("id"))
+            if number == 1:
+                placed = placed.join(bounds.select("id", "n", "met"), "id")
+                order = F.struct((1 - F.col("met") / F.col("n")).alias("alone"), order)
             leaders = placed.groupBy("bucket").agg(F.min(F.struct(order.alias("order"), "id", "root")).alias("l"))
             met = placed.join(leaders, "bucket").where("root <> l.root").select("id", F.col("l.id").alias("leader"))
             pairs = _pairs(met, "id", "leader")
