@@ -300,17 +300,22 @@ def _linked(members: DataFrame, linker: Linker) -> DataFrame:
             members = stored(members.join(bounds.select("id"), "id", "left_semi"), "members")
             placed = stored(placed.join(bounds.select("id"), "id", "left_semi"), "placed")
         if last:
-            # Every member outside the largest component with every member of another that its bounds allow.
-            sized = placed.join(bounds, "id")
+            # Every member outside the largest component with every member of another that its bounds and sketch
+            # allow, each pair in the first of its common buckets.
+            buckets = placed.groupBy("id").agg(F.collect_list("bucket").alias("buckets"))
+            sized = placed.join(bounds, "id").join(linker.nodes.select("id", "sketch"), "id").join(buckets, "id")
             classes = F.sequence(_size_class(F.col("low")), _size_class(F.col("high")))
             outside = sized.where("root <> top").select(
                 "bucket", F.col("id").alias("other"), F.col("root").alias("apart"), F.col("low").alias("least"),
-                F.col("high").alias("most"), F.col("n").alias("own"), F.explode(classes).alias("class"),
+                F.col("high").alias("most"), F.col("n").alias("own"), F.col("sketch").alias("drawn"),
+                F.col("buckets").alias("places"), F.explode(classes).alias("class"),
             )
             sized = sized.withColumn("class", _size_class(F.col("n")))
             met = outside.join(sized, ["bucket", "class"]).where(
                 "root <> apart AND (root = top OR other < id) AND n BETWEEN least AND most AND own BETWEEN low AND high"
-            )
+            ).where((_odd_ones("sketch", "drawn") <= most_odd()) & (
+                F.col("bucket") == F.array_min(F.array_intersect("buckets", "places"))
+            ))
             pairs = _pairs(met, "id", "other")
         else:
             order = F.xxhash64(F.lit(number), F.col("id"))
