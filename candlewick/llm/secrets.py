@@ -91,10 +91,9 @@ def scan(documents: DataFrame, path: str, rules: tuple[Rule, ...] = RULES) -> Da
     known = seen.where(F.col("rule").isin(names)).groupBy("blob").agg(F.collect_set("rule").alias("known"))
     wanted = F.array(*map(F.lit, names))
     needed = F.array_except(wanted, F.coalesce("known", F.array().cast("array<string>")))
-    pending = (
-        texts.join(known, "blob", "left").withColumn("needed", needed).where(F.size("needed") > 0)
-        .dropDuplicates(["blob"])
-    )
+    # Copies are dropped within each task first, so a task sends a text once, however many rows share it.
+    blobs = texts.dropDuplicates(["blob"])
+    pending = blobs.join(known, "blob", "left").withColumn("needed", needed).where(F.size("needed") > 0)
     by_rule = F.array(*[
         F.struct(F.lit(rule.kind).alias("kind"), F.lit(rule.version).alias("version"), _raw_matches(rule).alias("found"))
         for rule in rules
