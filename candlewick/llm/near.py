@@ -199,7 +199,9 @@ class Linker:
             (100 * F.least("n", "m") >= self.similarity * F.greatest("n", "m")) & (_odd_ones("s", "t") <= most_odd())
         )
         near = stored(near.select("a", "b", "n", "m"), "candidates")
-        self._read(near.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+        # Each side is reduced to its own ids first: there may be far more pairs than classes.
+        ids = near.select(F.col("a").alias("id")).distinct().union(near.select(F.col("b").alias("id")).distinct())
+        self._read(ids.distinct())
         left = self.sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
         right = self.sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
         shared = F.size(F.array_intersect("x", "y"))
@@ -207,7 +209,6 @@ class Linker:
         met = near.join(right, "b").join(left, "a").where(100 * shared >= self.similarity * whole)
         return stored(met.select("a", "b"), "links")
 
-
     def _read(self, ids: DataFrame) -> None:
         """Read the sets of these classes, as far as they are not there yet."""
         if self.sets is not None:
