@@ -35,6 +35,8 @@ PAIRS_EACH, MOST_ROUNDS = 4, 6
 WORTH = 0.9
 # Size classes for each factor of e.
 SIZE_STEPS = 40
+# Shingles are counted in so many cells (a power of two) by their hash.
+CELLS = 64
 # Ids of at most this many documents are broadcast.
 BROADCAST_IDS = 1_000_000
 _SAMPLES = BANDS * ROWS
@@ -131,23 +133,23 @@ def signed(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
 
 
 def shingle_sets(documents: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """`id, shingles` of the classes in `nodes` (`id, high, low`), from the texts of their representatives."""
+    """`id, shingles, cells` of the classes in `nodes` (`id, high, low`), from the texts of their representatives."""
 
     def collect(batches):
         for batch in batches:
-            ids, sets = [], []
+            ids, sets, cells = [], [], []
             for row in zip(*(batch[name].to_pylist() for name in ("id", "high", "low", "text")), strict=True):
                 words = words_of(row[3])
                 if _key(words) == (row[1], row[2]):
                     ids.append(row[0])
                     sets.append(shingle_set(words, size).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"]
-            )
+                    cells.append(np.bincount(sets[-1] & (CELLS - 1), minlength=CELLS).astype(np.int32))
+            columns = [pa.array(ids, pa.int64()), pa.array(sets, pa.list_(pa.int64())), pa.array(cells, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "shingles", "cells"])
 
     wanted = F.broadcast(nodes) if nodes.count() <= BROADCAST_IDS else nodes
     texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id")
-    found = texts.select("id", "high", "low", "text").mapInArrow(collect, "id long, shingles array<long>")
+    found = texts.select("id", "high", "low", "text").mapInArrow(collect, "id long, shingles array<long>, cells array<int>")
     return found.dropDuplicates(["id"])
 
 
@@ -218,24 +220,37 @@ class Linker:
         self.sets = new if self.sets is None else self.sets.unionByName(new)
 
     def bounds(self, ids: DataFrame) -> DataFrame:
-        """`id, n, met, low, high` of those classes that can link with another of them.
+        """`id, n, met, low, high, cells` of those classes that can link with another of them.
 
         `met` of the n shingles are found in another of the classes; a partner has `low` to `high` shingles: two
         sets as similar as wanted share similarity / (100 + similarity) of their sizes' sum, so at most
-        met * (100 + similarity) / similarity is left for both sizes.
+        met * (100 + similarity) / similarity is left for both sizes. `cells` counts the met shingles by cell: two
+        sets share no more than the lesser count of each cell.
         """
         self._read(ids)
         each = self.sets.join(ids, "id", "left_semi").select("id", F.explode("shingles").alias("shingle"))
         once = each.groupBy("shingle").agg(F.min("id").alias("id"), F.max("id").alias("other")).where("id = other")
-        alone = once.groupBy("id").agg(F.count(F.lit(1)).alias("alone"))
-        counted = self.nodes.select("id", F.col("n_shingles").alias("n")).join(ids, "id").join(alone, "id", "left")
-        counted = counted.select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("met"))
+        alone = once.groupBy("id", F.col("shingle").bitwiseAND(F.lit(CELLS - 1)).cast("int").alias("cell")).agg(
+            F.count(F.lit(1)).cast("int").alias("alone")
+        )
+        # At most one entry for each cell.
+        alone = alone.groupBy("id").agg(
+            F.sum("alone").alias("alone"), F.map_from_entries(F.collect_list(F.struct("cell", "alone"))).alias("by_cell")
+        )
+        counted = self.nodes.select("id", F.col("n_shingles").alias("n")).join(ids, "id")
+        counted = counted.join(self.sets.select("id", "cells"), "id").join(alone, "id", "left")
+        cells = F.transform("cells", lambda count, cell: count - F.coalesce(F.col("by_cell")[cell], F.lit(0)))
+        counted = counted.select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("met"), cells.alias("cells"))
         least, n = self.similarity, F.col("n")
         most = F.least(100 * n / least, F.col("met") * (100 + least) / least - n)
         bounds = counted.select("*", F.ceil(n * least / 100).alias("low"), F.floor(most + 1e-6).alias("high"))
         return stored(bounds.where("low <= high"), "bounds")
 
 
+def _most_shared(left: str, right: str) -> Column:
+    return F.aggregate(F.zip_with(left, right, lambda one, other: F.least(one, other)), F.lit(0), lambda total, least: total + least)
+
+
 def _size_class(size: Column) -> Column:
     return F.floor(F.log(size.cast("double")) * SIZE_STEPS)
 
@@ -301,14 +316,14 @@ def _linked(members: DataFrame, linker: Linker) -> DataFrame:
             members = stored(members.join(bounds.select("id"), "id", "left_semi"), "members")
             placed = stored(placed.join(bounds.select("id"), "id", "left_semi"), "placed")
         if last:
-            # Every member outside the largest component with every member of another that its bounds and sketch
-            # allow, each pair in the first of its common buckets.
+            # Every member outside the largest component with every member of another that its bounds, sketch and
+            # cells allow, each pair in the first of its common buckets.
             buckets = placed.groupBy("id").agg(F.collect_list("bucket").alias("buckets"))
             sized = placed.join(bounds, "id").join(linker.nodes.select("id", "sketch"), "id").join(buckets, "id")
             classes = F.sequence(_size_class(F.col("low")), _size_class(F.col("high")))
             outside = sized.where("root <> top").select(
                 "bucket", F.col("id").alias("other"), F.col("root").alias("apart"), F.col("low").alias("least"),
-                F.col("high").alias("most"), F.col("n").alias("own"), F.col("sketch").alias("drawn"),
+                F.col("high").alias("most"), F.col("n").alias("own"), F.col("sketch").alias("drawn"), F.col("cells").alias("counts"),
                 F.col("buckets").alias("places"), F.explode(classes).alias("class"),
             )
             sized = sized.withColumn("class", _size_class(F.col("n")))
@@ -316,7 +331,7 @@ def _linked(members: DataFrame, linker: Linker) -> DataFrame:
                 "root <> apart AND (root = top OR other < id) AND n BETWEEN least AND most AND own BETWEEN low AND high"
             ).where((_odd_ones("sketch", "drawn") <= most_odd()) & (
                 F.col("bucket") == F.array_min(F.array_intersect("buckets", "places"))
-            ))
+            )).where((100 + linker.similarity) * _most_shared("cells", "counts") >= linker.similarity * (F.col("n") + F.col("own")))
             pairs = _pairs(met, "id", "other")
         else:
             order = F.xxhash64(F.lit(number), F.col("id"))
