@@ -3,21 +3,22 @@
 Every piece of text has a root-to-leaf tag path. Per path, text length and punctuation are summed over its text
 nodes and divided by their number; both ratios are smoothed over neighbouring paths in page order, fused by
 multiplication and with a prior that is 0 inside menus, footers, adverts and the like, and cut off at a share of
-their standard deviation. The paths above it point out the content; their deepest common container that holds
-nearly all of it is the article, and every block in it comes out except what the prior rules out.
+their standard deviation. The paths above it point out the content; the deepest container of all of them, never one
+inside an article or main element, is the article, and every block in it comes out except what the prior rules out. A
+title (h1) before or after an article or main element without one comes out too.
 """
 
 import re
 from html import unescape
 from itertools import groupby
+from os.path import commonprefix
 from statistics import pstdev
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-# Shares: of the standard deviation that a path must reach, of the selected text that the container must hold.
+# Share of the standard deviation that a path must reach.
 CUT = 0.2
-HELD = 0.8
 # Weights of a path and its neighbours in page order.
 _SMOOTH = (0.25, 0.5, 0.25)
 _PUNCTUATION = re.compile(r"[.,;:!?]")
@@ -122,8 +123,12 @@ def _smoothed(values: list[float]) -> list[float]:
     return [sum(w * v for w, v in zip(_SMOOTH, padded[i : i + 3], strict=True)) for i in range(len(values))]
 
 
+def _inside(path: tuple[str, ...]) -> bool:
+    return any(tag in _MAIN for tag in path)
+
+
 def _container(nodes) -> tuple[str, ...]:
-    """The path of the element that holds the content."""
+    """The path of the element that holds the content: all selected paths, and an article or main element whole."""
     sums: dict[tuple, list[float]] = {}
     for _, path, side, text in nodes:
         text = text.strip()
@@ -134,27 +139,31 @@ def _container(nodes) -> tuple[str, ...]:
             own[2] += 1
     if not sums:
         return ()
-    lengths = _smoothed([chars / count for chars, _, count in sums.values()])
-    marks = _smoothed([1 + points / count for _, points, count in sums.values()])
-    scores = [a * b * (2 if any(tag in _MAIN for tag in path) else 1) for path, a, b in zip(sums, lengths, marks, strict=True)]
+    lengths, marks = [], []
+    # Not across the border of an article, or what is next to it would be taken for a part of it.
+    for _, run in groupby(sums, key=_inside):
+        own = [sums[path] for path in run]
+        lengths += _smoothed([chars / count for chars, _, count in own])
+        marks += _smoothed([1 + points / count for _, points, count in own])
+    scores = [a * b * (2 if _inside(path) else 1) for path, a, b in zip(sums, lengths, marks, strict=True)]
     cut = min(CUT * pstdev(scores), max(scores))
-    chosen = {path: sums[path][0] for path, score in zip(sums, scores, strict=True) if score >= cut}
-    held: dict[tuple, float] = {}
-    for path, chars in chosen.items():
-        for depth in range(len(path) + 1):
-            if not depth or path[depth - 1] not in _LEAVES:
-                held[path[:depth]] = held.get(path[:depth], 0) + chars
-    enough = [path for path, chars in held.items() if chars >= HELD * sum(chosen.values())]
-    return max(enough, key=len, default=())
+    common = commonprefix([path for path, score in zip(sums, scores, strict=True) if score >= cut])
+    if _inside(common):
+        return common[: next(depth for depth, tag in enumerate(common, 1) if tag in _MAIN)]
+    while common and common[-1] in _LEAVES:
+        common = common[:-1]
+    return common
 
 
 def main_text(html: str | None) -> str:
     """The blocks of the article, joined by empty lines; empty without any."""
     nodes = _nodes(html or "")
     container = _container(nodes)
+    held = lambda path: path[: len(container)] == container
+    titled = not _inside(container) or any("h1" in path and held(path) and text.strip() for _, path, side, text in nodes if not side)
     blocks = []
     for _, parts in groupby(nodes, key=lambda node: node[0]):
-        kept = [text for _, path, side, text in parts if not side and path[: len(container)] == container]
+        kept = [text for _, path, side, text in parts if not side and (held(path) or not titled and "h1" in path)]
         if text := " ".join("".join(kept).split()):
             blocks.append(text)
     return "\n\n".join(blocks)

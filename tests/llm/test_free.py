@@ -152,6 +152,24 @@ def test_pages():
     assert pages.main_text(None) == pages.main_text("") == "" and pages.main_text("bare text") == "bare text"
 
 
+LONG = "A long sentence, with some marks; it goes on, and on, until the end of the line. " * 12
+SHORT = "A last word, and a short one."
+
+
+@pytest.mark.parametrize("page, blocks", [
+    (f"<article><h1>Title</h1><div class=body><p>{LONG}</p></div></article>", ["Title", LONG]),
+    (f"<article><div><p>{LONG}</p></div><section><p>{SHORT}</p></section></article>", [LONG, SHORT]),
+    (f"<main><article><div><p>{LONG}</p></div></article><section><h2>End</h2><p>{SHORT}</p></section></main>", [LONG, "End", SHORT]),
+    (f"<div><h1>Title</h1><section><p>{LONG}</p><p>{LONG}</p></section><p>{SHORT}</p></div>", ["Title", LONG, LONG, SHORT]),
+    (f"<div><div><p>{LONG}</p></div><section><p>{SHORT * 4}</p></section></div><footer>No</footer>", [LONG, SHORT * 4]),
+    (f"<h1>Title</h1><article><p>{LONG}</p></article><div>All rights reserved.</div>", ["Title", LONG]),
+    (f"<h1>Site</h1><article><h1>Title</h1><p>{LONG}</p></article><div>All rights reserved.</div>", ["Title", LONG]),
+    (f"<article><p>{LONG}</p></article><section><div><p>{LONG}</p></div></section>", [LONG, LONG]),
+])
+def test_an_article_comes_out_whole(page, blocks):
+    assert pages.main_text(f"<html><body><nav><a>Home</a></nav>{page}</body></html>") == "\n\n".join(block.strip() for block in blocks)
+
+
 def test_pages_of_the_table(spark, small):
     from html import unescape
 
