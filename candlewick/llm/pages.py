@@ -3,16 +3,19 @@
 Every piece of text has a root-to-leaf tag path. Per path, text length and punctuation are summed over its text
 nodes and divided by their number; both ratios are smoothed over neighbouring paths in page order, fused by
 multiplication and with a prior that is 0 inside menus, footers, adverts and the like, and cut off at a share of
-their standard deviation. The paths above it point out the content; the deepest container of all of them, never one
+their standard deviation. The prior goes by tags and names, so it is lifted from an element that turns out to hold the
+article: the only article, main or h1 elements, or most of the text. The paths above it point out the content; the deepest container of all of them, never one
 inside an article or main element, is the article, and every block in it comes out except what the prior rules out. A
 title (h1) before or after an article or main element without one comes out too.
 """
 
 import re
+from collections import Counter
 from html import unescape
 from itertools import groupby
 from os.path import commonprefix
 from statistics import pstdev
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -49,35 +52,53 @@ _SIDE_NAME = re.compile(
     r"|newsletter|subscri\w+|signup|login|popup|modal|overlay|breadcrumbs?|pagination|pager|widget|skip|search)(?:$|[\s_-])",
     re.I,
 )
+# Words that say what an element has beside it or is for, not what it is: 'with-sidebar', 'no-comments', 'entry-header'.
+_BESIDE = re.compile(
+    r"(?:^|(?<=[\s_-]))(?:(?:with|without|has|have|no|not|non|hide|show|is)[_-]\S*|(?:entry|post|article|story|content|title)[_-]header(?=$|[\s_-]))",
+    re.I,
+)
 _SIDE_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+# How sure the prior is of an element: not at all of what often wraps a page; of names; of tags and roles; of what is not shown.
+_WRAPPER, _NAMED, _TAGGED, _UNSEEN = range(4)
+_WRAPPERS = frozenset(("form", "fieldset", "header"))
+# Shares of the text: an element with more holds most of it; with less left besides, it may also hold the article of a page whose h1 is outside.
+MOST, REST = 0.5, 0.1
 # Opening one of these ends an open one of the others.
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
          "th": ("td", "th"), "option": ("option",)}
 
 
-def _side(tag: str, attributes: str, inside_main: bool) -> bool:
-    if tag in _SIDE or tag == "header" and not inside_main:
-        return True
+class _Side(NamedTuple):
+    """An element that the prior rules out: where it begins, how sure, and whether in an article or main element."""
+
+    start: int
+    sure: int
+    inside: bool
+
+
+def _side(tag: str, attributes: str, inside_main: bool) -> int | None:
+    """How sure the prior rules an element out; None if it does not."""
+    found = [_WRAPPER if tag in _WRAPPERS else _TAGGED] if tag in _SIDE or tag == "header" and not inside_main else []
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), next(filter(None, values), "")
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _HIDDEN.search(value):
-            return True
+            found.append(_UNSEEN)
         if name == "role" and value.lower() in _SIDE_ROLE:
-            return True
-        if name in ("class", "id") and tag not in ("html", "body", *_MAIN) and _SIDE_NAME.search(value):
-            return True
-    return False
+            found.append(_WRAPPER if value.lower() in _WRAPPERS else _TAGGED)
+        if name in ("class", "id") and tag not in ("html", "body", *_MAIN) and _SIDE_NAME.search(_BESIDE.sub("", value)):
+            found.append(_NAMED)
+    return max(found, default=None)
 
 
-def _nodes(html: str) -> list[tuple[int, tuple[str, ...], bool, str]]:
-    """(block, path, side, text) of the text nodes in page order; a line break is a node with a blank."""
-    stack: list[tuple[str, bool]] = []
+def _nodes(html: str) -> list[tuple[int, tuple[str, ...], tuple[_Side, ...], str]]:
+    """(block, path, sides, text) of the text nodes in page order; a line break is a node with a blank."""
+    stack: list[tuple[str, tuple[_Side, ...]]] = []
     found, block, at = [], 0, 0
     while match := _TOKEN.match(html, at):
         at = match.end()
         if text := match["text"]:
-            found.append((block, tuple(tag for tag, _ in stack), bool(stack and stack[-1][1]), unescape(text)))
+            found.append((block, tuple(tag for tag, _ in stack), stack[-1][1] if stack else (), unescape(text)))
             continue
         tag = match["tag"] or match["tag2"]
         if not tag:
@@ -91,7 +112,7 @@ def _nodes(html: str) -> list[tuple[int, tuple[str, ...], bool, str]]:
                 del stack[len(names) - 1 - names[::-1].index(tag) :]
             continue
         if tag == "br":
-            found.append((block, tuple(name for name, _ in stack), bool(stack and stack[-1][1]), " "))
+            found.append((block, tuple(name for name, _ in stack), stack[-1][1] if stack else (), " "))
         if tag in _VOID:
             continue
         if tag in _RAW:
@@ -99,6 +120,8 @@ def _nodes(html: str) -> list[tuple[int, tuple[str, ...], bool, str]]:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(html, at)
             if not end and tag == "head":
                 end = re.compile(r"(?=<body\b)", re.I).search(html, at)
+            if not end and tag == "head":
+                continue  # neither ends it; what may stand in it has no text of the page
             if not match[0].endswith("/>") or tag in _NO_MARKUP:
                 at = end.end() if end else len(html)
             continue
@@ -111,22 +134,67 @@ def _nodes(html: str) -> list[tuple[int, tuple[str, ...], bool, str]]:
             if open_ones and open_ones[-1] > border:
                 first = next(place for place in open_ones if place > border)
                 del stack[first:]
-        above = bool(stack and stack[-1][1])
-        inside = any(name in _MAIN for name, _ in stack)
         if not match[0].endswith("/>"):
-            stack.append((tag, above or _side(tag, match["rest"] or match["rest2"] or "", inside)))
+            sides = stack[-1][1] if stack else ()
+            inside = any(name in _MAIN for name, _ in stack)
+            if (sure := _side(tag, match["rest"] or match["rest2"] or "", inside)) is not None:
+                sides += (_Side(match.start(), sure, inside),)
+            stack.append((tag, sides))
     return found
 
 
+def _inside(path: tuple[str, ...]) -> bool:
+    return any(tag in _MAIN for tag in path)
+
+
+def _lifted(nodes) -> set[_Side]:
+    """The ruled-out elements that hold the article after all."""
+    texts = [(path, sides, len(text.strip())) for _, path, sides, text in nodes if text.strip()]
+    texts = [node for node in texts if not any(side.sure == _UNSEEN for side in node[1])]
+    lifted: set[_Side] = set()
+    kept = lambda sides: lifted.issuperset(sides)
+    total = sum(chars for *_, chars in texts)
+
+    # An article or main element, where the page has no other; the one with most text and those with only wrappers above.
+    titled = any("h1" in path and kept(sides) for path, sides, _ in texts)
+    if not any(_inside(path) and kept(sides) for path, sides, _ in texts):
+        above: Counter = Counter()
+        for path, sides, chars in texts:
+            if _inside(path):
+                above[tuple(side for side in sides if not side.inside)] += chars
+        if above and (not titled or above.most_common(1)[0][1] > MOST * total):
+            lifted.update(above.most_common(1)[0][0])
+            if not titled:
+                lifted.update(*[sides for sides in above if all(side.sure == _WRAPPER or side in lifted for side in sides)])
+    has_main = any(_inside(path) and kept(sides) for path, sides, _ in texts)
+
+    # A title, where there is no other; where there is an article, only one in it.
+    titles = [sides for path, sides, _ in texts if "h1" in path and (_inside(path) or not has_main)]
+    if not any(kept(sides) for sides in titles):
+        lifted.update(*[sides for sides in titles if all(side.sure <= _NAMED for side in sides if side not in lifted)])
+    if has_main:
+        return lifted
+
+    # Most of the text that may be the article.
+    own = [(path, sides, chars) for path, sides, chars in texts if all(side.sure <= _NAMED or side in lifted for side in sides)]
+    total = sum(chars for *_, chars in own)
+    rest = sum(chars for path, sides, chars in own if kept(sides) and "h1" not in path)
+    titled = any("h1" in path and kept(sides) for path, sides, _ in own)
+    holds: Counter = Counter()
+    for _, sides, chars in own:
+        for side in sides:
+            holds[side] += chars
+    for side, chars in holds.items():
+        if chars > MOST * total and (side.sure == _WRAPPER or not titled or rest < REST * total):
+            lifted.add(side)
+    return lifted
+
+
 def _smoothed(values: list[float]) -> list[float]:
     padded = [values[0], *values, values[-1]]
     return [sum(w * v for w, v in zip(_SMOOTH, padded[i : i + 3], strict=True)) for i in range(len(values))]
 
 
-def _inside(path: tuple[str, ...]) -> bool:
-    return any(tag in _MAIN for tag in path)
-
-
 def _container(nodes) -> tuple[str, ...]:
     """The path of the element that holds the content: all selected paths, and an article or main element whole."""
     sums: dict[tuple, list[float]] = {}
@@ -158,6 +226,9 @@ def _container(nodes) -> tuple[str, ...]:
 def main_text(html: str | None) -> str:
     """The blocks of the article, joined by empty lines; empty without any."""
     nodes = _nodes(html or "")
+    if any(sides for _, _, sides, _ in nodes):
+        lifted = _lifted(nodes)
+        nodes = [(block, path, not lifted.issuperset(sides), text) for block, path, sides, text in nodes]
     container = _container(nodes)
     held = lambda path: path[: len(container)] == container
     titled = not _inside(container) or any("h1" in path and held(path) and text.strip() for _, path, side, text in nodes if not side)

@@ -170,6 +170,37 @@ def test_an_article_comes_out_whole(page, blocks):
     assert pages.main_text(f"<html><body><nav><a>Home</a></nav>{page}</body></html>") == "\n\n".join(block.strip() for block in blocks)
 
 
+BODY = f"<h1>Title</h1><p>{LONG}</p><p>{SHORT}</p>"
+WHOLE = ["Title", LONG, SHORT]
+MENU = "<nav><a>Home</a></nav><div class=cookie-notice><p>We use cookies, as you know, for good reasons.</p></div>"
+COMMENTS = f"<section id=comments><p>{LONG}</p><p>{LONG}</p></section>"
+
+
+@pytest.mark.parametrize("page, blocks", [
+    (f"<form id=aspnetForm>{MENU}<div>{BODY}</div>{COMMENTS}</form>", WHOLE),
+    (f"<form id=aspnetForm><article>{BODY}</article><div class=related><article><p>{SHORT}</p></article></div></form>", WHOLE),
+    (f"<div class=top>Site name</div><form><div><p>{LONG}</p></div></form>", ["Site name", LONG]),
+    (f"<h1>Title</h1><div class='content left-sidebar'><p>{LONG}</p><p>{SHORT}</p></div>", WHOLE),
+    *[(f"{MENU}<div class='{name}'>{BODY}</div>", WHOLE) for name in ("content with-sidebar", "has-sidebar", "no-comments", "sidebar-wrap")],
+    *[(f"{MENU}<div class='{name}'><p>{LONG}</p></div><div><p>{LONG}</p></div>", [LONG, LONG]) for name in ("content with-sidebar", "page-no-comments")],
+    (f"<div class=entry-header><h1>Title</h1></div><div class=text><p>{LONG}</p><p>{SHORT}</p></div>", WHOLE),
+    (f"<article><div class=masthead><h1>Title</h1></div><p>{LONG}</p><p>{SHORT}</p></article>{COMMENTS}", WHOLE),
+    # What is beside an article stays out, however long.
+    (f"<header class=top><h1>Site</h1></header><article><h2>Title</h2><p>{LONG}</p><p>{SHORT}</p></article>{COMMENTS}", WHOLE),
+    (f"{MENU}<div>{BODY}</div>{COMMENTS}<form><p>{SHORT}</p></form>", WHOLE),
+    (f"{MENU}<div>{BODY}</div><div class=related><article><p>{SHORT}</p></article></div>", WHOLE),
+    (f"<div>{BODY}</div><div style='display:none'><h1>No</h1><p>{LONG * 5}</p></div>", WHOLE),
+    ("<nav>Home</nav><footer>&copy; me</footer>", []),
+])
+def test_furniture_that_holds_the_article_is_none(page, blocks):
+    assert pages.main_text(f"<html><head><title>T</title></head><body>{page}</body></html>") == "\n\n".join(block.strip() for block in blocks)
+
+
+def test_a_head_without_an_end():
+    head = "<html><head><meta charset=utf-8><title>T</title><script>var a='<p>no'</script><style>p{}</style>"
+    assert pages.main_text(f"{head}<article>{BODY}</article>") == "\n\n".join(block.strip() for block in WHOLE)
+
+
 def test_pages_of_the_table(spark, small):
     from html import unescape
 
