@@ -12,7 +12,7 @@ from datetime import datetime, timezone
 
 from candlewick import settings
 from candlewick.operators.ingest import check, with_event_time
-from candlewick.plans.backfill import around, backfill
+from candlewick.plans.backfill import backfill
 from candlewick.session import build_session, stream_session
 from candlewick.sinks.keyed import alert_table, bar_table, health_table, signal_table
 from candlewick.sinks.topic import write_checked
@@ -84,7 +84,7 @@ def main(given: list[str] | None = None) -> None:
             source |= {"path": options.path}
         queries = start_all(spark, paths, trigger, options.alerts, **source)
     elif options.job == "backfill":
-        stored = read_bronze(spark, paths.bronze, options.days and around(options.days))
+        stored = read_bronze(spark, paths.bronze)
         # Each choice of days is a batch of its own.
         name = options.name or "-".join(["backfill", *[day.replace("/", "") for day in options.days or ()]])
         print(backfill(with_event_time(stored), paths, name, options.days))

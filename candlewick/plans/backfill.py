@@ -1,7 +1,7 @@
 """Bars, signals and alerts of stored trades from one scan of them."""
 
 from collections.abc import Sequence
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,6 +13,8 @@ from candlewick.session import scratch_folder
 from candlewick.sinks.keyed import alert_table, bar_table, signal_table
 from candlewick.streaming.jobs import JobPaths
 
+_SECONDS_PER_DAY = 86400
+
 
 def stored_summaries(trades: DataFrame, window: str = settings.SILVER_WINDOW) -> DataFrame:
     """Summaries, written once to shared storage and read back.
@@ -27,10 +29,21 @@ def stored_summaries(trades: DataFrame, window: str = settings.SILVER_WINDOW) ->
     return spark.read.schema(rows.schema).parquet(folder)
 
 
-def around(days: Sequence[str]) -> list[str]:
-    """The days ('yyyy/MM/dd') with the one before and the one after each: where their trades may have been stored."""
-    found = [datetime.strptime(day, "%Y/%m/%d") + timedelta(days=ahead) for day in days for ahead in (-1, 0, 1)]
-    return sorted({day.strftime("%Y/%m/%d") for day in found})
+def on_days(trades: DataFrame, days: Sequence[str]) -> DataFrame:
+    """The trades of some UTC days ('yyyy/MM/dd') by trade time, wherever they are stored.
+
+    Late, replayed or misdated trades may be in the folder of any ingest day, so no folder is left out; Parquet's
+    statistics of the trade time let a scan skip the files and row groups of other days.
+    """
+    at, chosen = F.col("trade_time_ms"), F.lit(False)
+    found = sorted({datetime.strptime(day, "%Y/%m/%d").replace(tzinfo=timezone.utc) for day in days})
+    # Days in a row are one range.
+    firsts = [day for day in found if day - timedelta(days=1) not in found]
+    lasts = [day for day in found if day + timedelta(days=1) not in found]
+    for first, last in zip(firsts, lasts, strict=True):
+        start, end = int(first.timestamp()) * 1000, (int(last.timestamp()) + _SECONDS_PER_DAY) * 1000
+        chosen = chosen | ((at >= start) & (at < end))
+    return trades.filter(chosen)
 
 
 def backfill(
@@ -38,12 +51,10 @@ def backfill(
 ) -> dict[str, dict[str, int]]:
     """Upsert the bars, signals and alerts of `trades`; returns the counts per table.
 
-    With `days` ('yyyy/MM/dd', by trade time), only windows of these days are written; the trades must hold the days
-    whole, so read `around` them. The same `name` again replaces what it wrote before.
+    With `days` ('yyyy/MM/dd', by trade time), only windows of these days are written. They replace what is there, so
+    `trades` must be all that are stored, of every ingest day. The same `name` again replaces what it wrote before.
     """
-    summaries = stored_summaries(trades)
-    if days is not None:
-        summaries = summaries.filter(F.date_format("span.start", "yyyy/MM/dd").isin(*days))
+    summaries = stored_summaries(trades if days is None else on_days(trades, days))
     signals = signals_of(merge(summaries, settings.GOLD_WINDOW))
     return {
         "bars": bar_table(paths.bars).upsert(bars_of(summaries), 0, name),

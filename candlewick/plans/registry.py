@@ -11,7 +11,7 @@ from candlewick.operators.indicators import rsi
 from candlewick.operators.ingest import (
     accepted, rejected, topic_rows, with_event_time, without_repeats,
 )
-from candlewick.plans.backfill import around, backfill
+from candlewick.plans.backfill import backfill, on_days
 from candlewick.session import scratch_folder, stored, stream_session
 from candlewick.settings import BARS_PER_DAY, LATENESS, RETENTION_DAYS, TRADES_TOPIC
 from candlewick.sinks.bronze import write_bronze
@@ -145,11 +145,10 @@ def bars_from_bronze(spark, sf_dir):
 
 @query
 def backtest_bars(spark, sf_dir):
-    """Bars of two days and two symbols: whole ones, so the folders of the days around are read too, but no others."""
+    """Bars of two days and two symbols: whole ones, so the trades of these days are looked for in all ingest folders."""
     folder = scratch_folder(spark, "bronze")
     write_bronze(_trades(spark, sf_dir).drop("trade_timestamp"), folder)
-    trades = with_event_time(read_bronze(spark, folder, around(BACKTEST_DAYS), BACKTEST_SYMBOLS))
-    return ohlcv(trades).filter(F.date_format("window_start", "yyyy/MM/dd").isin(*BACKTEST_DAYS))
+    return ohlcv(with_event_time(on_days(read_bronze(spark, folder, symbols=BACKTEST_SYMBOLS), BACKTEST_DAYS)))
 
 
 @query

@@ -4,12 +4,13 @@ from candlewick.operators.bars import bars_of, ohlcv
 from candlewick.operators.signals import alert_history, signals_of, trading_signals
 from candlewick.operators.summaries import merge, summarise
 from candlewick.__main__ import main
-from candlewick.plans.backfill import backfill
+from candlewick.plans.backfill import backfill, on_days
 from candlewick.sinks.bronze import write_bronze
 from candlewick.sinks.keyed import alert_table, bar_table, signal_table
 from candlewick.sources import samples
+from candlewick.sources.bronze import read_bronze
 from candlewick.streaming.jobs import JobPaths
-from helpers import frame, same, trade
+from helpers import frame, plan, same, trade
 
 EXACT = ["symbol", "window_start", "window_end", "open", "high", "low", "close", "trade_count", "total_volume", "avg_latency_ms"]
 
@@ -59,6 +60,29 @@ def test_a_day_has_whole_bars_only(spark, tmp_path):
     assert {row.close for row in bar_table(paths.bars).current(spark).collect()} == {2.0, 3.0}
 
 
+def test_a_day_holds_trades_stored_on_any_day(spark, tmp_path):
+    """A replay after an outage, a clock that was days ahead, and an ingest time that is no day."""
+    stored = ["2024/01/05", "2024/01/06", "2024/01/20", "2024/02/20", "2024/01/01", None]
+    day = 4 * 1440
+    rows = [trade(n, float(n), minute=day, date_partition=folder) for n, folder in enumerate(stored, 1)]
+    rows += [trade(7, 7.0, minute=day - 0.001, date_partition="2024/01/05"), trade(8, 8.0, minute=day + 1440, date_partition="2024/01/05")]
+    paths = JobPaths(str(tmp_path))
+    write_bronze(frame(spark, rows).drop("trade_timestamp"), paths.bronze)
+    main(["backfill", "--root", str(tmp_path), "--days", "2024/01/05"])
+    (bar,) = bar_table(paths.bars).current(spark).collect()
+    assert (bar.open, bar.close, bar.trade_count) == (1.0, 6.0, 6)
+    (signal,) = signal_table(paths.signals).current(spark).collect()
+    assert signal.trade_count == 6
+
+
+def test_days_reach_the_scan(spark, tmp_path):
+    write_bronze(frame(spark, [trade(n, 1.0, minute=1440.0 * n) for n in range(9)]).drop("trade_timestamp"), str(tmp_path))
+    stored = read_bronze(spark, str(tmp_path))
+    chosen = on_days(stored, ["2024/01/03", "2024/01/02", "2024/01/07"])
+    assert "GreaterThanOrEqual(trade_time_ms," in plan(chosen).split("PushedFilters: ")[1].split("\n")[0]
+    assert {row.trade_id for row in chosen.collect()} == {"1", "2", "6"} and on_days(stored, []).isEmpty()
+
+
 def test_sliding_merge_equals_direct(spark, small):
     trades = samples.trades(samples.events(spark, small))
     direct = bars_of(summarise(trades, "5 minutes", "1 minute"))
