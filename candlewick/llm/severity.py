@@ -16,13 +16,11 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from xxhash import xxh3_64_intdigest
+from xxhash import xxh3_128_digest
 
 SAMPLE = 8_000
 MOST_FEATURES = 400
 PREFIXES = (4, 5, 6)
-# Texts of which so many least word hashes agree are copies; the fit takes one of each.
-COPY_HASHES = 4
 # A feature needs so many toxic documents in which it is at least this share of the words, and so large a ratio.
 LEAST_TOXIC, LEAST_SHARE, LEAST_RATIO = 4, 0.003, 15.0
 SHRINK = 1e-6
@@ -50,10 +48,6 @@ def _told(word: str, weights: dict[str, float]) -> set[str]:
     return {name for name in (word, *[word[:size] + "*" for size in PREFIXES if len(word) > size]) if name in weights}
 
 
-def _copy_key(words) -> tuple[int, ...]:
-    return tuple(sorted(xxh3_64_intdigest(word) for word in words)[:COPY_HASHES])
-
-
 def value(count: int, n_words: int) -> float:
     return count / math.sqrt(n_words + 25)
 
@@ -116,10 +110,10 @@ def _fitted(batches):
     texts, labels, seen = [], [], set()
     for batch in batches:
         for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist(), strict=True):
-            words, found = features(text)
-            if (key := (_copy_key(words), toxic)) not in seen:
+            # The same text again teaches nothing.
+            if (key := (xxh3_128_digest(text or ""), toxic)) not in seen:
                 seen.add(key)
-                texts.append((words, found))
+                texts.append(features(text))
                 labels.append(int(toxic))
     sides = [[text for text, label in zip(texts, labels, strict=True) if bool(label) == side] for side in (True, False)]
     names = telling(*sides) if sides[0] else []

@@ -2,9 +2,11 @@
 
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -223,6 +225,17 @@ def test_severity_on_held_out_labels(spark):
     assert toxic.severity.mean() > 5 * rows[rows.toxic == 0].severity.mean() and set(rows.grade) <= {0, 1, 2}
 
 
+def test_texts_of_the_same_rare_words_are_no_copies(monkeypatch):
+    """Different texts count each, one text only once for each label."""
+    frequent = "the of and to in a is it that for was on as with be by at this have from " * 3
+    texts = [f"{frequent} word{chr(97 + n % 26)}{chr(97 + n // 26)}" for n in range(300)]
+    taken = []
+    monkeypatch.setattr(severity, "features", lambda text: taken.append(text) or (Counter(), Counter()))
+    batch = pa.RecordBatch.from_pydict({"text": [*texts, *texts, None, ""], "toxic": [0] * 602})
+    list(severity._fitted([batch]))
+    assert sorted(text or "" for text in taken) == sorted([*texts, ""])
+
+
 def test_severity_without_anything_to_learn(spark):
     frame = spark.createDataFrame([(1, None), (2, ""), (None, "idiot")], DOCS)
     none = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
