@@ -2,8 +2,8 @@
 
 Pieces are range-sorted by length and numbered within each length, which distributes them evenly however many
 share one. Pieces of one length are interchangeable, and so are sequences with one gap, so the sorted lists of pieces
-and gaps are held as runs (length, count) and (gap, count): at most as many as the capacity, whatever the corpus.
-Each round sweeps the runs for the longest pieces left: their successors, the smallest gaps that hold them, take them
+and gaps are held as runs (length, count) and (gap, count) on the driver: at most as many lengths and gaps as the
+capacity, whatever the corpus, though a gap may have several runs of sequences. Each round sweeps the runs for the longest pieces left: their successors, the smallest gaps that hold them, take them
 in order of rank; gaps that changed are sorted in again; pieces without a successor open new sequences. Then every
 task places its pieces by their rank.
 """
