@@ -3,7 +3,8 @@
 Counting shuffles one row for each task and different line hash. The hashes found often enough are indexed by
 sharded minimal perfect hashes over compact fingerprint and count arrays, and documents probe these arrays; texts
 and lines are never joined or shuffled. The index is broadcast if it is small; beyond `most_bytes`, blocks of its
-shards are broadcast one after the other, each probed by all documents.
+shards are broadcast one after the other, each probed by all documents; their counts are stored with the documents
+before the next block is sent, so executors hold one block at a time and each block costs one more copy of the documents.
 """
 
 import math
@@ -138,13 +139,19 @@ def with_line_counts(
     """The documents with `lines_work_counts`: for each line in how many documents it is, 0 if in too few."""
     spark = documents.sparkSession
     index, shards = line_index(line_counts(documents, least_documents, least_chars))
-    counts = None
-    for block in _blocks(index, most_bytes):
+    blocks = list(_blocks(index, most_bytes))
+    counts, rows = F.col(_WORK + "counts"), documents
+    for number, block in enumerate(blocks):
         chosen = index.where(F.col("shard").isin(block)).collect() if block else []
         sent = spark.sparkContext.broadcast(Probe(shards, [row.asDict() for row in chosen]))
         part = _probe(sent, least_chars)(F.col("text"))
-        counts = part if counts is None else F.zip_with(counts, part, lambda a, b: F.greatest(a, b))
-    return fenced(documents, _WORK + "counts", counts)
+        if len(blocks) == 1:
+            return fenced(documents, _WORK + "counts", part)
+        # Stored before the next block is sent, so that workers hold one at a time.
+        found = part if not number else F.zip_with(counts, part, lambda a, b: F.greatest(a, b))
+        rows = stored(rows.withColumn(_WORK + "counts", found), "line-block")
+        sent.destroy()
+    return rows
 
 
 def dedup_lines(documents: DataFrame, least_documents: int = LEAST_DOCUMENTS, **options) -> DataFrame:

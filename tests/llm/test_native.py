@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark import Broadcast
 from pyspark.sql import functions as F
 
 from candlewick.llm import chat, contamination, lines, near, packing, pages, quality, secrets, severity
@@ -151,6 +152,16 @@ def test_lines_against_brute_force(spark, monkeypatch, most_bytes):
         assert got[number] == (kept, len(split), len(gone))
 
 
+def test_one_block_of_the_line_index_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(lines, "SHARD_KEYS", 3)
+    made, destroy, events = lines.Probe.__init__, Broadcast.destroy, []
+    monkeypatch.setattr(lines.Probe, "__init__", lambda *given: events.append("sent") or made(*given))
+    monkeypatch.setattr(Broadcast, "destroy", lambda sent, *given: events.append("gone") or destroy(sent, *given))
+    rows = lines.dedup_lines(docs(spark, [(i, f"common {i % 9}\nown {i}") for i in range(45)]), 5, most_bytes=1)
+    assert {tuple(row) for row in rows.select("text", "lines_work_dropped").collect()} == {(f"own {i}", 1) for i in range(45)}
+    assert len(events) > 2 and events == ["sent", "gone"] * (len(events) // 2)
+
+
 def test_empty_tables(spark):
     none, items = docs(spark, [], DOCS + ", lang string"), docs(spark, [], "item_id string, text string")
     labels = docs(spark, [], "doc_id long, quality int, toxic int")
