@@ -39,7 +39,7 @@ BASE = (
 ADDED = (
     Rule("forge", 1, r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("pem", 1, r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("pem", 2, r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 )
 RULES = BASE + ADDED
 _FINDING = "blob string, kind string, version int, start long, end long"

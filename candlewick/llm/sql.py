@@ -118,7 +118,7 @@ _KINDS = {
     "hex": (r"[0-9a-f]+", 0, 24),
     "forge": (r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 0),
     "jwt": (r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0),
-    "pem": (r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 0),
+    "pem": (r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
 }
 
 

@@ -113,6 +113,24 @@ def test_secrets_and_the_ledger(spark, tmp_path):
     assert {tuple(row["rules"]) for row in spark.read.parquet(f"{path}/scanned").collect()} >= {("hex@2",)}
 
 
+def test_secrets_of_long_texts_made_to_overrun_the_rules(spark, tmp_path):
+    """A megabyte of what each rule repeats, without and with its end: no rule may recurse once a character."""
+    size = 1 << 20
+    texts = [
+        "-----BEGIN " + "A " * (size // 2), "-----BEGIN " + "A " * (size // 2) + "PRIVATE KEY-----",
+        "-----BEGIN " * (size // 11), "AKIA" + "A" * size, "f" * size, "token=" + "x" * size, "token = " * (size // 8),
+        "ghp_" + "z" * size, "eyJ" + "a" * size, "eyJaaaaaaaa.eyJ" + "b" * size + "." + "c" * 9, "",
+        "-----BEGIN PRIVATE KEY-----", "-----BEGIN RSA PRIVATE KEY-----",
+    ]
+    spans = {key: value[0] for key, value in by_id(
+        secrets.secrets(docs(spark, list(enumerate(texts))), str(tmp_path / "ledger")), "spans"
+    ).items()}
+    kinds = {key: [span.split(":")[0] for span in value.split(",") if span] for key, value in spans.items()}
+    assert [kinds[key] for key in range(len(texts)) if key not in (6,)] == [
+        [], ["pem"], [], ["access"], ["hex"], ["assign"], ["forge"], [], ["jwt"], [], ["pem"], ["pem"],
+    ]
+
+
 def test_chat_reads_back(spark):
     tricky = "\\### Assistant: </turn> ok\n\\s\\l\\h # <"
     rows = [
