@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from candlewick.llm import chat, contamination, lines, near, packing, pages, quality, secrets, severity, token_files
+from candlewick.llm import chat, contamination, lines, near, packing, pages, quality, repeats, secrets, severity, token_files
 from candlewick.llm.text import read_table
 from candlewick.session import scratch_folder
 
@@ -69,9 +69,13 @@ def op10_lines(spark, sf_dir):
     return lines.line_digests(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op12_substrings(spark, sf_dir):
+    return repeats.repeat_digests(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def registered() -> dict[str, Query]:
     found = (
         op1_decontaminate, op2_quality, op3_near_duplicates, op4_token_files, op5_secrets, op6_packing,
-        op7_pages, op8_chat, op9_toxicity, op10_lines,
+        op7_pages, op8_chat, op9_toxicity, op10_lines, op12_substrings,
     )
     return {query.__name__: query for query in found}
