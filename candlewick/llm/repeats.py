@@ -110,7 +110,7 @@ def window_counts(rows: DataFrame, length: int, prefix: int, bits: int) -> DataF
 
 def _first_of_equal(whole: np.ndarray, rank: np.ndarray, start: np.ndarray) -> np.ndarray:
     """For each window whether an equal one has a smaller (rank, start)."""
-    order = np.argsort(whole, kind="stable")
+    order = np.argsort(whole)
     equal = whole[order][1:] == whole[order][:-1]
     shared = order[np.concatenate([equal, [False]]) | np.concatenate([[False], equal])] if len(order) else order
     later = np.zeros(len(whole), bool)
