@@ -5,8 +5,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from candlewick.llm import chat, contamination, lines, near, packing, pages, quality, repeats, secrets, severity, token_files
-from candlewick.llm.text import read_table
+from candlewick.llm import chat, contamination, lines, near, packing, pages, periodic, quality, repeats, secrets, severity, token_files
+from candlewick.llm.text import BLANK, between, fenced, read_table
 from candlewick.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,9 +73,24 @@ def op12_substrings(spark, sf_dir):
     return repeats.repeat_digests(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op13_periodic_runs(spark, sf_dir):
+    """Every tenth text, by a hash of its id, is made periodic from some word on; then the runs are looked for."""
+    documents = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, between(F.col("text"), BLANK))
+    rows = fenced(documents, "words", words).withColumns({"n": F.size("words"), "g": F.floor(h / 10)})
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+    rows = rows.withColumn("p", F.expr("cast(1 + floor((n - a) / (3 + g % 8)) as int)"))
+    turned = F.expr("array_join(transform(words, (word, i) -> if(i >= a, words[a + (i - a) % p], word)), ' ')")
+    made = fenced(rows, "made", F.when(F.col("n") > 0, turned).otherwise(F.col("text")))
+    found = fenced(made, "found", periodic.periodic_runs(F.col("made")))
+    return found.select("doc_id", *periodic.run_digests(F.col("found")))
+
+
 def registered() -> dict[str, Query]:
     found = (
         op1_decontaminate, op2_quality, op3_near_duplicates, op4_token_files, op5_secrets, op6_packing,
         op7_pages, op8_chat, op9_toxicity, op10_lines, op12_substrings,
+        op13_periodic_runs,
     )
     return {query.__name__: query for query in found}
