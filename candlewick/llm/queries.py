@@ -1,11 +1,12 @@
 """One registered query for each operator, over its whole table with production parameters."""
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from candlewick.llm import chat, contamination, lines, near, packing, pages, periodic, quality, repeats, secrets, severity, token_files
+from candlewick.llm import chat, contamination, lines, near, packing, pages, periodic, quality, repair, repeats, secrets, severity, token_files
 from candlewick.llm.text import BLANK, between, fenced, read_table
 from candlewick.session import scratch_folder
 
@@ -69,6 +70,19 @@ def op10_lines(spark, sf_dir):
     return lines.line_digests(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_conversation_repair(spark, sf_dir):
+    """Turns are damaged by a hash of their place, then every conversation is repaired; one may have lost all its turns."""
+    turns = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    place = [F.coalesce(F.col(name).cast("string"), F.lit(" ")) for name in ("conv_id", "turn")]
+    fault = F.crc32(F.concat(place[0], F.lit(":"), place[1]).cast("binary")) % 20
+    found = repair.repair_digests(repair.damaged(turns, fault)).withColumnRenamed("conv_id", "found_id")
+    every = turns.select("conv_id").distinct()
+    rows = every.join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left").drop("found_id")
+    return rows.fillna(0).fillna({"audit": "", "repaired_sha256": hashlib.sha256().hexdigest()}).select(
+        "conv_id", *[name for name in rows.columns if name != "conv_id"]
+    )
+
+
 def op12_substrings(spark, sf_dir):
     return repeats.repeat_digests(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -90,7 +104,7 @@ def op13_periodic_runs(spark, sf_dir):
 def registered() -> dict[str, Query]:
     found = (
         op1_decontaminate, op2_quality, op3_near_duplicates, op4_token_files, op5_secrets, op6_packing,
-        op7_pages, op8_chat, op9_toxicity, op10_lines, op12_substrings,
-        op13_periodic_runs,
+        op7_pages, op8_chat, op9_toxicity, op10_lines, op11_conversation_repair,
+        op12_substrings, op13_periodic_runs,
     )
     return {query.__name__: query for query in found}

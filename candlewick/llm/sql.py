@@ -185,8 +185,135 @@ FROM line LEFT JOIN common ON line.key = common.key GROUP BY r, doc_id
 """
 
 
+_REPEATS = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+),
+places AS (SELECT doc_id, words, unnest(range(len(words))) AS place FROM words),
+windows AS (
+  SELECT doc_id, place, list_slice(words, place + 1, place + 20) AS w FROM places WHERE place + 20 <= len(words)
+),
+later AS (
+  SELECT doc_id, place FROM windows
+  QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, place) > 1
+),
+covered AS (SELECT DISTINCT doc_id, unnest(range(place, place + 20)) AS place FROM later),
+told AS (
+  SELECT p.doc_id, p.place, p.words[p.place + 1] AS word, c.place IS NOT NULL AS gone
+  FROM places p LEFT JOIN covered c ON p.doc_id = c.doc_id AND p.place = c.place
+),
+kept AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY place) FILTER (NOT gone) AS rest
+  FROM told GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(w.words) AS BIGINT) AS n_words, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.rest, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k ON w.doc_id = k.doc_id
+"""
+
+
+def _offered(state: str, cost: str, edit: str, line: str = "", when: str = "true") -> str:
+    """One edit after the best audit of a state, as (cost, audit, lines); NULL where it cannot be."""
+    lines = f"list_append({state}.r, {line})" if line else f"{state}.r"
+    return (
+        f"CASE WHEN {state} IS NOT NULL AND {when} THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', 'r': {lines}}} END"
+    )
+
+
+def _with_inserts(source: str) -> str:
+    """Turns put in wherever that is cheaper; first the ones for a user, then for an assistant."""
+    after = ", ".join(["n2", *[_offered(name, "5", "I", "'user:'") for name in ("n0", "n1", "n3")]])
+    return f"""
+SELECT conv_id, i, n0 AS v0, n1 AS v1, m2 AS v2, list_min([n3, {_offered("m2", "5", "I", "'assistant:'")}]) AS v3
+FROM (SELECT *, list_min([{after}]) AS m2 FROM ({source}))"""
+
+
+def _repair_sql() -> str:
+    kept = "t.role || ':' || t.text"
+    extra = "CASE WHEN t.truncated THEN 5 ELSE 0 END"
+    free, user, assistant = "NOT t.must_go", "'user:' || t.text", "'assistant:' || t.text"
+    plus, one_more = f"({extra})", f"(1 + {extra})"
+
+    def best(*offers: str) -> str:
+        return f"list_min([{', '.join(offers)}])"
+
+    to_user = [
+        offer for name in ("v0", "v1", "v3") for offer in (
+            _offered(f"s.{name}", plus, "K", kept, f"{free} AND t.initial = 'u'"),
+            _offered(f"s.{name}", one_more, "R", user, free),
+        )
+    ]
+    step = f"""
+SELECT s.conv_id, s.i + 1 AS i, {_offered("s.v0", "2", "D")} AS n0,
+       {best(_offered("s.v1", "2", "D"), _offered("s.v0", plus, "K", kept, f"{free} AND t.initial = 's'"))} AS n1,
+       {best(_offered("s.v2", "2", "D"), *to_user)} AS n2,
+       {best(_offered("s.v3", "2", "D"), _offered("s.v2", plus, "K", kept, f"{free} AND t.initial = 'a'"),
+             _offered("s.v2", one_more, "R", assistant, free))} AS n3
+FROM steps s JOIN turns t ON t.conv_id IS NOT DISTINCT FROM s.conv_id AND t.place = s.i + 1"""
+    state = "STRUCT(c BIGINT, a VARCHAR, r VARCHAR[])"
+    start = f"""
+SELECT conv_id, CAST(0 AS BIGINT) AS i, CAST({{'c': 0, 'a': '', 'r': []}} AS {state}) AS n0,
+       CAST(NULL AS {state}) AS n1, CAST(NULL AS {state}) AS n2, CAST(NULL AS {state}) AS n3
+FROM (SELECT DISTINCT conv_id FROM conversations)"""
+    return rf"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS steps
+),
+marked AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_concat([4294967295], list_transform(string_split(
+           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+           lambda ch: CAST(ascii(ch) AS BIGINT))),
+           lambda c, b: xor(c // 256, crc.steps[xor(c, b) % 256 + 1])), 4294967295) % 20 AS fault
+  FROM conversations, crc
+),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM marked WHERE fault <> 0
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS place,
+         left(role, 1) AS initial, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+  FROM damaged
+),
+seen AS (
+  SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY place) AS before,
+         bare <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 AS duplicate
+  FROM placed
+),
+turns AS (
+  SELECT *, bare = '' AS blank, bare = '' OR duplicate AS must_go,
+         bare <> '' AND NOT duplicate AND right(bare, 1) NOT IN ('.', '!', '?') AS truncated
+  FROM seen
+),
+steps AS (
+  {_with_inserts(start)}
+  UNION ALL
+  {_with_inserts(step)}
+),
+ends AS (
+  SELECT conv_id, list_min([v0, v3]) AS best FROM steps QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1
+),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM turns GROUP BY conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c AS cost, best.a AS audit,
+       sha256(coalesce(array_to_string(best.r, chr(10)), '')) AS repaired_sha256
+FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
 def oracle() -> dict[str, str]:
     return {
+        "op11_conversation_repair": _repair_sql(),
+        "op12_substrings": _REPEATS,
         "op1_decontaminate": _CONTAMINATION,
         "op2_quality": _QUALITY,
         "op5_secrets": _SECRETS,
