@@ -1,5 +1,8 @@
 """Epoch-millisecond helpers that do not depend on the session zone."""
 
+from collections.abc import Sequence
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import Column, functions as F
 
 # Years 0001 to 9999, the range of TIMESTAMP. Outside it the conversion would raise and one bad
@@ -26,6 +29,17 @@ def day_path(epoch_ms: Column) -> Column:
     return F.date_format(utc_date(event_time(epoch_ms)), "yyyy/MM/dd")
 
 
+def day_ranges(days: Sequence[str]) -> list[tuple[int, int]]:
+    """UTC days ('yyyy/MM/dd') as ranges of epoch milliseconds, end exclusive; days in a row are one range."""
+    found = sorted({datetime.strptime(day, "%Y/%m/%d").replace(tzinfo=timezone.utc) for day in days})
+    firsts = [day for day in found if day - timedelta(days=1) not in found]
+    lasts = [day for day in found if day + timedelta(days=1) not in found]
+    return [
+        (int(first.timestamp()) * 1000, (int(last.timestamp()) + _SECONDS_PER_DAY) * 1000)
+        for first, last in zip(firsts, lasts, strict=True)
+    ]
+
+
 def window_label(window: str) -> str:
     """'5 minutes' -> '5min', for column names."""
     count, unit = window.split()

@@ -32,6 +32,7 @@ CAST_ERROR = "Type cast error"
 NON_FINITE = "Non-finite values"
 NON_POSITIVE = "Non-positive values"
 NULL_KEY = "Null key field"
+IMPLAUSIBLE = "Implausible event time"
 
 
 def wall_clock_ms() -> Column:
@@ -81,7 +82,7 @@ def _absent_keys() -> Column:
     return F.array_except(required, F.json_object_keys("raw_message"))
 
 
-def _reason(message: Column) -> Column:
+def _reason(message: Column, max_ahead_ms: int | None) -> Column:
     """The first failing check, in the order the checks are listed."""
     field = {key: message.getField(name) for key, name in zip(settings.REQUIRED_KEYS, _FIELDS)}
     any_empty = reduce(or_, [text.isNull() for text in field.values()])
@@ -101,9 +102,18 @@ def _reason(message: Column) -> Column:
         .when(F.col("symbol").isNull(), F.lit(f"{NULL_KEY}: s"))
         .when(F.col("trade_time_ms").isNull(), _cast_reason("T", field["T"]))
         .when(F.col("event_time_ms").isNull(), _cast_reason("E", field["E"]))
+        .when(_too_far_ahead(max_ahead_ms), F.concat(F.lit(f"{IMPLAUSIBLE}: T="), F.col("trade_time_ms").cast("string")))
     )
 
 
+def _too_far_ahead(max_ahead_ms: int | None) -> Column:
+    """A trade said to happen so much later than it was received; a far-off time that would overflow counts too."""
+    if max_ahead_ms is None:
+        return F.lit(False)
+    ahead = F.try_subtract("trade_time_ms", "ingest_time_ms")
+    return F.coalesce(ahead > max_ahead_ms, F.col("trade_time_ms") > F.col("ingest_time_ms"))
+
+
 def _pair(label: str, price: Column, quantity: Column) -> Column:
     return F.concat(
         F.lit(f"{label}: price="), price.cast("string"), F.lit(", qty="), quantity.cast("string")
@@ -119,9 +129,14 @@ def _parse(value: Column) -> Column:
     return F.from_json(wrapped, _MESSAGE_TYPE, {"allowSingleQuotes": "false"}).cast(_RENAMED_TYPE)
 
 
-def check(raw: DataFrame, ingest_ms: Column | None = None, value: str = "value") -> DataFrame:
+def check(
+    raw: DataFrame, ingest_ms: Column | None = None, value: str = "value", max_ahead_ms: int | None = None
+) -> DataFrame:
     """Add the typed trade fields and `error_reason` to raw messages.
 
+    With `max_ahead_ms`, a trade time further ahead of the time of receipt is an error: let through, a single one
+    would move the watermark of every live job and make all later trades late.
+
     Result: raw_message, ingest_time_ms, trade_id, symbol, price, quantity, is_buyer_maker,
     trade_time_ms, event_time_ms, error_reason. One row out per row in.
     """
@@ -145,7 +160,7 @@ def check(raw: DataFrame, ingest_ms: Column | None = None, value: str = "value")
         _whole(text.trade_ms, "T").alias("trade_time_ms"),
         _whole(text.event_ms, "E").alias("event_time_ms"),
     )
-    checked = typed.select("*", _reason(text).alias("error_reason")).drop("message")
+    checked = typed.select("*", _reason(text, max_ahead_ms).alias("error_reason")).drop("message")
     # The generator is a fence: a later filter on error_reason stays above it instead of repeating the
     # parsing and all checks below.
     return checked.select(F.explode(F.array(F.struct(*checked.columns))).alias("checked")).select("checked.*")
@@ -215,7 +230,13 @@ def with_event_time(trades: DataFrame, lateness: str | None = None) -> DataFrame
 def without_repeats(trades: DataFrame) -> DataFrame:
     """Drop repeated deliveries of a trade.
 
-    A stream forgets an id once the watermark has passed it; a batch compares all rows.
+    A stream forgets an id once the watermark has passed it; a batch compares all rows. The ingest day of a batch
+    is made anew: without texts beside the key, rows are compared by hash and not sorted.
     """
     key = ["symbol", "trade_id"]
-    return trades.dropDuplicatesWithinWatermark(key) if trades.isStreaming else trades.dropDuplicates(key)
+    if trades.isStreaming:
+        return trades.dropDuplicatesWithinWatermark(key)
+    if not {"date_partition", "ingest_time_ms"} <= set(trades.columns):
+        return trades.dropDuplicates(key)
+    single = trades.drop("date_partition").dropDuplicates(key)
+    return single.withColumn("date_partition", day_path(F.col("ingest_time_ms"))).select(*trades.columns)

@@ -5,7 +5,8 @@ Bars and signals only use some of the columns; Catalyst drops the aggregates nob
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from candlewick.functions import ratio, trade_order
+from candlewick import schemas
+from candlewick.functions import ratio, trade_order, utc_date
 
 _EDGES = ("open", "open_at", "close", "close_at", "high", "low")
 
@@ -68,6 +69,21 @@ def merge(summaries: DataFrame, window: str, slide: str | None = None) -> DataFr
     ).withColumnRenamed("whole", "span")
 
 
+def panes(summaries: DataFrame) -> DataFrame:
+    """Summaries in the columns a table of panes keeps."""
+    span = F.col("span")
+    named = summaries.withColumns({
+        "date_bucket": utc_date(span["start"]), "window_start": span["start"], "window_end": span["end"],
+    })
+    return named.select(*schemas.PANE.names)
+
+
+def summaries_of(panes: DataFrame) -> DataFrame:
+    """The other way round."""
+    span = F.struct(F.col("window_start").alias("start"), F.col("window_end").alias("end")).alias("span")
+    return panes.select(span, *[name for name in panes.columns if name not in ("date_bucket", "window_start", "window_end")])
+
+
 def mean_price() -> Column:
     return ratio(F.col("price_sum"), F.col("price_count"))
 

@@ -1,20 +1,18 @@
 """Bars, signals and alerts of stored trades from one scan of them."""
 
 from collections.abc import Sequence
-from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from candlewick import settings
+from candlewick.functions import day_ranges
 from candlewick.operators.bars import bars_of
 from candlewick.operators.signals import alert_history, signals_of
 from candlewick.operators.summaries import merge, summarise
-from candlewick.session import scratch_folder
+from candlewick.session import stored
 from candlewick.sinks.keyed import alert_table, bar_table, signal_table
 from candlewick.streaming.jobs import JobPaths
 
-_SECONDS_PER_DAY = 86400
-
 
 def stored_summaries(trades: DataFrame, window: str = settings.SILVER_WINDOW) -> DataFrame:
     """Summaries, written once to shared storage and read back.
@@ -22,26 +20,17 @@ def stored_summaries(trades: DataFrame, window: str = settings.SILVER_WINDOW) ->
     Whatever is derived from them reads this small table, not the trades, and a lost executor costs a
     re-read of it instead of another scan.
     """
-    spark: SparkSession = trades.sparkSession
-    folder = scratch_folder(spark, "summaries")
-    rows = summarise(trades, window)
-    rows.write.mode("overwrite").parquet(folder)
-    return spark.read.schema(rows.schema).parquet(folder)
+    return stored(summarise(trades, window), "summaries")
 
 
 def on_days(trades: DataFrame, days: Sequence[str]) -> DataFrame:
     """The trades of some UTC days ('yyyy/MM/dd') by trade time, wherever they are stored.
 
-    Late, replayed or misdated trades may be in the folder of any ingest day, so no folder is left out; Parquet's
-    statistics of the trade time let a scan skip the files and row groups of other days.
+    Late, replayed or misdated trades may be in the folder of any ingest day, so no folder is left out; `read_days`
+    brings only the files that can hold some of them.
     """
     at, chosen = F.col("trade_time_ms"), F.lit(False)
-    found = sorted({datetime.strptime(day, "%Y/%m/%d").replace(tzinfo=timezone.utc) for day in days})
-    # Days in a row are one range.
-    firsts = [day for day in found if day - timedelta(days=1) not in found]
-    lasts = [day for day in found if day + timedelta(days=1) not in found]
-    for first, last in zip(firsts, lasts, strict=True):
-        start, end = int(first.timestamp()) * 1000, (int(last.timestamp()) + _SECONDS_PER_DAY) * 1000
+    for start, end in day_ranges(days):
         chosen = chosen | ((at >= start) & (at < end))
     return trades.filter(chosen)
 

@@ -1,7 +1,7 @@
 """The registered queries in SQL, written from the tables up and independent of the Spark code."""
 
 from candlewick.plans.registry import (
-    BACKTEST_DAYS, BACKTEST_SYMBOLS, BARS_NOW, HEALTH_NOW, SERVING_NOW, SERVING_SYMBOL, SIGNALS_NOW,
+    BACKTEST_DAYS, BACKTEST_SYMBOLS, BARS_NOW, HEALTH_NOW, HEALTH_WEEK_NOW, SERVING_NOW, SERVING_SYMBOL, SIGNALS_NOW,
 )
 
 _MINUTE = 60_000
@@ -135,8 +135,8 @@ SELECT symbol, CAST({_time("start_ms")} AS DATE) AS date_bucket,
 FROM (SELECT *, {start} AS start_ms FROM trades) GROUP BY symbol, start_ms"""
 
 
-def _signals(width_ms: int, label: str) -> str:
-    """CTEs ending in `signals`."""
+def _signals(width_ms: int, label: str, seen: str = "") -> str:
+    """CTEs ending in `signals`; `seen` is one more column to group by, with a comma behind."""
     shown = (
         "CASE WHEN price_deviation_pct > 0 AND price_deviation_pct < 0.001 "
         "THEN CAST(round(price_deviation_pct * 10000) AS INT) || '.0E-4' "
@@ -144,12 +144,13 @@ def _signals(width_ms: int, label: str) -> str:
     )
     return f"""
 sides AS (
-  SELECT symbol, CAST({_time("start_ms")} AS DATE) AS date_bucket, {_time("start_ms")} AS window_start,
+  SELECT {seen} symbol, CAST({_time("start_ms")} AS DATE) AS date_bucket, {_time("start_ms")} AS window_start,
          arg_max(price, (trade_time_ms, trade_no)) AS close, avg(price) AS mean, sum(quantity) AS volume,
          sum(CASE WHEN NOT is_buyer_maker THEN quantity ELSE 0 END) AS buy_volume,
          sum(CASE WHEN is_buyer_maker THEN quantity ELSE 0 END) AS sell_volume,
          count(*) AS trade_count
-  FROM (SELECT *, trade_time_ms - trade_time_ms % {width_ms} AS start_ms FROM trades) GROUP BY symbol, start_ms
+  FROM (SELECT *, trade_time_ms - trade_time_ms % {width_ms} AS start_ms FROM trades)
+  GROUP BY {seen} symbol, start_ms
 ),
 measured AS (
   SELECT *, sell_volume > buy_volume * 1.5 AS volume_spike,
@@ -164,7 +165,7 @@ graded AS (
   FROM measured
 ),
 signals AS (
-  SELECT symbol, date_bucket, window_start, close, {_half_up("mean", 9)} AS sma_{label},
+  SELECT {seen} symbol, date_bucket, window_start, close, {_half_up("mean", 9)} AS sma_{label},
          {_half_up("volume", 9)} AS volume_{label}, buy_volume, sell_volume, trade_count, volume_spike,
          price_deviation_pct, buy_pressure, risk_level,
          CASE risk_level
@@ -193,9 +194,37 @@ FROM (SELECT *, ingest_time_ms - ingest_time_ms % {_MINUTE} AS start_ms FROM che
 _BAR_COLUMNS = "window_start, open, high, low, close, sma_5min, vwap, total_volume"
 
 
-def _rsi(width_ms: int) -> str:
+# A replay: six deliveries of equal time, some events one later, some three later and then too late for any window.
+_DELIVERED = f"""
+span AS (
+  SELECT min(epoch_us(ts) // 1000) AS lo, (max(epoch_us(ts) // 1000) - min(epoch_us(ts) // 1000)) // 6 + 1 AS width FROM events
+),
+parts AS (
+  SELECT event_id, (epoch_us(ts) // 1000 - lo) // width AS part, (epoch_us(ts) // 1000 - lo) % width AS into_part, width
+  FROM events, span
+),
+arrivals AS (
+  SELECT event_id, event_id % 97 = 5 AND part + 3 < 6 AS late,
+         CASE WHEN event_id % 97 = 5 AND part + 3 < 6 THEN part + 3
+              WHEN event_id % 2 = 0 AND part + 1 < 6 AND into_part >= width - {5 * _HOUR} THEN part + 1 ELSE part END AS delivery
+  FROM parts
+)"""
+_ON_TIME = (
+    f"{_TICKS},{_DELIVERED},{_trades_of('ticks JOIN arrivals ON arrivals.event_id = trade_no', 'price > 0 AND quantity > 0 AND NOT late')}"
+)
+# Each window as it stood after every delivery that brought it a trade.
+_AS_RAISED = f"""{_TICKS},{_DELIVERED},{_trades_of('ticks JOIN arrivals ON arrivals.event_id = trade_no', 'price > 0 AND quantity > 0 AND NOT late')
+    .replace("trades AS", "arrived AS", 1)},
+touched AS (SELECT DISTINCT symbol, trade_time_ms // {15 * _MINUTE} AS quarter, delivery AS seen FROM arrived),
+trades AS (
+  SELECT a.*, t.seen FROM arrived a
+  JOIN touched t ON a.symbol = t.symbol AND a.trade_time_ms // {15 * _MINUTE} = t.quarter AND a.delivery <= t.seen
+)"""
+
+
+def _rsi(width_ms: int, condition: str = "true") -> str:
     return f"""
-bars AS ({_bars(width_ms, "mean")}),
+bars AS (SELECT * FROM ({_bars(width_ms, "mean")}) WHERE {condition}),
 moves AS (
   SELECT symbol, window_start, close, close - lag(close) OVER (PARTITION BY symbol ORDER BY window_start) AS change
   FROM bars
@@ -249,6 +278,36 @@ messages AS (
         f"SELECT '{bound}' AS le, count(*) FILTER (latency_ms <= {bound}) AS observations FROM trades"
         for bound in buckets
     )
+    served = {
+        "recent_bars": (
+            f"{plain}, bars AS ({_FIVE}) SELECT {_BAR_COLUMNS} FROM bars WHERE {on_day} "
+            "ORDER BY window_start DESC LIMIT 288"
+        ),
+        "last_day_bars": (
+            f"{plain}, bars AS ({_FIVE}) SELECT {_BAR_COLUMNS} FROM bars WHERE symbol = '{SERVING_SYMBOL}' "
+            f"AND window_start > {now} - INTERVAL 24 HOURS AND window_start <= {now}"
+        ),
+        "last_day_bars_sliding": (
+            f"{plain}, bars AS ({_bars(5 * _MINUTE, 'sma_5min', _SLIDES)}) SELECT {_BAR_COLUMNS} FROM bars "
+            f"WHERE symbol = '{SERVING_SYMBOL}' "
+            f"AND window_start > {now} - INTERVAL 24 HOURS AND window_start <= {now}"
+        ),
+        "todays_alerts": (
+            f"{quarter} SELECT window_start, risk_level, alert_message, price_deviation_pct, buy_pressure "
+            f"FROM signals WHERE {on_day} AND risk_level IN ('HIGH', 'CRITICAL') ORDER BY window_start DESC"
+        ),
+        "recent_health": (
+            f"{faulty}, health AS ({_HEALTH}) SELECT component, metric_time, messages_per_sec, avg_latency_ms "
+            f"FROM health WHERE component = 'producer' AND metric_time > TIMESTAMP '{HEALTH_NOW}' - INTERVAL 1 HOUR "
+            "ORDER BY metric_time DESC"
+        ),
+    }
+    expired_bars = (
+        f"{plain}, bars AS ({_FIVE}) SELECT * FROM bars "
+        f"WHERE window_start >= TIMESTAMP '{BARS_NOW}' - INTERVAL 30 DAYS"
+    )
+    expired_signals = f"{signals} WHERE window_start >= TIMESTAMP '{SIGNALS_NOW}' - INTERVAL 90 DAYS"
+    known = "price > 0 AND quantity > 0 AND trade_timestamp < TIMESTAMP '{}'"
     return {
         "trades_valid": trades,
         "trades_valid_faulty_feed": f"WITH {_FAULTY_TRADES} SELECT {_TRADE_COLUMNS} FROM trades",
@@ -294,33 +353,54 @@ messages AS (
             "buy_pressure, price_deviation_pct, volume_spike FROM signals "
             "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY window_start DESC) = 1"
         ),
-        "recent_bars": (
-            f"{plain}, bars AS ({_FIVE}) SELECT {_BAR_COLUMNS} FROM bars WHERE {on_day} "
-            "ORDER BY window_start DESC LIMIT 288"
+        "bronze_zones": (
+            f"{plain} SELECT date_partition, symbol, min(trade_time_ms) AS first_ms, max(trade_time_ms) AS last_ms, "
+            "count(*) AS trades FROM trades GROUP BY date_partition, symbol"
         ),
-        "last_day_bars": (
-            f"{plain}, bars AS ({_FIVE}) SELECT {_BAR_COLUMNS} FROM bars WHERE symbol = '{SERVING_SYMBOL}' "
-            f"AND window_start > {now} - INTERVAL 24 HOURS AND window_start <= {now}"
+        "upsert_counts": " UNION ALL ".join(
+            f"SELECT * FROM (WITH {_TICKS},{_trades_of('ticks', known.format(moment))}, {_QUARTER} "
+            f"SELECT CAST({number} AS BIGINT) AS batch_id, count(*) AS rows, "
+            "count(*) FILTER (risk_level IN ('HIGH', 'CRITICAL')) AS high_risk FROM signals)"
+            for number, moment in enumerate(("2024-01-10 01:02:00", "2024-01-20 01:02:00", "2024-02-20 00:00:00"))
         ),
-        "last_day_bars_sliding": (
-            f"{plain}, bars AS ({_bars(5 * _MINUTE, 'sma_5min', _SLIDES)}) SELECT {_BAR_COLUMNS} FROM bars "
-            f"WHERE symbol = '{SERVING_SYMBOL}' "
-            f"AND window_start > {now} - INTERVAL 24 HOURS AND window_start <= {now}"
+        **{f"served_{name}": sql for name, sql in served.items()},
+        "served_alert_history": (
+            f"{quarter} SELECT * FROM ({_ALERTS}) WHERE CAST(alert_time AS DATE) = DATE '2024-01-15'"
         ),
-        "todays_alerts": (
-            f"{quarter} SELECT window_start, risk_level, alert_message, price_deviation_pct, buy_pressure "
-            f"FROM signals WHERE {on_day} AND risk_level IN ('HIGH', 'CRITICAL') ORDER BY window_start DESC"
+        **{name: sql for name, sql in served.items()},
+        "expired_bars_30d": expired_bars,
+        "expired_signals_90d": expired_signals,
+        "expired_alerts_90d": (
+            f"{quarter} SELECT * FROM ({_ALERTS}) WHERE alert_time >= TIMESTAMP '{SIGNALS_NOW}' - INTERVAL 90 DAYS"
         ),
-        "recent_health": (
-            f"{faulty}, health AS ({_HEALTH}) SELECT component, metric_time, messages_per_sec, avg_latency_ms "
-            f"FROM health WHERE component = 'producer' AND metric_time > TIMESTAMP '{HEALTH_NOW}' - INTERVAL 1 HOUR "
-            "ORDER BY metric_time DESC"
+        "expired_health_7d": (
+            f"{faulty} SELECT * FROM ({_HEALTH}) WHERE metric_time >= TIMESTAMP '{HEALTH_WEEK_NOW}' - INTERVAL 7 DAYS"
+        ),
+        "replay_bronze": stored,
+        "replay_bars_5min": f"WITH {_ON_TIME} {_FIVE}",
+        "replay_bars_sliding": f"WITH {_ON_TIME} {_bars(5 * _MINUTE, 'sma_5min', _SLIDES)}",
+        "replay_signals_15min": f"WITH {_ON_TIME}, {_QUARTER} SELECT * FROM signals",
+        "replay_alert_history": (
+            f"WITH {_AS_RAISED}, {_signals(15 * _MINUTE, '15min', 'seen,')} "
+            f"SELECT * EXCLUDE (seen) FROM ({_ALERTS.replace('SELECT ', 'SELECT seen, ', 1)}) "
+            "QUALIFY row_number() OVER (PARTITION BY symbol, risk_level, alert_time ORDER BY seen DESC) = 1"
+        ),
+        "replay_latest_signals": (
+            f"WITH {_ON_TIME}, {_QUARTER} SELECT symbol, date_bucket, window_start, risk_level, alert_message, close, "
+            "sma_15min, buy_pressure, price_deviation_pct, volume_spike FROM signals "
+            "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY window_start DESC) = 1"
+        ),
+        "replay_rsi_14": (
+            f"WITH {_ON_TIME}, known AS (SELECT max(trade_timestamp) AS newest FROM trades), "
+            + _rsi(5 * _MINUTE, "window_end <= (SELECT newest FROM known) - INTERVAL 6 HOURS").replace(
+                "SELECT symbol, window_start, close,\n", "SELECT symbol, CAST(window_start AS DATE) AS date_bucket, window_start, close,\n"
+            )
         ),
-        "retain_bars_30d": (
-            f"{plain}, bars AS ({_FIVE}) SELECT * FROM bars "
-            f"WHERE window_start >= TIMESTAMP '{BARS_NOW}' - INTERVAL 30 DAYS"
+        "replay_batches": (
+            f"WITH {_DELIVERED} SELECT CAST(delivery AS BIGINT) AS delivery, count(*) AS input_rows FROM arrivals GROUP BY delivery"
         ),
-        "retain_signals_90d": f"{signals} WHERE window_start >= TIMESTAMP '{SIGNALS_NOW}' - INTERVAL 90 DAYS",
+        "retain_bars_30d": expired_bars,
+        "retain_signals_90d": expired_signals,
         "component_health": f"{faulty} {_HEALTH}",
         "latency_histogram": f"{plain} {histogram} UNION ALL SELECT '+Inf', count(latency_ms) FROM trades",
         "last_trade": (

@@ -11,18 +11,22 @@ from candlewick.operators.indicators import rsi
 from candlewick.operators.ingest import (
     accepted, rejected, topic_rows, with_event_time, without_repeats,
 )
-from candlewick.plans.backfill import backfill, on_days
-from candlewick.session import scratch_folder, stored, stream_session
-from candlewick.settings import BARS_PER_DAY, LATENESS, RETENTION_DAYS, TRADES_TOPIC
+from candlewick.operators.summaries import panes, summarise
+from candlewick.plans.backfill import backfill
+from candlewick.session import scratch_folder, stream_session
+from candlewick.settings import BARS_PER_DAY, LATENESS, RETENTION_DAYS, SILVER_SLIDE, TRADES_TOPIC
 from candlewick.sinks.bronze import write_bronze
-from candlewick.sinks.keyed import alert_table, bar_table, health_table, signal_table
+from candlewick.sinks.keyed import alert_table, bar_table, health_table, pane_table, rsi_table, signal_table
 from candlewick.sinks.topic import topic_folder, write_checked
 from candlewick.sources import samples
-from candlewick.sources.bronze import read_bronze
+from candlewick.sources.bronze import read_bronze, read_days, refresh_zones
 from candlewick.sources.topic import decode_trades
 from candlewick.streaming.jobs import (
-    JobPaths, start_bronze, start_gold, start_health, start_silver, start_upsert,
+    JobPaths, latest_view, sliding_bars, start_bronze, start_gold, start_health, start_panes, start_rsi, start_silver,
+    start_upsert,
 )
+from candlewick.streaming.progress import batch_counts
+from candlewick.streaming.replay import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +36,7 @@ SERVING_NOW = "2024-01-15 18:30:00"
 BARS_NOW = "2024-02-10 12:00:00"
 SIGNALS_NOW = "2024-04-10 12:00:00"
 HEALTH_NOW = "2024-01-15 18:30:00"
+HEALTH_WEEK_NOW = "2024-01-22 12:00:00"
 BACKTEST_DAYS = ("2024/01/09", "2024/01/10")
 BACKTEST_SYMBOLS = ("CLICK", "VIEW")
 _ONCE = {"availableNow": True}
@@ -145,10 +150,33 @@ def bars_from_bronze(spark, sf_dir):
 
 @query
 def backtest_bars(spark, sf_dir):
-    """Bars of two days and two symbols: whole ones, so the trades of these days are looked for in all ingest folders."""
+    """Bars of two days and two symbols: whole ones, from the files of any ingest day that hold trades of these days."""
     folder = scratch_folder(spark, "bronze")
     write_bronze(_trades(spark, sf_dir).drop("trade_timestamp"), folder)
-    return ohlcv(with_event_time(on_days(read_bronze(spark, folder, symbols=BACKTEST_SYMBOLS), BACKTEST_DAYS)))
+    return ohlcv(with_event_time(read_days(spark, folder, BACKTEST_DAYS, BACKTEST_SYMBOLS)))
+
+
+@query
+def bronze_zones(spark, sf_dir):
+    """The zone map of the stored trades, added up by folder."""
+    folder = scratch_folder(spark, "bronze")
+    write_bronze(_trades(spark, sf_dir).drop("trade_timestamp"), folder)
+    zones = refresh_zones(spark, folder)
+    day, symbol = (F.regexp_extract("file", f"{name}=([^/]+)", 1) for name in ("date_partition", "symbol"))
+    return zones.groupBy(F.replace(day, F.lit("%2F"), F.lit("/")).alias("date_partition"), symbol.alias("symbol")).agg(
+        F.min("first_ms").alias("first_ms"), F.max("last_ms").alias("last_ms"), F.sum("trades").alias("trades")
+    )
+
+
+@query
+def upsert_counts(spark, sf_dir):
+    """What three batches of signals report to have written, each of the trades known by then."""
+    trades, table, counts = _trades(spark, sf_dir), signal_table(scratch_folder(spark, "signals")), []
+    for batch_id, known_to in enumerate(["2024-01-10 01:02:00", "2024-01-20 01:02:00", "2024-02-20 00:00:00"]):
+        known = trades.filter(F.col("trade_timestamp") < F.lit(known_to).cast("timestamp"))
+        written = table.upsert(risk.trading_signals(known), batch_id)
+        counts.append((batch_id, written["rows"], written["high_risk"]))
+    return spark.createDataFrame(counts, "batch_id long, rows long, high_risk long")
 
 
 @query
@@ -220,12 +248,12 @@ def ohlcv_1day_hot_symbols(spark, sf_dir):
 
 @query
 def rsi_14(spark, sf_dir):
-    return rsi(stored(ohlcv(_trades(spark, sf_dir), "6 hours"), "bars"))
+    return rsi(ohlcv(_trades(spark, sf_dir), "6 hours"))
 
 
 @query
 def rsi_14_hourly(spark, sf_dir):
-    return rsi(stored(ohlcv(_trades(spark, sf_dir), "1 hour"), "bars"))
+    return rsi(ohlcv(_trades(spark, sf_dir), "1 hour"))
 
 
 # -- signals -----------------------------------------------------------------------------------------
@@ -312,6 +340,88 @@ def retain_signals_90d(spark, sf_dir):
     return _steady(kept, "sma_15min", "volume_15min")
 
 
+# -- dashboard reads of stored tables ----------------------------------------------------------------
+
+
+def _written(table, rows: DataFrame):
+    """The rows in a table, in two batches: the first has all of them, the second those of later days once more."""
+    table.upsert(rows, 0, "first")
+    table.upsert(rows.filter(F.col(table.time_column) >= F.lit("2024-01-12").cast("timestamp")), 1, "second")
+    return table
+
+
+@query
+def served_recent_bars(spark, sf_dir):
+    table = _written(bar_table(scratch_folder(spark, "bars")), ohlcv(_trades(spark, sf_dir)))
+    return serving.recent_bars(table.current(spark), SERVING_SYMBOL, SERVING_NOW)
+
+
+@query
+def served_last_day_bars(spark, sf_dir):
+    table = _written(bar_table(scratch_folder(spark, "bars")), ohlcv(_trades(spark, sf_dir)))
+    return serving.last_day_bars(table.current(spark), SERVING_SYMBOL, SERVING_NOW)
+
+
+@query
+def served_last_day_bars_sliding(spark, sf_dir):
+    """Sliding bars of a day from the panes that touch it."""
+    paths = JobPaths(scratch_folder(spark, "live"))
+    _written(pane_table(paths.panes), panes(summarise(_trades(spark, sf_dir), SILVER_SLIDE)))
+    bars = sliding_bars(spark, paths, since="2024-01-14 18:25:00", until="2024-01-15 18:35:00")
+    return serving.last_day_bars(bars, SERVING_SYMBOL, SERVING_NOW)
+
+
+@query
+def served_todays_alerts(spark, sf_dir):
+    signals = risk.trading_signals(_trades(spark, sf_dir))
+    table = _written(signal_table(scratch_folder(spark, "signals")), signals)
+    return serving.todays_alerts(table.current(spark), SERVING_SYMBOL, SERVING_NOW)
+
+
+@query
+def served_alert_history(spark, sf_dir):
+    """The alerts of one day, all symbols."""
+    alerts = risk.alert_history(risk.trading_signals(_trades(spark, sf_dir)))
+    table = _written(alert_table(scratch_folder(spark, "alerts")), alerts)
+    return table.current(spark, since="2024-01-15 00:00:00", until="2024-01-15 23:59:59.999999")
+
+
+@query
+def served_recent_health(spark, sf_dir):
+    table = _written(health_table(scratch_folder(spark, "health")), _health(spark, sf_dir))
+    return serving.recent_health(table.current(spark), HEALTH_NOW)
+
+
+def _expired(spark: SparkSession, table, rows: DataFrame, days: int, now: str) -> DataFrame:
+    _written(table, rows).expire(spark, days, now)
+    return table.current(spark)
+
+
+@query
+def expired_bars_30d(spark, sf_dir):
+    table = bar_table(scratch_folder(spark, "bars"))
+    return _expired(spark, table, ohlcv(_trades(spark, sf_dir)), RETENTION_DAYS["bars"], BARS_NOW)
+
+
+@query
+def expired_signals_90d(spark, sf_dir):
+    table, signals = signal_table(scratch_folder(spark, "signals")), risk.trading_signals(_trades(spark, sf_dir))
+    return _steady(_expired(spark, table, signals, RETENTION_DAYS["signals"], SIGNALS_NOW), "sma_15min", "volume_15min")
+
+
+@query
+def expired_alerts_90d(spark, sf_dir):
+    table = alert_table(scratch_folder(spark, "alerts"))
+    alerts = risk.alert_history(risk.trading_signals(_trades(spark, sf_dir)))
+    return _expired(spark, table, alerts, RETENTION_DAYS["alerts"], SIGNALS_NOW)
+
+
+@query
+def expired_health_7d(spark, sf_dir):
+    table = health_table(scratch_folder(spark, "health"))
+    return _expired(spark, table, _health(spark, sf_dir), RETENTION_DAYS["health"], HEALTH_WEEK_NOW)
+
+
 # -- operations --------------------------------------------------------------------------------------
 
 
@@ -386,6 +496,73 @@ def stream_alert_history(spark, sf_dir):
     return alert_table(paths.alerts).current(spark)
 
 
+# -- replays: many micro-batches, late rows, restarts ------------------------------------------------
+
+# The job is stopped after the third and the fourth delivery and goes on from its checkpoint.
+_SESSIONS = ((0, 1, 2), (3,), (4, 5))
+
+
+def _replayed(spark: SparkSession, sf_dir: str, start) -> tuple[JobPaths, list[dict]]:
+    """Run one live job over the whole table as it would have arrived."""
+    folder = scratch_folder(spark, "replay")
+    paths = JobPaths(f"{folder}/live")
+
+    def started(events: DataFrame):
+        return start(samples.trades(events, lateness=samples.REPLAY_LATENESS), paths, trigger=_ONCE)
+
+    return paths, replay(samples.deliveries(samples.events(spark, sf_dir)), folder, started, _SESSIONS)
+
+
+@query
+def replay_bronze(spark, sf_dir):
+    """Every trade, also the ones that come too late for the bars."""
+    return read_bronze(spark, _replayed(spark, sf_dir, start_bronze)[0].bronze)
+
+
+@query
+def replay_bars_5min(spark, sf_dir):
+    return bar_table(_replayed(spark, sf_dir, start_silver)[0].bars).current(spark)
+
+
+@query
+def replay_bars_sliding(spark, sf_dir):
+    """Windows merged from panes when they are read; the job holds one row of state for a symbol and minute."""
+    return sliding_bars(spark, _replayed(spark, sf_dir, start_panes)[0])
+
+
+@query
+def replay_signals_15min(spark, sf_dir):
+    signals = signal_table(_replayed(spark, sf_dir, start_gold)[0].signals).current(spark)
+    return _steady(signals, "sma_15min", "volume_15min")
+
+
+@query
+def replay_alert_history(spark, sf_dir):
+    """Alerts as raised: each delivery is judged by the trades known then, and nothing is withdrawn."""
+    return alert_table(_replayed(spark, sf_dir, partial(start_gold, alerts=True))[0].alerts).current(spark)
+
+
+@query
+def replay_latest_signals(spark, sf_dir):
+    """The view that every batch of signals merges into."""
+    paths, _ = _replayed(spark, sf_dir, partial(start_gold, latest=True))
+    return _steady(latest_view(paths.latest).current(spark), "sma_15min")
+
+
+@query
+def replay_rsi_14(spark, sf_dir):
+    """The index of the bars the watermark has closed, batch by batch."""
+    return rsi_table(_replayed(spark, sf_dir, start_rsi)[0].rsi).current(spark)
+
+
+@query
+def replay_batches(spark, sf_dir):
+    """Rows read by each micro-batch that had some: one for every delivery, across the restarts."""
+    _, progress = _replayed(spark, sf_dir, start_silver)
+    read = [count for count in (batch_counts(step)["input_rows"] for step in progress) if count]
+    return spark.createDataFrame(list(enumerate(read)), "delivery long, input_rows long")
+
+
 @query
 def stream_topic_messages(spark, sf_dir):
     """Both topics of the faulty feed, written by one stream."""

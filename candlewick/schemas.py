@@ -72,6 +72,48 @@ SIGNAL = _struct(
     ("alert_message", _text),
 )
 
+# What a window of trades adds up to; windows of these panes merge into longer or sliding ones.
+_place = T.DecimalType(38, 0)
+PANE = _struct(
+    ("symbol", _text),
+    ("date_bucket", _day),
+    ("window_start", _time),
+    ("window_end", _time),
+    ("open", _real),
+    ("open_at", _place),
+    ("close", _real),
+    ("close_at", _place),
+    ("high", _real),
+    ("low", _real),
+    ("price_sum", _real),
+    ("price_count", _long),
+    ("turnover", _real),
+    ("volume", _real),
+    ("notional", _real),
+    ("latency_sum", _real),
+    ("latency_count", _long),
+    ("trade_count", _long),
+)
+
+CLOSE = _struct(("symbol", _text), ("window_start", _time), ("close", _real))
+
+RSI = _struct(("symbol", _text), ("date_bucket", _day), ("window_start", _time), ("close", _real), ("rsi_14", _real))
+
+LATEST_SIGNAL = _struct(
+    ("symbol", _text),
+    ("date_bucket", _day),
+    ("window_start", _time),
+    ("risk_level", _text),
+    ("alert_message", _text),
+    ("close", _real),
+    ("sma_15min", _real),
+    ("buy_pressure", _real),
+    ("price_deviation_pct", _real),
+    ("volume_spike", _flag),
+)
+
+ZONE = _struct(("file", _text), ("first_ms", _long), ("last_ms", _long), ("trades", _long))
+
 ALERT = _struct(
     ("symbol", _text),
     ("risk_level", _text),

@@ -3,6 +3,7 @@
 # They decide results, so they are not tunable per cluster.
 REQUIRED_KEYS = ("e", "E", "s", "t", "p", "q", "T", "m")
 SILVER_WINDOW = "5 minutes"
+SILVER_SLIDE = "1 minute"
 GOLD_WINDOW = "15 minutes"
 LATENESS = "10 minutes"
 SPIKE_RATIO = 1.5
@@ -28,3 +29,7 @@ DEAD_LETTER_KEY = "dlq"
 BRONZE_TRIGGER = "30 seconds"
 SILVER_TRIGGER = "60 seconds"
 GOLD_TRIGGER = "60 seconds"
+BRONZE_TASKS_PER_FOLDER = 4
+
+# How far the clock of a feed may run ahead before its messages become dead letters.
+MAX_AHEAD_MS = 3_600_000

@@ -5,6 +5,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from candlewick import settings
 from candlewick.sinks.layout import gather
+from candlewick.sources.bronze import refresh_zones
 
 FOLDERS = ("date_partition", "symbol")
 _TASKS_PER_FOLDER = 64
@@ -19,13 +20,14 @@ def write_bronze(
 ) -> StreamingQuery | None:
     """Append trades; a stream needs `checkpoint` and returns its query.
 
-    A batch is gathered by folder, so neither tiny files nor one huge task come out. A stream writes the
-    folders each task meets, without a shuffle; with `tasks_per_folder`, it gathers each folder's rows into
-    at most that many tasks and files per batch.
+    A batch is gathered by folder, so neither tiny files nor one huge task come out, and its files are entered in the
+    zone map (see `sources.bronze`). A stream writes the folders each task meets, without a shuffle; with
+    `tasks_per_folder`, it gathers each folder's rows into at most that many tasks and files per batch.
     """
     if not trades.isStreaming:
         rows = gather(trades, FOLDERS, ["trade_id"], tasks_per_folder or _TASKS_PER_FOLDER)
         rows.write.mode("append").partitionBy(*FOLDERS).parquet(path)
+        refresh_zones(trades.sparkSession, path)
         return None
     if tasks_per_folder:
         trades = gather(trades, FOLDERS, ["trade_id"], tasks_per_folder)

@@ -10,6 +10,9 @@ folder of current rows.
     <path>/folded/version=<k>/              the batch folders that base replaces, with the time each was finished
 
 A batch folder that is written again after it was folded has another time: it counts as new.
+
+Below a batch folder, rows lie in folders of one day (or another bucket). Reads of some days open only theirs, and files
+whose Bloom filter rules out the symbol are left unread; `expire` drops whole days by the folder's name.
 """
 
 import logging
@@ -17,16 +20,19 @@ import re
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from candlewick import schemas, settings
-from candlewick.operators.tables import newest_versions, retain
+from candlewick.functions import utc_date
+from candlewick.operators.tables import as_instant, newest_versions, retain
 from candlewick.sinks.layout import gather
 
 logger = logging.getLogger(__name__)
 
 _STAMP = "written_at"
 _LEAST_TASKS = 4
+# Sizes the Bloom filters, about 10 bits for each.
+_SYMBOLS_A_FILE = 10_000
 
 
 class KeyedTable:
@@ -37,47 +43,59 @@ class KeyedTable:
         key: Sequence[str],
         time_column: str,
         bucket: str | None = None,
+        lookup: str | None = None,
     ):
-        """`bucket` is the column the folders of a batch are split by; it must belong to the key."""
+        """`bucket` is the column the folders of a batch are split by: one of the key, or else the UTC day of `time_column`,
+        kept under that name beside the rows. Files get a Bloom filter on `lookup`.
+        """
         self.path = path.rstrip("/")
         self.schema = schema
         self.key = list(key)
         self.time_column = time_column
         self.bucket = bucket
-        self._stored = T.StructType([*schema.fields, T.StructField(_STAMP, T.TimestampType())])
+        self.lookup = lookup
+        self._derived = bool(bucket) and bucket not in schema.names
+        own_day = [T.StructField(bucket, T.DateType())] if self._derived else []
+        self._stored = T.StructType([*schema.fields, *own_day, T.StructField(_STAMP, T.TimestampType())])
 
     # -- writing ---------------------------------------------------------------------------------
 
     def upsert(self, batch: DataFrame, batch_id: int, writer: str = "main") -> dict[str, int]:
         """Write one batch of rows, unique by key; returns its row counts.
 
-        `writer` and `batch_id` name the batch: the same pair again replaces it. The batch is computed
-        once, as the counts come from the stored rows. A batch without rows leaves nothing behind.
+        `writer` and `batch_id` name the batch: the same pair again replaces it. The batch is computed and read
+        once: the rows are counted on their way into the files. A batch without rows leaves nothing behind.
         """
-        spark = batch.sparkSession
         folder = f"{self.path}/delta/writer={writer}/batch_id={batch_id}"
-        self._write(batch.withColumn(_STAMP, F.current_timestamp()), folder)
-        counts = [F.count(F.lit(1)).alias("rows")]
-        if "risk_level" in self.schema.names:
-            counts.append(F.count_if(F.col("risk_level").isin(*settings.HIGH_RISK)).alias("high_risk"))
-        result = spark.read.schema(self.schema).parquet(folder).agg(*counts).first().asDict()
+        result = self._write(batch.withColumn(_STAMP, F.current_timestamp()), folder)
         if result["rows"]:
             logger.info("%s writer %s batch %s: %s", self.path, writer, batch_id, result)
         else:
-            _delete(spark, folder)
+            _delete(batch.sparkSession, folder)
         return result
 
-    def _write(self, rows: DataFrame, folder: str) -> None:
+    def _write(self, rows: DataFrame, folder: str) -> dict[str, int]:
         """Rows with a full key, newest first within a file; the bucket leads, as the folders need it."""
+        if self._derived:
+            rows = rows.withColumn(self.bucket, utc_date(F.col(self.time_column)))
         stored = rows.select(*self._stored.names).dropna(subset=self.key)
         order = [name for name in self.key if name not in (self.bucket, self.time_column)]
         buckets = [self.bucket] if self.bucket else []
         order = buckets + order
         # A micro-batch often falls into one bucket: a share of the shuffle partitions writes it.
         spread = max(_LEAST_TASKS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
-        stored = gather(stored, buckets, self.key, spread)
+        # Counted behind the shuffle: an empty one is cut out of the plan with all that stands before it.
+        counted, counts = Observation(), [F.count(F.lit(1)).alias("rows")]
+        if "risk_level" in self.schema.names:
+            counts.append(F.count_if(F.col("risk_level").isin(*settings.HIGH_RISK)).alias("high_risk"))
+        stored = gather(stored, buckets, self.key, spread).observe(counted, *counts)
         writer = stored.sortWithinPartitions(*order, F.desc(self.time_column)).write.mode("overwrite")
+        if self.lookup:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{self.lookup}", "true").option(
+                f"parquet.bloom.filter.expected.ndv#{self.lookup}", str(_SYMBOLS_A_FILE)
+            )
         writer.partitionBy(*buckets).parquet(folder)
+        return counted.get
 
     # -- reading ---------------------------------------------------------------------------------
 
@@ -100,10 +118,26 @@ class KeyedTable:
         ]
         return scans[0] if len(scans) == 1 else scans[0].unionByName(scans[1])
 
-    def current(self, spark: SparkSession) -> DataFrame:
-        """The newest version of every key."""
-        newest = newest_versions(self.versions(spark), self.key, _STAMP)
-        return newest.select(*self.schema.names)
+    def current(
+        self, spark: SparkSession, since: datetime | str | None = None, until: datetime | str | None = None
+    ) -> DataFrame:
+        """The newest version of every key; with `since` or `until` only rows of these times, both included.
+
+        Where folders are days, others are not opened. All versions of a key have its time, so they are chosen
+        before the newest is looked for; later filters on key columns reach the scan as well.
+        """
+        versions = self.versions(spark)
+        at, day = F.col(self.time_column), self.bucket if self._by_day() else None
+        if since is not None:
+            versions = versions.filter(at >= as_instant(since))
+            versions = versions.filter(F.col(day) >= utc_date(as_instant(since))) if day else versions
+        if until is not None:
+            versions = versions.filter(at <= as_instant(until))
+            versions = versions.filter(F.col(day) <= utc_date(as_instant(until))) if day else versions
+        return newest_versions(versions, self.key, _STAMP).select(*self.schema.names)
+
+    def _by_day(self) -> bool:
+        return bool(self.bucket) and isinstance(self._stored[self.bucket].dataType, T.DateType)
 
     # -- upkeep ----------------------------------------------------------------------------------
 
@@ -143,6 +177,36 @@ class KeyedTable:
             _delete(spark, folder)
         return len(old)
 
+    def expire(self, spark: SparkSession, days: int, as_of: datetime | str | None = None) -> dict[str, int]:
+        """Drop rows older than `days` at `as_of`; returns how many folders went and how many rows were written anew.
+
+        Folders of older days go by their name, unread. Only the day that is partly too old is read: what stays of
+        it is written as one more batch, with its versions and their stamps, before its folders go. A run that is cut
+        off leaves rows double, which readers do not see, and the next run ends its work. Batches that are being written
+        meanwhile are left alone.
+        """
+        if not self._by_day():
+            raise ValueError("only a table in folders of days can drop them")
+        oldest = as_instant(as_of) - F.make_dt_interval(F.lit(days))
+        border, number = spark.range(1).select(
+            utc_date(oldest).cast("string"), F.unix_millis(F.current_timestamp())
+        ).first()
+        gone, split = [], []
+        finished = [*self._batches(spark), *[self._base(version) for version in self._bases(spark)]]
+        for folder in _folders(spark, [f"{batch}/{self.bucket}=*" for batch in finished]):
+            day = folder.rsplit("=", 1)[1]
+            if re.fullmatch(r"\d{4}-\d{2}-\d{2}", day) and day <= border:
+                (split if day == border else gone).append(folder)
+        kept = {"rows": 0}
+        if split:
+            plain = T.StructType([item for item in self._stored.fields if item.name != self.bucket])
+            rows = spark.read.schema(plain).parquet(*split).withColumn(self.bucket, F.lit(border).cast("date"))
+            folder = f"{self.path}/delta/writer=expire/batch_id={number}"
+            kept = self._write(rows.filter(F.col(self.time_column) >= oldest), folder)
+        for folder in [*gone, *split]:
+            _delete(spark, folder)
+        return {"folders": len(gone) + len(split), "rows": kept["rows"]}
+
     # -- folders ---------------------------------------------------------------------------------
 
     def _base(self, number: int) -> str:
@@ -187,22 +251,40 @@ def _finished(spark: SparkSession, pattern: str) -> dict[str, int]:
     }
 
 
+def _folders(spark: SparkSession, patterns: Sequence[str]) -> list[str]:
+    """The folders that match, below the folders as they were given."""
+    found = []
+    for pattern in patterns:
+        place, files = _hadoop(spark, pattern)
+        parent = pattern.rsplit("/", 1)[0]
+        found += [f"{parent}/{status.getPath().getName()}" for status in files.globStatus(place) or [] if status.isDirectory()]
+    return found
+
+
 def _delete(spark: SparkSession, folder: str) -> None:
     place, files = _hadoop(spark, folder)
     files.delete(place, True)
 
 
 def bar_table(path: str) -> KeyedTable:
-    return KeyedTable(path, schemas.BAR, ("symbol", "date_bucket", "window_start"), "window_start", "date_bucket")
+    return KeyedTable(path, schemas.BAR, ("symbol", "date_bucket", "window_start"), "window_start", "date_bucket", "symbol")
 
 
 def signal_table(path: str) -> KeyedTable:
-    return KeyedTable(path, schemas.SIGNAL, ("symbol", "date_bucket", "window_start"), "window_start", "date_bucket")
+    return KeyedTable(path, schemas.SIGNAL, ("symbol", "date_bucket", "window_start"), "window_start", "date_bucket", "symbol")
 
 
 def alert_table(path: str) -> KeyedTable:
-    return KeyedTable(path, schemas.ALERT, ("symbol", "risk_level", "alert_time"), "alert_time", "risk_level")
+    return KeyedTable(path, schemas.ALERT, ("symbol", "risk_level", "alert_time"), "alert_time", "alert_day", "symbol")
 
 
 def health_table(path: str) -> KeyedTable:
-    return KeyedTable(path, schemas.HEALTH, ("component", "metric_time"), "metric_time")
+    return KeyedTable(path, schemas.HEALTH, ("component", "metric_time"), "metric_time", "metric_day", "component")
+
+
+def pane_table(path: str) -> KeyedTable:
+    return KeyedTable(path, schemas.PANE, ("symbol", "date_bucket", "window_start"), "window_start", "date_bucket", "symbol")
+
+
+def rsi_table(path: str) -> KeyedTable:
+    return KeyedTable(path, schemas.RSI, ("symbol", "date_bucket", "window_start"), "window_start", "date_bucket", "symbol")

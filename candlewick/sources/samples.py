@@ -24,6 +24,29 @@ def events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
+# Deliveries of a replay: how many, how long a row may be under way and still count, and how far too late rows come.
+DELIVERIES = 6
+REPLAY_LATENESS = "6 hours"
+_TARDY_MS = 5 * 3_600_000
+_DELIVERIES_LATE = 3
+
+
+def deliveries(source: DataFrame) -> DataFrame:
+    """Events with the number of the delivery they arrive with: `delivery`, 0 to DELIVERIES - 1.
+
+    The time span is cut evenly. Half of the events of a part's last five hours come one delivery later, which the watermark of
+    REPLAY_LATENESS allows; one in 97 comes three deliveries later, days behind it.
+    """
+    millis = F.unix_millis(F.col("ts").cast("timestamp"))
+    first, last = source.agg(F.min(millis), F.max(millis)).first()
+    width = ((last or 0) - (first or 0)) // DELIVERIES + 1
+    part, into = F.floor((millis - (first or 0)) / width), (millis - (first or 0)) % width
+    late = (F.col("event_id") % 97 == 5) & (part + _DELIVERIES_LATE < DELIVERIES)
+    tardy = (F.col("event_id") % 2 == 0) & (part + 1 < DELIVERIES) & (into >= width - _TARDY_MS)
+    number = F.when(late, part + _DELIVERIES_LATE).when(tardy, part + 1).otherwise(part)
+    return source.withColumn("delivery", number.cast("int"))
+
+
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_utc(spark)
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
