@@ -123,3 +123,23 @@ def test_window_labels():
 
 def test_start_is_the_expected_instant():
     assert START % 300_000 == 0
+
+
+def test_sums_are_cut_the_same_way_at_every_size(spark):
+    """By a power of ten or by its text, a value keeps the same 14 digits; ties go up whatever the sum's last bits."""
+    from decimal import ROUND_HALF_UP, Context, Decimal
+
+    from candlewick.functions import round_sum
+
+    values = [0.15, 0.1 + 0.05, 0.145, 1.005, 2.675, 1e-12, 3.3e-10, -0.125, 1e13 + 0.5, 123456789012345.6, 1e25, 999.999999999999]
+    values += [(i * 7919 % 100003) / 1000 + (i % 11) * 1e-16 for i in range(3000)] + [sum([0.1] * n) for n in range(1, 400)]
+    rows = spark.createDataFrame([(value,) for value in [*values, 0.0, None, float("nan"), float("inf")]], "v double")
+    for digits in (2, 4, 6):
+        found = [row[0] for row in rows.select(round_sum(F.col("v"), digits)).collect()]
+        expected = [
+            float(Decimal(repr(float("%.13e" % value))).quantize(
+                Decimal(1).scaleb(-digits), ROUND_HALF_UP, Context(prec=60)
+            )) for value in values
+        ]
+        assert found[: len(values)] == expected
+        assert found[len(values)] == 0.0 and found[len(values) + 1] is None and found[-2] != found[-2] and found[-1] == float("inf")
