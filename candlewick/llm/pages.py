@@ -10,10 +10,10 @@ title (h1) before or after an article or main element without one comes out too.
 """
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from html import unescape
 from itertools import groupby
-from os.path import commonprefix
 from statistics import pstdev
 from typing import NamedTuple
 
@@ -33,10 +33,12 @@ _TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+# Whole attributes, so that neither a longer name nor a value is taken for one of those looked for.
+_ATTRIBUTE = re.compile(r"([^\s\"'=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Their content is no text of the page.
-_RAW = frozenset("script style noscript template iframe svg math textarea select object canvas audio video head title".split())
+_RAW = frozenset("script style noscript template iframe svg textarea select object canvas audio video head title".split())
 _NO_MARKUP = frozenset("script style textarea title".split())
 _SIDE = frozenset("nav footer aside form button menu dialog fieldset label".split())
 _MAIN = frozenset(("article", "main"))
@@ -44,6 +46,7 @@ _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd mark q s samp small span strike strong "
     "sub sup time tt u var wbr".split()
 )
+_UNNAMED = _INLINE | _HEADINGS | frozenset(("html", "body", *_MAIN))
 # Blocks of an article, never its container.
 _LEAVES = _INLINE | frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd tr th td thead tbody table blockquote pre figure figcaption hgroup".split())
 _SIDE_NAME = re.compile(
@@ -86,19 +89,74 @@ def _side(tag: str, attributes: str, inside_main: bool) -> int | None:
             found.append(_UNSEEN)
         if name == "role" and value.lower() in _SIDE_ROLE:
             found.append(_WRAPPER if value.lower() in _WRAPPERS else _TAGGED)
-        if name in ("class", "id") and tag not in ("html", "body", *_MAIN) and _SIDE_NAME.search(_BESIDE.sub("", value)):
+        # Headings and pieces of a line are named for what they say or link to.
+        if name in ("class", "id") and tag not in _UNNAMED and _SIDE_NAME.search(_BESIDE.sub("", value)):
             found.append(_NAMED)
     return max(found, default=None)
 
 
-def _nodes(html: str) -> list[tuple[int, tuple[str, ...], tuple[_Side, ...], str]]:
-    """(block, path, sides, text) of the text nodes in page order; a line break is a node with a blank."""
-    stack: list[tuple[str, tuple[_Side, ...]]] = []
+class _Path:
+    """A root-to-leaf tag path, one object for each; `main` is its first article or main element, itself included."""
+
+    __slots__ = ("children", "main", "parent", "tag", "titled")
+
+    def __init__(self, parent: "_Path | None" = None, tag: str = ""):
+        self.parent, self.tag, self.children = parent, tag, {}
+        self.main = (parent and parent.main) or (self if tag in _MAIN else None)
+        self.titled = tag == "h1" or bool(parent and parent.titled)
+
+    def below(self, tag: str, known: list["_Path"]) -> "_Path":
+        if tag not in self.children:
+            self.children[tag] = _Path(self, tag)
+            known.append(self.children[tag])
+        return self.children[tag]
+
+
+class _Open:
+    """The open elements, with the places of each tag, so that none needs a look at all of them."""
+
+    def __init__(self):
+        self.known = [_Path()]
+        self.stack: list[tuple[_Path, tuple[_Side, ...]]] = [(self.known[0], ())]
+        self.places: dict[str, list[int]] = {}
+
+    @property
+    def path(self) -> _Path:
+        return self.stack[-1][0]
+
+    @property
+    def sides(self) -> tuple[_Side, ...]:
+        return self.stack[-1][1]
+
+    def last(self, tags) -> int:
+        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=-1)
+
+    def first_after(self, tags, border: int) -> int | None:
+        found = []
+        for tag in tags:
+            places = self.places.get(tag, ())
+            if places and places[-1] > border:
+                found.append(places[bisect_right(places, border)])
+        return min(found, default=None)
+
+    def push(self, tag: str, sides: tuple[_Side, ...]) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((self.path.below(tag, self.known), sides))
+
+    def cut(self, place: int) -> None:
+        while len(self.stack) > place:
+            self.places[self.stack.pop()[0].tag].pop()
+
+
+def _nodes(html: str) -> tuple[list[tuple[int, _Path, tuple[_Side, ...], str]], list[_Path]]:
+    """(block, path, sides, text) of the text nodes in page order, where a line break is a node with a blank; all paths,
+    parents first."""
+    opened = _Open()
     found, block, at = [], 0, 0
     while match := _TOKEN.match(html, at):
         at = match.end()
         if text := match["text"]:
-            found.append((block, tuple(tag for tag, _ in stack), stack[-1][1] if stack else (), unescape(text)))
+            found.append((block, opened.path, opened.sides, unescape(text)))
             continue
         tag = match["tag"] or match["tag2"]
         if not tag:
@@ -107,12 +165,11 @@ def _nodes(html: str) -> list[tuple[int, tuple[str, ...], tuple[_Side, ...], str
         if tag not in _INLINE:
             block += 1
         if closing:
-            names = [name for name, _ in stack]
-            if tag in names:
-                del stack[len(names) - 1 - names[::-1].index(tag) :]
+            if (place := opened.last((tag,))) > 0:
+                opened.cut(place)
             continue
         if tag == "br":
-            found.append((block, tuple(name for name, _ in stack), stack[-1][1] if stack else (), " "))
+            found.append((block, opened.path, opened.sides, " "))
         if tag in _VOID:
             continue
         if tag in _RAW:
@@ -126,25 +183,20 @@ def _nodes(html: str) -> list[tuple[int, tuple[str, ...], tuple[_Side, ...], str
                 at = end.end() if end else len(html)
             continue
         if tag not in _INLINE:
-            names = [name for name, _ in stack]
-            ends = _ENDS.get(tag, ()) + (("p",) if tag not in _MAIN or "p" in names else ())
-            open_ones = [place for place, name in enumerate(names) if name in ends]
             # Not beyond the list or table that the new one belongs to.
-            border = max((place for place, name in enumerate(names) if name in ("ul", "ol", "dl", "table")), default=-1)
-            if open_ones and open_ones[-1] > border:
-                first = next(place for place in open_ones if place > border)
-                del stack[first:]
+            border = opened.last(("ul", "ol", "dl", "table"))
+            if (first := opened.first_after((*_ENDS.get(tag, ()), "p"), border)) is not None:
+                opened.cut(first)
         if not match[0].endswith("/>"):
-            sides = stack[-1][1] if stack else ()
-            inside = any(name in _MAIN for name, _ in stack)
+            sides, inside = opened.sides, opened.path.main is not None
             if (sure := _side(tag, match["rest"] or match["rest2"] or "", inside)) is not None:
                 sides += (_Side(match.start(), sure, inside),)
-            stack.append((tag, sides))
-    return found
+            opened.push(tag, sides)
+    return found, opened.known
 
 
-def _inside(path: tuple[str, ...]) -> bool:
-    return any(tag in _MAIN for tag in path)
+def _inside(path: _Path) -> bool:
+    return path.main is not None
 
 
 def _lifted(nodes) -> set[_Side]:
@@ -156,7 +208,7 @@ def _lifted(nodes) -> set[_Side]:
     total = sum(chars for *_, chars in texts)
 
     # An article or main element, where the page has no other; the one with most text and those with only wrappers above.
-    titled = any("h1" in path and kept(sides) for path, sides, _ in texts)
+    titled = any(path.titled and kept(sides) for path, sides, _ in texts)
     if not any(_inside(path) and kept(sides) for path, sides, _ in texts):
         above: Counter = Counter()
         for path, sides, chars in texts:
@@ -169,7 +221,7 @@ def _lifted(nodes) -> set[_Side]:
     has_main = any(_inside(path) and kept(sides) for path, sides, _ in texts)
 
     # A title, where there is no other; where there is an article, only one in it.
-    titles = [sides for path, sides, _ in texts if "h1" in path and (_inside(path) or not has_main)]
+    titles = [sides for path, sides, _ in texts if path.titled and (_inside(path) or not has_main)]
     if not any(kept(sides) for sides in titles):
         lifted.update(*[sides for sides in titles if all(side.sure <= _NAMED for side in sides if side not in lifted)])
     if has_main:
@@ -178,8 +230,8 @@ def _lifted(nodes) -> set[_Side]:
     # Most of the text that may be the article.
     own = [(path, sides, chars) for path, sides, chars in texts if all(side.sure <= _NAMED or side in lifted for side in sides)]
     total = sum(chars for *_, chars in own)
-    rest = sum(chars for path, sides, chars in own if kept(sides) and "h1" not in path)
-    titled = any("h1" in path and kept(sides) for path, sides, _ in own)
+    rest = sum(chars for path, sides, chars in own if kept(sides) and not path.titled)
+    titled = any(path.titled and kept(sides) for path, sides, _ in own)
     holds: Counter = Counter()
     for _, sides, chars in own:
         for side in sides:
@@ -195,9 +247,9 @@ def _smoothed(values: list[float]) -> list[float]:
     return [sum(w * v for w, v in zip(_SMOOTH, padded[i : i + 3], strict=True)) for i in range(len(values))]
 
 
-def _container(nodes) -> tuple[str, ...]:
+def _container(nodes, known: list[_Path]) -> _Path:
     """The path of the element that holds the content: all selected paths, and an article or main element whole."""
-    sums: dict[tuple, list[float]] = {}
+    sums: dict[_Path, list[float]] = {}
     for _, path, side, text in nodes:
         text = text.strip()
         if text and not side:
@@ -206,7 +258,7 @@ def _container(nodes) -> tuple[str, ...]:
             own[1] += len(_PUNCTUATION.findall(text))
             own[2] += 1
     if not sums:
-        return ()
+        return known[0]
     lengths, marks = [], []
     # Not across the border of an article, or what is next to it would be taken for a part of it.
     for _, run in groupby(sums, key=_inside):
@@ -215,26 +267,39 @@ def _container(nodes) -> tuple[str, ...]:
         marks += _smoothed([1 + points / count for _, points, count in own])
     scores = [a * b * (2 if _inside(path) else 1) for path, a, b in zip(sums, lengths, marks, strict=True)]
     cut = min(CUT * pstdev(scores), max(scores))
-    common = commonprefix([path for path, score in zip(sums, scores, strict=True) if score >= cut])
-    if _inside(common):
-        return common[: next(depth for depth, tag in enumerate(common, 1) if tag in _MAIN)]
-    while common and common[-1] in _LEAVES:
-        common = common[:-1]
+    # The deepest path above all selected ones has them all below it.
+    below = {path: score >= cut for path, score in zip(sums, scores, strict=True)}
+    every = sum(below.values())
+    common = known[0]
+    for path in reversed(known):
+        count = below.get(path, 0)
+        if count == every:
+            common = path
+            break
+        below[path.parent] = below.get(path.parent, 0) + count
+    if common.main:
+        return common.main
+    while common.tag in _LEAVES:
+        common = common.parent
     return common
 
 
 def main_text(html: str | None) -> str:
     """The blocks of the article, joined by empty lines; empty without any."""
-    nodes = _nodes(html or "")
+    nodes, known = _nodes(html or "")
     if any(sides for _, _, sides, _ in nodes):
         lifted = _lifted(nodes)
         nodes = [(block, path, not lifted.issuperset(sides), text) for block, path, sides, text in nodes]
-    container = _container(nodes)
-    held = lambda path: path[: len(container)] == container
-    titled = not _inside(container) or any("h1" in path and held(path) and text.strip() for _, path, side, text in nodes if not side)
+    container = _container(nodes, known)
+    inner = {container}
+    for path in known:  # parents come first
+        if path.parent in inner:
+            inner.add(path)
+    held = inner.__contains__
+    titled = not _inside(container) or any(path.titled and held(path) and text.strip() for _, path, side, text in nodes if not side)
     blocks = []
     for _, parts in groupby(nodes, key=lambda node: node[0]):
-        kept = [text for _, path, side, text in parts if not side and (held(path) or not titled and "h1" in path)]
+        kept = [text for _, path, side, text in parts if not side and (held(path) or not titled and path.titled)]
         if text := " ".join("".join(kept).split()):
             blocks.append(text)
     return "\n\n".join(blocks)

@@ -1,6 +1,7 @@
 """Near duplicates, token files, packing, pages, severity and the pipeline against plain versions."""
 
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -263,3 +264,36 @@ def test_pipeline_against_its_stages_in_plain_python(spark, small, tmp_path):
     total = rows.agg(F.sum("length")).first()[0]
     assert fits.count() <= -(-total // 2048) + 2
     assert corpus_pipeline.run(spark, small).count() == rows.count()
+
+
+_SENTENCE = "<p>This is a paragraph, with some text. It goes on; and on, as paragraphs do.</p>"
+_NAMES = ("related", "social", "search", "comments", "share", "ads", "menu", "footer", "newsletter", "hidden")
+_HARMLESS = (
+    '<h2 id="{0}-work">KEPT</h2>', '<h3 class="{0}">KEPT</h3>', '<p title="a {0} gem">KEPT</p>', '<div data-{0}="false">KEPT</div>',
+    '<div data-id="{0}-12">KEPT</div>', '<p><a href="/{0}-valley">KEPT</a></p>', '<p><a href="/p?id={0}-12">KEPT</a></p>',
+    '<p><a title="{0} class=ad id=menu">KEPT</a></p>', "<p><em id='{0}'>KEPT</em></p>", '<p>see <span class="{0}">KEPT</span></p>',
+)
+
+
+@pytest.mark.parametrize("name", _NAMES)
+@pytest.mark.parametrize("piece", [*_HARMLESS, "<p><math><mi>KEPT</mi></math></p>"])
+def test_words_in_names_values_and_headings_rule_nothing_out(piece, name):
+    page = f"<nav><a href='/'>Home</a></nav><article><h1>Title</h1>{_SENTENCE}{piece.format(name)}{_SENTENCE}</article>"
+    assert "KEPT" in pages.main_text(page) and "Home" not in pages.main_text(page)
+
+
+@pytest.mark.parametrize("piece", [
+    '<div class="ad">GONE</div>', "<div hidden>GONE</div>", '<section id="comments">GONE</section>', "<div CLASS=sidebar>GONE</div>",
+    '<div style="display: none">GONE</div>', "<div aria-hidden=true>GONE</div>", '<div data-x="1" class="related">GONE</div>',
+    "<ul role='menu'><li>GONE</ul>", "<section data-a='>' id=newsletter>GONE</section>",
+])
+def test_furniture_inside_an_article_still_goes(piece):
+    page = f"<article><h1>Title</h1>{_SENTENCE}{piece}{_SENTENCE}</article>"
+    assert "GONE" not in pages.main_text(page) and pages.main_text(page).count("paragraph,") == 2
+
+
+def test_deep_pages_take_time_in_proportion():
+    began = time.perf_counter()
+    assert "paragraph" in pages.main_text("<div>" * 20_000 + _SENTENCE + "</div>" * 20_000)
+    assert pages.main_text("".join(f"<div>part {i}, of it." for i in range(20_000))).count("part") == 20_000
+    assert time.perf_counter() - began < 10
