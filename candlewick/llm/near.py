@@ -45,7 +45,7 @@ _FACTORS = _RANDOM.integers(0, 2**64, _SAMPLES, dtype=np.uint64) | np.uint64(1)
 _BAND_FACTORS = _RANDOM.integers(0, 2**64, (BANDS, ROWS), dtype=np.uint64) | np.uint64(1)
 _BIT_FACTORS = _RANDOM.integers(0, 2**64, _SAMPLES, dtype=np.uint64) | np.uint64(1)
 _SEEDS = _RANDOM.integers(0, 2**64, 64, dtype=np.uint64) | np.uint64(1)
-_SIGNED = "doc_id long, high long, low long, n_shingles long, sketch array<long>, bands array<long>"
+_SIGNED = "doc_id long, text_key long, high long, low long, n_shingles long, sketch array<long>, bands array<long>"
 _CACHED = 2_000
 
 
@@ -106,7 +106,7 @@ def _key(words: list[bytes]) -> tuple[int, int]:
 
 
 def signed(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """`doc_id, high, low, n_shingles, sketch, bands`; equal words give equal (high, low)."""
+    """`doc_id, text_key, high, low, n_shingles, sketch, bands`; equal words give equal (high, low)."""
 
     def sign(batches):
         known = {}  # copies often come close together
@@ -125,15 +125,15 @@ def signed(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
             columns = list(zip(*rows, strict=True)) or [()] * 5
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], *[pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)]],
-                names=["doc_id", "high", "low", "n_shingles", "sketch", "bands"],
+                [batch["doc_id"], batch["text_key"], *[pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)]],
+                names=["doc_id", "text_key", "high", "low", "n_shingles", "sketch", "bands"],
             )
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, _SIGNED)
+    return documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text").mapInArrow(sign, _SIGNED)
 
 
 def shingle_sets(documents: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """`id, shingles, cells` of the classes in `nodes` (`id, high, low`), from the texts of their representatives."""
+    """`id, shingles, cells` of the classes in `nodes` (`id, doc, high, low`), from the texts of their documents `doc`."""
 
     def collect(batches):
         for batch in batches:
@@ -148,7 +148,7 @@ def shingle_sets(documents: DataFrame, nodes: DataFrame, size: int) -> DataFrame
             yield pa.RecordBatch.from_arrays(columns, names=["id", "shingles", "cells"])
 
     wanted = F.broadcast(nodes) if nodes.count() <= BROADCAST_IDS else nodes
-    texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id")
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc"), "text").join(wanted, "doc")
     found = texts.select("id", "high", "low", "text").mapInArrow(collect, "id long, shingles array<long>, cells array<int>")
     return found.dropDuplicates(["id"])
 
@@ -188,7 +188,7 @@ class Linker:
     """Confirms candidate pairs of classes, and keeps the shingle sets it has read."""
 
     def __init__(self, documents: DataFrame, nodes: DataFrame, size: int, similarity: int):
-        """`nodes`: id, high, low, n_shingles, sketch."""
+        """`nodes`: id, doc, high, low, n_shingles, sketch."""
         self.documents, self.nodes, self.size, self.similarity = documents, nodes, size, similarity
         self.sets = None
 
@@ -215,7 +215,7 @@ class Linker:
         """Read the sets of these classes, as far as they are not there yet."""
         if self.sets is not None:
             ids = ids.join(self.sets.select("id"), "id", "left_anti")
-        wanted = stored(self.nodes.select("id", "high", "low").join(ids, "id"), "wanted")
+        wanted = stored(self.nodes.select("id", "doc", "high", "low").join(ids, "id"), "wanted")
         new = stored(shingle_sets(self.documents, wanted, self.size), "sets")
         self.sets = new if self.sets is None else self.sets.unionByName(new)
 
@@ -259,28 +259,61 @@ def _pairs(rows: DataFrame, one: str, other: str) -> DataFrame:
     return rows.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct()
 
 
-def near_duplicates(documents: DataFrame, size: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
-    """One row for each document row: `doc_id, n_shingles, component_id, kept`.
+def _classes(documents: DataFrame, size: int, similarity: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The signed rows; `doc_id, high, low` of the different texts of each id; `high, low, root, component_id` of each text.
 
-    `component_id` is the least id that links reach, `kept` says whether it is the row's own. NULL and empty texts
-    have no shingles and link with nothing. Rows that repeat an id are one document, represented by one of their
-    texts; all get its component. A row with a NULL id links with nothing: its component is NULL and it is kept.
+    `root` joins texts that links connect. `component_id` is the least id among the texts that links or a common id
+    connect.
     """
     rows = stored(signed(documents, size), "signed")
-    # One text for each id, and one id for each text.
-    own = rows.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("doc_id").agg(F.min(F.struct("high", "low")).alias("k"))
-    own = stored(own.select("doc_id", "k.high", "k.low"), "keys")
-    classes = stored(own.groupBy("high", "low").agg(F.min("doc_id").alias("id")), "classes")
-    nodes = rows.withColumnRenamed("doc_id", "id").join(classes, ["id", "high", "low"]).dropDuplicates(["id"])
-    nodes = stored(nodes, "nodes")
+    own = stored(rows.where("doc_id IS NOT NULL AND n_shingles > 0").select("doc_id", "high", "low").distinct(), "keys")
+    classes = own.groupBy("high", "low").agg(F.min("doc_id").alias("doc"))
+    several = stored(own.groupBy("doc_id").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("doc_id"), "several")
+    repeated = not several.isEmpty()
+    if repeated:
+        # A class is called by its least id; of several with the same one, all but the first by their hash, below zero.
+        first = classes.join(several, F.col("doc") == F.col("doc_id"), "left_semi").groupBy("doc").agg(
+            F.min(F.struct("high", "low")).alias("first")
+        )
+        named = -F.shiftrightunsigned(F.xxhash64("high", "low"), 1) - 1
+        one = F.col("first").isNull() | (F.struct("high", "low") == F.col("first"))
+        classes = classes.join(first, "doc", "left").select("high", "low", "doc", F.when(one, F.col("doc")).otherwise(named).alias("id"))
+    else:
+        classes = classes.withColumn("id", F.col("doc"))
+    classes = stored(classes.select("high", "low", "doc", "id"), "classes")
+    nodes = rows.withColumnRenamed("doc_id", "doc").join(classes, ["doc", "high", "low"]).dropDuplicates(["id"])
+    nodes = stored(nodes.select("id", "doc", "high", "low", "n_shingles", "sketch", "bands"), "nodes")
     buckets = nodes.select("id", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("bucket")
     members = stored(buckets.join(shared, "bucket"), "members")
     roots = _linked(members, Linker(documents, nodes.drop("bands"), size, similarity))
     found = classes.join(roots, F.col("id") == F.col("node"), "left").select(
-        "high", "low", F.coalesce("root", "id").alias("component_id")
+        "high", "low", "doc", F.coalesce("root", "id").alias("root")
     )
-    of_id = own.join(found, ["high", "low"]).select(F.col("doc_id").alias("own_id"), "component_id")
+    if not repeated:
+        return rows, own, found.select("high", "low", "root", F.col("root").alias("component_id"))
+    found = stored(found, "found")
+    # The texts of one id belong together.
+    texts = own.join(several, "doc_id", "left_semi").join(found, ["high", "low"]).groupBy("doc_id", "root").agg(F.lit(1).alias("x"))
+    least = texts.groupBy("doc_id").agg(F.min("root").alias("a"))
+    joined = components(texts.join(least, "doc_id").select("a", F.col("root").alias("b")).where("a <> b"))
+    found = found.join(joined.withColumnRenamed("root", "whole"), F.col("root") == F.col("node"), "left").select(
+        "high", "low", "doc", "root", F.coalesce("whole", "root").alias("whole")
+    )
+    named = found.groupBy("whole").agg(F.min("doc").alias("component_id"))
+    return rows, own, stored(found.join(named, "whole").select("high", "low", "root", "component_id"), "found")
+
+
+def near_duplicates(documents: DataFrame, size: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
+    """One row for each document row: `doc_id, n_shingles, component_id, kept`.
+
+    `component_id` is the least id that links reach, `kept` says whether it is the row's own. NULL and empty texts
+    have no shingles and link with nothing. Rows that repeat an id are one document: it links by any of its texts, and
+    all its rows get its component. A row with a NULL id links with nothing: its component is NULL and it is kept.
+    """
+    rows, own, found = _classes(documents, size, similarity)
+    of_id = own.join(found.select("high", "low", "component_id"), ["high", "low"])
+    of_id = of_id.groupBy(F.col("doc_id").alias("own_id")).agg(F.min("component_id").alias("component_id"))
     joined = rows.select("doc_id", "n_shingles").join(of_id, F.col("doc_id") == F.col("own_id"), "left")
     component = F.coalesce("component_id", "doc_id")
     return joined.select(
@@ -365,8 +398,30 @@ def _linked(members: DataFrame, linker: Linker) -> DataFrame:
     return roots
 
 
-def keep_one(documents: DataFrame, **options) -> DataFrame:
-    """The documents, own columns only, without those that have a kept near-duplicate."""
-    own = documents.columns
-    gone = near_duplicates(documents, **options).where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return documents.join(gone, documents["doc_id"] == gone["gone_id"], "left_anti").select(*own)
+def keep_one(documents: DataFrame, size: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
+    """The documents, own columns only, with one row of each group of texts that links connect.
+
+    The row with the least id stays (NULL is the greatest; of several with that id, one). A row only goes for its own
+    text: an id may have another text that stays. Rows that repeat id and text are one; NULL and empty texts all stay.
+    """
+    rows, _, found = _classes(documents, size, similarity)
+    texts = rows.where("n_shingles > 0").groupBy("doc_id", "text_key", "high", "low").agg(F.count(F.lit(1)).alias("rows"))
+    # Texts that only rows without an id have are no class; each is a group of its own.
+    texts = stored(texts.join(found.select("high", "low", "root"), ["high", "low"], "left"), "texts")
+    group = [F.coalesce("high_root", "high").alias("g"), F.coalesce("low_root", "low").alias("h")]
+    texts = texts.select("*", F.col("root").alias("high_root"), F.when(F.col("root").isNotNull(), 0).alias("low_root"))
+    texts = texts.select("doc_id", "text_key", "rows", *group, F.col("root").isNull().alias("alone"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    first = texts.groupBy("alone", "g", "h").agg(F.min(order).alias("first"))
+    judged = texts.join(first, ["alone", "g", "h"]).withColumn("stays", order == F.col("first"))
+    judged = stored(judged.select(F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_key"), "rows", "stays"), "judged")
+    told = documents.select(F.struct(*documents.columns).alias("row")).select(
+        "row", F.col("row.doc_id").cast("long").alias("id"), F.xxhash64("row.text").alias("key")
+    )
+    same = F.col("id").eqNullSafe(F.col("own_id")) & (F.col("key") == F.col("own_key"))
+    left = told.join(judged.where("NOT stays"), same, "left_anti")
+    repeated = judged.where("stays AND rows > 1").select("own_id", "own_key")
+    if not repeated.isEmpty():
+        single = left.join(repeated, same, "left_semi").dropDuplicates(["id", "key"])
+        left = left.join(repeated, same, "left_anti").unionByName(single)
+    return left.select("row.*")

@@ -266,6 +266,27 @@ def test_pipeline_against_its_stages_in_plain_python(spark, small, tmp_path):
     assert corpus_pipeline.run(spark, small).count() == rows.count()
 
 
+def test_repeated_ids_lose_neither_rows_nor_links(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    near_copy, other, third = base.replace("w59", "x"), " ".join(f"o{i}" for i in range(60)), " ".join(f"t{i}" for i in range(60))
+    rows = [
+        (1, base), (2, near_copy), (3, other), (3, base), (7, third), (7, "Unlike any other text " * 9), (8, third.upper()),
+        (9, "alone"), (9, "alone"), (None, "copied twice"), (None, "copied  twice"), (None, base), (10, None), (10, ""), (10, ""),
+        (11, other + " more"), (12, "alone now"), (12, "alone  now"),
+    ]
+    frame = spark.createDataFrame(rows, DOCS).withColumn("doc", F.lit("mine"))
+    found = sorted({(row["doc_id"] or 0, row["component_id"] or 0) for row in near.near_duplicates(frame).collect()})
+    # 3 has the texts of two groups, so they are one component; 11 is near the other text of 3.
+    assert found == [(0, 0), (1, 1), (2, 1), (3, 1), (7, 7), (8, 7), (9, 9), (10, 10), (11, 1), (12, 12)]
+    kept = near.keep_one(frame)
+    assert kept.columns == frame.columns
+    texts = sorted((row["doc_id"] or 0, (row["text"] or "").split()[:1]) for row in kept.collect())
+    assert texts == sorted([
+        (1, ["w0"]), (3, ["o0"]), (7, ["t0"]), (7, ["Unlike"]), (9, ["alone"]), (0, ["copied"]), (10, []), (10, []), (10, []),
+        (12, ["alone"]),
+    ])
+
+
 _SENTENCE = "<p>This is a paragraph, with some text. It goes on; and on, as paragraphs do.</p>"
 _NAMES = ("related", "social", "search", "comments", "share", "ads", "menu", "footer", "newsletter", "hidden")
 _HARMLESS = (
