@@ -325,13 +325,9 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE, similarity: int =
 def _linked(members: DataFrame, linker: Linker) -> DataFrame:
     """`node, root` of all links between members of one bucket."""
     roots, number, total, before, bounds = None, 0, members.count(), None, None
+    placed = members.withColumn("root", F.col("id"))
     while True:
-        if roots is None:
-            placed = members.withColumn("root", F.col("id"))
-        else:
-            placed = members.join(roots.withColumnRenamed("node", "id"), "id", "left")
-            placed = placed.withColumn("root", F.coalesce("root", "id"))
-        # Buckets that are one component are done.
+        # Buckets that are one component are done, for good: `placed` only keeps members of the others.
         groups = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
         # The most members, of equals the least root.
         largest = groups.groupBy("bucket").agg(
@@ -346,7 +342,6 @@ def _linked(members: DataFrame, linker: Linker) -> DataFrame:
         before = left
         if bounds is None and (number or last):
             bounds = linker.bounds(placed.select("id").distinct())
-            members = stored(members.join(bounds.select("id"), "id", "left_semi"), "members")
             placed = stored(placed.join(bounds.select("id"), "id", "left_semi"), "placed")
         if last:
             # Every member outside the largest component with every member of another that its bounds, sketch and
@@ -382,10 +377,15 @@ def _linked(members: DataFrame, linker: Linker) -> DataFrame:
         else:
             between = links
         new = components(between)
+        moved = new.select(F.col("node").alias("root"), F.col("root").alias("onto"))
+        placed = placed.select("bucket", "id", "root")
+        if not last and not new.isEmpty():
+            # Stored, as the next round reads it twice.
+            onward = placed.join(moved, "root", "left").select("bucket", "id", F.coalesce("onto", "root").alias("root"))
+            placed = stored(onward, "placed")
         if roots is None:
             roots = new
         else:
-            moved = new.select(F.col("node").alias("root"), F.col("root").alias("onto"))
             old = roots.join(moved, "root", "left").select("node", F.coalesce("onto", "root").alias("root"))
             # Nodes that were alone until now.
             roots = old.unionByName(new.join(roots.select("node"), "node", "left_anti"))
