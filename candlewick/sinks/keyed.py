@@ -71,7 +71,7 @@ class KeyedTable:
         if result["rows"]:
             logger.info("%s writer %s batch %s: %s", self.path, writer, batch_id, result)
         else:
-            _delete(batch.sparkSession, folder)
+            delete_folder(batch.sparkSession, folder)
         return result
 
     def _write(self, rows: DataFrame, folder: str) -> dict[str, int]:
@@ -174,7 +174,7 @@ class KeyedTable:
         old = [folder for folder, stamp in self._batches(spark).items() if gone.get(self._relative(folder)) == stamp]
         old += [self._base(number) for number in self._bases(spark) if number < newest]
         for folder in old:
-            _delete(spark, folder)
+            delete_folder(spark, folder)
         return len(old)
 
     def expire(self, spark: SparkSession, days: int, as_of: datetime | str | None = None) -> dict[str, int]:
@@ -204,7 +204,7 @@ class KeyedTable:
             folder = f"{self.path}/delta/writer=expire/batch_id={number}"
             kept = self._write(rows.filter(F.col(self.time_column) >= oldest), folder)
         for folder in [*gone, *split]:
-            _delete(spark, folder)
+            delete_folder(spark, folder)
         return {"folders": len(gone) + len(split), "rows": kept["rows"]}
 
     # -- folders ---------------------------------------------------------------------------------
@@ -217,11 +217,11 @@ class KeyedTable:
 
     def _batches(self, spark: SparkSession) -> dict[str, int]:
         """Finished batch folders, and when each was finished."""
-        found = _finished(spark, f"{self.path}/delta/writer=*/batch_id=*")
+        found = finished_folders(spark, f"{self.path}/delta/writer=*/batch_id=*")
         return {f"{self.path}/delta/{self._relative(folder)}": stamp for folder, stamp in found.items()}
 
     def _bases(self, spark: SparkSession) -> list[int]:
-        found = _finished(spark, f"{self.path}/base/version=*")
+        found = finished_folders(spark, f"{self.path}/base/version=*")
         return [int(re.search(r"version=(\d+)$", folder).group(1)) for folder in found]
 
     def _newest_base(self, spark: SparkSession) -> int | None:
@@ -243,7 +243,7 @@ def _hadoop(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _finished(spark: SparkSession, pattern: str) -> dict[str, int]:
+def finished_folders(spark: SparkSession, pattern: str) -> dict[str, int]:
     """Folders Spark has finished writing, and when, in milliseconds."""
     place, files = _hadoop(spark, f"{pattern}/_SUCCESS")
     return {
@@ -261,7 +261,7 @@ def _folders(spark: SparkSession, patterns: Sequence[str]) -> list[str]:
     return found
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def delete_folder(spark: SparkSession, folder: str) -> None:
     place, files = _hadoop(spark, folder)
     files.delete(place, True)
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from candlewick.sinks.keyed import _delete, _finished
+from candlewick.sinks.keyed import delete_folder, finished_folders
 
 # Older views that stay for readers who still use them, and for a batch that is run again.
 _KEPT = 3
@@ -35,7 +35,7 @@ class MergedView:
         rows.write.mode("overwrite").parquet(self._folder(writer, batch_id))
         own = sorted(number for name, number in self._versions(spark) if name == writer and number < batch_id)
         for number in own[:-_KEPT]:
-            _delete(spark, self._folder(writer, number))
+            delete_folder(spark, self._folder(writer, number))
 
     def current(self, spark: SparkSession) -> DataFrame:
         versions = self._versions(spark)
@@ -52,7 +52,7 @@ class MergedView:
     def _versions(self, spark: SparkSession) -> dict[tuple[str, int], tuple[int, int]]:
         """(writer, batch) of each finished view, and an order of their age."""
         found = {}
-        for folder, stamp in _finished(spark, f"{self.path}/writer=*/batch_id=*").items():
+        for folder, stamp in finished_folders(spark, f"{self.path}/writer=*/batch_id=*").items():
             writer, number = re.search(r"writer=([^/]+)/batch_id=(\d+)$", folder).groups()
             found[writer, int(number)] = (stamp, int(number))
         return found

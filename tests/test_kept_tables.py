@@ -156,7 +156,7 @@ def test_a_cut_off_expiry_loses_nothing(spark, trades, tmp_path, monkeypatch):
     def stop(spark, folder):
         raise OSError("cut off")
 
-    monkeypatch.setattr(keyed, "_delete", stop)
+    monkeypatch.setattr(keyed, "delete_folder", stop)
     with pytest.raises(OSError):
         table.expire(spark, 10, "2024-01-25 12:00:00")
     assert same(table.current(spark), rows)
