@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh3_128_digest
 
 from candlewick.llm.phash import PerfectHash
-from candlewick.llm.text import fenced
+from candlewick.llm.text import carried, fenced, own_columns
 from candlewick.session import stored
 
 LEAST_DOCUMENTS = 10
@@ -182,6 +182,9 @@ def line_digests(documents: DataFrame) -> DataFrame:
 
 
 def without_common_lines(documents: DataFrame, **options) -> DataFrame:
-    """The documents, own columns only, with their common lines gone and `n_chars`, if there, counted anew."""
-    rows = dedup_lines(documents, **options).select(*documents.columns)
-    return rows.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in documents.columns else rows
+    """The documents, own columns only, with their common lines gone and `n_chars`, if there, counted anew.
+
+    NULL and empty texts become empty, repeated rows stay and count once each; no name of a column is taken.
+    """
+    rows = dedup_lines(carried(documents, "text"), **options)
+    return rows.select(*own_columns(documents, text=F.col("text"), n_chars=F.length("text").cast("long")))

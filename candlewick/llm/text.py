@@ -13,6 +13,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+_CARRIED = "carried"
+
+
+def carried(documents: DataFrame, *needed: str) -> DataFrame:
+    """The needed columns, and all of the document in one struct, where no working column can clash with its own."""
+    every = F.struct(*[F.col(f"`{name}`") for name in documents.columns])
+    return documents.select(every.alias("own")).select(F.col("own").alias(_CARRIED), *[F.col("own")[name].alias(name) for name in needed])
+
+
+def own_columns(documents: DataFrame, **changed: Column) -> list[Column]:
+    """The document's own columns out of the struct, some of them replaced."""
+    return [changed.get(name, F.col(_CARRIED)[name]).alias(name) for name in documents.columns]
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else; pure ASCII takes the faster way."""
     plain = F.octet_length(text) == F.length(text)
