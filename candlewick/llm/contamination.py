@@ -4,14 +4,14 @@ A document does not look up every window. A window of 13 words holds exactly one
 at every 6th word of a text, so these runs are hashed and looked up; the hash set has the 6 runs of every window
 that may be the one. Where the set is small it is broadcast whole; beyond `most_windows` it is broadcast in blocks of
 that size, each against all documents, so a task never holds more. Where hashes agree the whole window is compared
-word by word. Only documents with a hit pass a shuffle.
+word by word. Documents pass a shuffle as id, digest and word count; texts do not.
 """
 
 import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from candlewick.llm.text import ascii_lower, between, covered, fenced
+from candlewick.llm.text import ascii_lower, between, carried, covered, fenced, own_columns
 from candlewick.session import stored
 
 WINDOW = 13
@@ -56,7 +56,7 @@ def _runs(words: str, size: int, start: int, step: int) -> Column:
 
 
 def hits(documents: DataFrame, items: DataFrame, size: int = WINDOW, most_windows: int = MOST_WINDOWS) -> DataFrame:
-    """`doc_id, digest, spans, items` of documents with a window of an item.
+    """`doc_id, digest, n_words, spans, items` of documents with a window of an item.
 
     `spans` are the verified places, struct(pos, len) in words from 1; `digest` is the SHA-256 of the text, so
     that rows which share an id but not a text stay apart.
@@ -87,23 +87,22 @@ def hits(documents: DataFrame, items: DataFrame, size: int = WINDOW, most_window
         inside = joined.where((F.col("pos") >= 1) & (F.col("pos") + F.col("len") - 1 <= F.size("words")))
         # Behind the fence, so that the words are compared where the hashes agree and do not become a join key.
         verified = fenced(inside, "own", F.slice("words", F.col("pos"), F.col("len"))).where("own = window")
-        part = verified.select("doc_id", "digest", F.struct("pos", "len").alias("span"), "items")
+        part = verified.select("doc_id", "digest", F.size("words").alias("n_words"), F.struct("pos", "len").alias("span"), "items")
         found = part if found is None else found.unionByName(part)
-    return found.groupBy("doc_id", "digest").agg(
+    return found.groupBy("doc_id", "digest", "n_words").agg(
         F.sort_array(F.collect_set("span")).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
 
 
-def _with_hits(documents: DataFrame, items: DataFrame, size: int, most_windows: int, prefix: str) -> DataFrame:
-    """The documents with their spans and items, NULL without a hit."""
+def _found(documents: DataFrame, items: DataFrame, size: int, most_windows: int, prefix: str) -> DataFrame:
+    """The hits of the documents, all columns named with the prefix."""
     found = hits(documents.select("doc_id", "text"), items.select("item_id", "text"), size, most_windows)
-    found = found.select(*[F.col(name).alias(prefix + name) for name in found.columns])
-    digest = F.sha2(documents["text"], 256)
-    joined = documents.join(
-        found, documents["doc_id"].eqNullSafe(found[prefix + "doc_id"]) & (digest == found[prefix + "digest"]), "left"
-    )
-    return joined.drop(prefix + "doc_id", prefix + "digest")
+    return found.select(*[F.col(name).alias(prefix + name) for name in found.columns])
+
+
+def _same(documents: DataFrame, found: DataFrame, prefix: str) -> Column:
+    return documents["doc_id"].eqNullSafe(found[prefix + "doc_id"]) & (documents["digest"] == found[prefix + "digest"])
 
 
 def _count(text: Column) -> Column:
@@ -120,9 +119,13 @@ def contamination(
     repeated rows get the same answer each. Columns other than `doc_id` and `text` are ignored.
     """
     documents = documents.select("doc_id", "text")
-    counted = _with_hits(documents, items, size, most_windows, "hit_").select(
-        "doc_id",
-        F.coalesce(_count(F.col("text")), F.lit(0)).cast("long").alias("n_words"),
+    found = _found(documents, items, size, most_windows, "hit_")
+    # Texts are counted before the join, which carries a digest in their place.
+    narrow = documents.select(
+        "doc_id", F.sha2("text", 256).alias("digest"), F.coalesce(_count(F.col("text")), F.lit(0)).cast("long").alias("n_words")
+    )
+    counted = narrow.join(found, _same(narrow, found, "hit_"), "left").select(
+        "doc_id", "n_words",
         F.coalesce(F.expr(covered("hit_spans")), F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("hit_items", F.array().cast("array<string>")).alias("items"),
     )
@@ -135,18 +138,23 @@ def contamination(
 def decontaminate(
     documents: DataFrame, items: DataFrame, spans: bool = False, size: int = WINDOW, most_windows: int = MOST_WINDOWS
 ) -> DataFrame:
-    """The documents, all columns kept, without the contaminated ones.
+    """The documents, all columns kept whatever they are called, without the contaminated ones.
 
     With `spans`, no document goes: the words that are hit are cut out of every text instead, and the text
-    between words stays. Rows without text pass unchanged.
+    between words stays. Rows without text pass unchanged; rows that repeat id and text are judged alike.
     """
     prefix = "decontaminate_hit_"
-    joined = _with_hits(documents, items, size, most_windows, prefix)
+    found = _found(documents, items, size, most_windows, prefix)
     spans_name = prefix + "spans"
+    told = carried(documents, "doc_id", "text").withColumn("digest", F.sha2("text", 256)).drop("text")
     if not spans:
-        n_words, n_hit = _count(F.col("text")), F.expr(covered(spans_name))
-        return joined.where(F.col(spans_name).isNull() | (SHARE * n_hit < n_words)).select(*documents.columns)
-    text = F.col("text")
+        # Stored, so that its size is known: few contaminated documents are broadcast, and texts are not shuffled.
+        gone = stored(found.where(SHARE * F.expr(covered(spans_name)) >= F.col(prefix + "n_words")).select(
+            prefix + "doc_id", prefix + "digest"
+        ), "contaminated")
+        return told.join(gone, _same(told, gone, prefix), "left_anti").select(*own_columns(documents))
+    joined = told.join(found, _same(told, found, prefix), "left").drop(prefix + "doc_id", prefix + "digest")
+    text = F.col("carried.text")
     # An empty piece at an end means that the text begins or ends with a gap.
     pieces = fenced(joined, prefix + "pieces", F.split(text, APART, -1))
     gaps = F.regexp_extract_all(text, F.lit(APART), F.lit(0))
@@ -158,5 +166,4 @@ def decontaminate(
         f"coalesce(get({prefix}gaps, i), ''))), '')"
     )
     cut = apart.withColumn(prefix + "text", F.when(F.col(spans_name).isNull(), text).otherwise(rest))
-    own = [F.col(prefix + "text").alias("text") if name == "text" else F.col(name) for name in documents.columns]
-    return cut.select(*own)
+    return cut.select(*own_columns(documents, text=F.col(prefix + "text")))
