@@ -11,7 +11,9 @@ lenient of equals; a rule that rejects none of them is left out.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from candlewick.llm.text import BLANK, between, covered, fenced, with_windows, word_hashes
+from candlewick.llm.text import (
+    BLANK, between, carried, covered, fenced, own_columns, with_windows, word_hashes,
+)
 from candlewick.session import stored
 
 SYMBOLS = r"[#*$%&|<>]"
@@ -199,11 +201,14 @@ def keep_good(
     documents: DataFrame, labels: DataFrame, stratum: str = "lang",
     limit: float = LIMIT, risk: float = RISK, rules: dict = RULES,
 ) -> DataFrame:
-    """The documents that `quality` keeps, with their own columns.
+    """The documents that `quality` keeps, with their own columns, whatever these are called.
 
-    They are measured once for the cutoffs and once to filter, which costs less than to shuffle the texts.
+    They are measured once and stored with what was measured: to choose the cutoffs takes all of them, and texts are
+    not shuffled to meet their verdict.
     """
-    chosen = _chosen(_signals(documents, stratum), labels, limit, risk, rules)
-    ready = measured(documents).withColumn(_WORK + "own", _stratum(stratum))
+    rows = measured(carried(documents, "doc_id", "text", stratum)).withColumn(_WORK + "own", _stratum(stratum))
+    ready = stored(rows.drop("text"), "measured")
+    signals = ready.select("doc_id", F.col(_WORK + "own").alias("stratum"), F.col(_WORK + "signals").alias("signals"))
+    chosen = _chosen(signals, labels, limit, risk, rules)
     joined = ready.join(chosen, F.col(_WORK + "own") == F.col(_WORK + "stratum"), "left")
-    return joined.where(_kept(_WORK + "signals", rules)).select(*documents.columns)
+    return joined.where(_kept(_WORK + "signals", rules)).select(*own_columns(documents))
