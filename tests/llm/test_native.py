@@ -191,3 +191,36 @@ def test_empty_tables(spark):
     assert packing.packed(parts).isEmpty()
     assert pages.extracted(spark.createDataFrame([], "page_id long, url string, html string")).isEmpty()
     assert chat.formatted(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).isEmpty()
+
+
+def test_no_name_of_a_column_is_taken(spark):
+    """The stages keep columns that are called like the ones they work with."""
+    names = (
+        "lines_work_n", "lines_work_counts", "lines_work_dropped", "quality_work_words", "quality_work_signals", "quality_work_own",
+        "decontaminate_hit_spans", "decontaminate_hit_doc_id", "hit_spans", "digest", "carried", "own", "words", "n_words", "found",
+    )
+    rows = [(i, f"Line shared by all\nOnly here {i}: " + PASSAGE, "en", *range(len(names))) for i in range(12)]
+    schema = DOCS + ", lang string, " + ", ".join(f"{name} long" for name in names)
+    frame = docs(spark, rows, schema)
+    items = docs(spark, [("a", PASSAGE)], "item_id string, text string")
+    labels = docs(spark, [(1, 1)], "doc_id long, quality long")
+    none = docs(spark, [("a", "nothing of the kind")], "item_id string, text string")
+    for kept in (
+        lines.without_common_lines(frame), quality.keep_good(frame, labels), contamination.decontaminate(frame, none),
+        contamination.decontaminate(frame, items, spans=True),
+    ):
+        assert kept.columns == frame.columns
+        found = kept.orderBy("doc_id").collect()
+        assert [row["doc_id"] for row in found] == list(range(12)) and all(tuple(row)[3:] == tuple(range(len(names))) for row in found)
+    assert contamination.decontaminate(frame, items).isEmpty()
+    assert lines.without_common_lines(frame).first()["text"].startswith("Only here")
+
+
+def test_decontamination_shuffles_no_text(spark):
+    frame = docs(spark, [(1, PASSAGE), (2, "clean"), (None, PASSAGE), (3, None)])
+    items = docs(spark, [("a", PASSAGE)], "item_id string, text string")
+    judged = contamination.contamination(frame, items)
+    text = judged._sc._jvm.PythonSQLUtils.explainString(judged._jdf.queryExecution(), "formatted")
+    exchanges = [section for section in text.split("\n\n") if re.match(r"\(\d+\) Exchange", section.strip())]
+    assert len(exchanges) >= 2 and not any("text#" in section for section in exchanges)
+    assert sorted((row["doc_id"] or 0, row["contaminated"]) for row in judged.collect()) == [(0, True), (1, True), (2, False), (3, False)]
