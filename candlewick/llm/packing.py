@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from candlewick.llm.tokens import TEXTS_AT_ONCE, encoder
+from candlewick.llm.tokens import encoder, runs
 from candlewick.session import stored
 
 CAPACITY = 2048
@@ -33,8 +33,8 @@ def pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, end:
     def cut(batches):
         own = encoder(tokenizer, True)
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                rows = batch.slice(at, TEXTS_AT_ONCE)
+            for at, count in runs(batch["text"]):
+                rows = batch.slice(at, count)
                 found = []
                 for doc_id, ids in zip(rows["doc_id"].to_pylist(), own.encode(rows["text"].to_pylist()), strict=True):
                     data = np.append(ids, ids.dtype.type(end)).astype("<u4")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from candlewick.llm import ans, near, packing, pages, severity, token_files
+from candlewick.llm import ans, near, packing, pages, severity, token_files, tokens
 from candlewick.llm.phash import PerfectHash
 from candlewick.llm.tokens import Encoder
 
@@ -29,6 +29,35 @@ def test_pieces_give_the_ids_of_whole_texts(name, drops):
         assert got == [item.ids for item in whole.encode_batch([text or "" for text in ODD], add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("name, drops", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_plain_letters_go_straight_to_the_model(name, drops):
+    own, whole = Encoder(public_tokenizers.path(name), drops), Tokenizer.from_file(public_tokenizers.path(name))
+    rng = np.random.default_rng(3)
+    parts = ["a", "B", "éßÿØ", "×", "'", "s", "don't", ",", ".", "!?", " ", " ", "\n", "1", "İ", "\u0301", "中", "-", "_", "<|endoftext|>"]
+    odd = ["".join(rng.choice(parts, rng.integers(0, 20))) for _ in range(3_000)]
+    texts = ["Invented wordlings, Überall; and élan.\nMore of THEM", "only wordlings again!", *odd]
+    expected = [item.ids for item in whole.encode_batch(texts, add_special_tokens=False)]
+    passed = []
+
+    class Watched:
+        def encode_batch_fast(self, pieces, **options):
+            passed.extend(pieces)
+            return whole.encode_batch_fast(pieces, **options)
+
+    own.tokenizer = Watched()
+    assert [ids.tolist() for ids in own.encode(texts)] == expected
+    assert not [piece for piece in passed if re.fullmatch("[ ]?[A-Za-zÀ-ÖØ-öø-ÿ]+[,.;:!?]*", piece)]
+
+
+def test_texts_are_encoded_in_runs_of_bounded_size():
+    texts = pa.array(["x" * (3 << 20), None, "", "y" * (3 << 20), "z" * (9 << 20), *["a"] * 3_000])
+    found = list(tokens.runs(texts))
+    assert [start for start, _ in found] == np.cumsum([0, *[count for _, count in found]])[:-1].tolist()
+    assert sum(count for _, count in found) == len(texts) and found[:3] == [(0, 3), (3, 1), (4, 1)]
+    assert max(count for _, count in found) <= tokens.TEXTS_AT_ONCE
+    assert list(tokens.runs(pa.array([], pa.string()))) == [] and list(tokens.runs(texts.slice(1, 2))) == [(0, 2)]
+
+
 def test_blocks_round_trip_and_show_damage():
     rng = np.random.default_rng(1)
     tokens = np.minimum(rng.geometric(0.01, 300_000), 40_000)
