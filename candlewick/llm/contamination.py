@@ -11,13 +11,15 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from candlewick.llm.text import ascii_lower, between, carried, covered, fenced, own_columns
+from candlewick.llm.text import ascii_lower, between, carried, covered, fenced, own_columns, sent
 from candlewick.session import stored
 
 WINDOW = 13
 # What lies between words; lower-casing A-Z does not move it.
 APART = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 MOST_WINDOWS = 40_000
+# Contaminated documents that are broadcast, as id and digest.
+BROADCAST_DIGESTS = 500_000
 # A document is contaminated if at least this share of its words is hit.
 SHARE = 20
 
@@ -148,11 +150,11 @@ def decontaminate(
     spans_name = prefix + "spans"
     told = carried(documents, "doc_id", "text").withColumn("digest", F.sha2("text", 256)).drop("text")
     if not spans:
-        # Stored, so that its size is known: few contaminated documents are broadcast, and texts are not shuffled.
+        # Stored, so that its size is known: up to many contaminated documents are broadcast, and texts not shuffled.
         gone = stored(found.where(SHARE * F.expr(covered(spans_name)) >= F.col(prefix + "n_words")).select(
             prefix + "doc_id", prefix + "digest"
         ), "contaminated")
-        return told.join(gone, _same(told, gone, prefix), "left_anti").select(*own_columns(documents))
+        return told.join(sent(gone, BROADCAST_DIGESTS), _same(told, gone, prefix), "left_anti").select(*own_columns(documents))
     joined = told.join(found, _same(told, found, prefix), "left").drop(prefix + "doc_id", prefix + "digest")
     text = F.col("carried.text")
     # An empty piece at an end means that the text begins or ends with a gap.
