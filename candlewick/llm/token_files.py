@@ -18,10 +18,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from candlewick.llm.ans import NO_ID, Table, decode_block, encode_block
-from candlewick.llm.tokens import TEXTS_AT_ONCE, encoder
+from candlewick.llm.tokens import encoder, runs
 from candlewick.session import stored
 
 BLOCK_TOKENS = 1 << 18
+COUNTED_AT_ONCE = 256
 END = 2
 _TOKENS = "part int, doc_id long, first long, n_tokens long, ids binary"
 _READ = "doc_id long, start long, n_tokens long, ids binary"
@@ -37,8 +38,8 @@ def tokenized(documents: DataFrame, tokenizer: str, end: int = END) -> DataFrame
         part, first = TaskContext.get().partitionId(), 0
         own = encoder(tokenizer, False)
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                rows = batch.slice(at, TEXTS_AT_ONCE)
+            for at, count in runs(batch["text"]):
+                rows = batch.slice(at, count)
                 ids = [np.append(found, found.dtype.type(end)) for found in own.encode(rows["text"].to_pylist())]
                 counts = np.array([len(found) for found in ids], np.int64)
                 starts = first + np.cumsum(counts) - counts
@@ -62,8 +63,11 @@ def _tokens(ids: bytes, count: int) -> np.ndarray:
 def _counted(batches):
     total = np.zeros(0, np.int64)
     for batch in batches:
-        for ids, count in zip(batch["ids"].to_pylist(), batch["n_tokens"].to_pylist(), strict=True):
-            found = np.bincount(_tokens(ids, count), minlength=len(total))
+        # Rows are counted together: an array as long as the vocabulary for each would cost more than its tokens.
+        for at in range(0, batch.num_rows, COUNTED_AT_ONCE):
+            rows = batch.slice(at, COUNTED_AT_ONCE)
+            pairs = zip(rows["ids"].to_pylist(), rows["n_tokens"].to_pylist(), strict=True)
+            found = np.bincount(np.concatenate([_tokens(*pair) for pair in pairs]), minlength=len(total))
             found[: len(total)] += total
             total = found
     used = np.flatnonzero(total)
