@@ -75,6 +75,18 @@ def test_blocks_round_trip_and_show_damage():
         ans.decode_block(table, block[:1000] + bytes([block[1000] ^ 1]) + block[1001:])
 
 
+def test_tokens_of_many_rows_are_counted_together(monkeypatch):
+    rows = [np.array([at % 7, 2], "<u2" if at % 3 else "<u4") for at in range(600)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([ids.tobytes() for ids in rows], pa.binary()), pa.array([2] * len(rows), pa.int64())], names=["ids", "n_tokens"]
+    )
+    calls, plain = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *given, **named: calls.append(1) or plain(*given, **named))
+    found = [row for part in token_files._counted(iter([batch, batch.slice(0, 0)])) for row in zip(*part.to_pydict().values())]
+    assert dict(found) == dict(Counter(token for ids in rows for token in ids.tolist()))
+    assert len(calls) <= 3
+
+
 def test_perfect_hash_is_minimal():
     rng = np.random.default_rng(2)
     first, second = (rng.integers(0, 2**64, 5000, dtype=np.uint64) for _ in range(2))
