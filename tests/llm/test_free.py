@@ -112,6 +112,16 @@ def test_token_files_against_the_tokenizer(spark, small, tmp_path):
     assert got == sorted(expected)
 
 
+def test_tokens_are_checked_without_a_second_worker(spark, tmp_path):
+    documents = spark.createDataFrame([(1, "some words"), (2, None), (2, "é")], DOCS)
+    token_files.write(documents, str(tmp_path / "t"), public_tokenizers.path("byte_bpe_50k.json"))
+    found = token_files.read(spark, str(tmp_path / "t")).select("doc_id", "ids", token_files.crc32_of("ids").alias("crc"))
+    rows = found.collect()
+    assert len(rows) == 3 and all(row.crc == zlib.crc32(row.ids) for row in rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "EvalPython" not in plan
+
+
 def shingles(text, size):
     words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
     return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
