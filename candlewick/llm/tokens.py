@@ -65,14 +65,14 @@ def _word_cut(text: str) -> str:
     return text.replace("\n", " ")
 
 
-def runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
+def runs(texts: pa.Array, most_bytes: int = BYTES_AT_ONCE, most_texts: int = TEXTS_AT_ONCE) -> Iterator[tuple[int, int]]:
     """(start, count) of runs of texts to be encoded together."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     ends, start = np.cumsum(sizes), 0
     while start < len(sizes):
         before = ends[start] - sizes[start]
-        stop = max(start + 1, int(np.searchsorted(ends, before + BYTES_AT_ONCE, side="right")))
-        stop = min(stop, start + TEXTS_AT_ONCE)
+        stop = max(start + 1, int(np.searchsorted(ends, before + most_bytes, side="right")))
+        stop = min(stop, start + most_texts)
         yield start, stop - start
         start = stop
 
@@ -108,7 +108,9 @@ class Encoder:
         upto = np.concatenate([[0], np.cumsum(counts)])
         # Each piece's ids stand together in `ids`; they are copied to every place of the piece.
         ahead = (np.cumsum(lengths) - lengths)[pieces] - upto[:-1]
-        data = ids[np.arange(upto[-1]) + np.repeat(ahead, counts)]
+        places = np.repeat(ahead, counts)
+        places += np.arange(upto[-1])
+        data = ids[places]
         ends = upto[split.offsets.to_numpy()].tolist()
         found = [data[start:end] for start, end in zip(ends[:-1], ends[1:], strict=True)]
         whole = [at for at, text in enumerate(cut) if text is None]

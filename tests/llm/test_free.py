@@ -58,6 +58,12 @@ def test_texts_are_encoded_in_runs_of_bounded_size():
     assert list(tokens.runs(pa.array([], pa.string()))) == [] and list(tokens.runs(texts.slice(1, 2))) == [(0, 2)]
 
 
+def test_runs_of_other_sizes():
+    texts = pa.array(["x" * (3 << 20), None, "y" * (3 << 20), "z" * (9 << 20), *["a"] * 3_000])
+    assert list(tokens.runs(texts, token_files.RUN_BYTES, token_files.RUN_TEXTS)) == [(0, 3), (3, 1), (4, 3000)]
+    assert list(tokens.runs(texts, 4 << 20, 2)) == [(0, 2), (2, 1), (3, 1), *[(at, 2) for at in range(4, 3004, 2)]]
+
+
 def test_blocks_round_trip_and_show_damage():
     rng = np.random.default_rng(1)
     tokens = np.minimum(rng.geometric(0.01, 300_000), 40_000)
